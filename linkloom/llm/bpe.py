@@ -385,22 +385,25 @@ def with_text(docs: DataFrame, vocabulary_path: str, ids: str = "ids", out: str
     return docs.withColumn(out, F.arrow_udf(decode, "string")(F.col(ids)))
 
 
-def with_round_trip(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "bpe") -> DataFrame:
-    """`docs` with a struct of n_tokens, ids_sha256 and decoded_sha256: encodes, then decodes the ids."""
+def with_ids_and_digests(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "bpe") -> DataFrame:
+    """`docs` with a struct of n_tokens, ids, ids_sha256 and decoded_sha256: encodes, then decodes the ids."""
     name = _shipped(docs.sparkSession, vocabulary_path)
 
     def trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(SparkFiles.get(name))
         for batch in batches:
-            n, coded, decoded = [], [], []
+            n, coded, decoded, raw = [], [], [], []
             for texts in slices(batch):
-                for c in codec.encode([(t or b"").decode("utf-8", "replace") for t in texts]):
+                codes = codec.encode([(t or b"").decode("utf-8", "replace") for t in texts])
+                raw.append(b"".join(codes))
+                for c in codes:
                     n.append(len(c) // 4)
                     coded.append(hashlib.sha256(c).hexdigest())
                     decoded.append(hashlib.sha256(codec.decode(c).encode()).hexdigest())
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n], dtype=np.int32)), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), ids, pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 
-    return docs.withColumn(out, F.arrow_udf(trip, "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")(F.col(text)))
+    return docs.withColumn(out, F.arrow_udf(trip, "struct<n_tokens:bigint,ids:array<int>,ids_sha256:string,decoded_sha256:string>")(F.col(text)))
 
 
 def default_vocabulary() -> str:
@@ -411,4 +414,5 @@ def default_vocabulary() -> str:
 
 def op6_bpe(spark, sf_dir: str, vocabulary_path: str | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_round_trip(docs, vocabulary_path or default_vocabulary()).select("doc_id", "bpe.*")
+    coded = with_ids_and_digests(docs, vocabulary_path or default_vocabulary())
+    return coded.select("doc_id", "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")

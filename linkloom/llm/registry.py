@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import partial
 from importlib import import_module
 
 #: query -> (module of this subpackage, function, name of its SQL there or None)
@@ -23,11 +24,15 @@ def _module(name: str):
     return import_module(f"linkloom.llm.{name}")
 
 
+def _run(module: str, function: str, spark, sf_dir: str):
+    return getattr(_module(module), function)(spark, sf_dir)
+
+
 def queries() -> dict:
     """One query for each operator, and the pipeline."""
     import corpus_pipeline
 
-    return {q: getattr(_module(m), f) for q, (m, f, _) in OPERATORS.items()} | {"pipeline": corpus_pipeline.run}
+    return {q: partial(_run, m, f) for q, (m, f, _) in OPERATORS.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
