@@ -243,7 +243,7 @@ WITH doc AS (
 ), item AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), win AS (
-  SELECT item_id, least(len(w), 10) AS k, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), i -> array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS s
+  SELECT item_id, least(len(w), 10) AS k, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS s
   FROM item WHERE len(w) > 0
 ), lens AS (SELECT DISTINCT k FROM win
 ), shot AS (

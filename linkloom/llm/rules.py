@@ -15,6 +15,7 @@ are judged alike; columns of the input other than the text are kept as they are.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -64,57 +65,69 @@ POLICIES = {
 PRODUCTION = POLICIES["corpus-1"]
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """`of(value)` with `value` worked out once, however often `of` uses it."""
+    return F.transform(F.array(value), of)[0]
+
+
 def window_hashes(words: Column, size: int = REPEAT_WINDOW) -> Column:
     """Hashes of all windows of `size` words, in order; each runs through its words one by one, so that their bounds count."""
-    places = F.sequence(F.lit(1), F.size(words) - (size - 1))
-    return F.when(F.size(words) >= size, F.transform(places, lambda i: F.xxhash64(F.slice(words, i, size)))).otherwise(F.array().cast("array<bigint>"))
-
-
-def _covered(hashes: Column) -> Column:
-    """Words covered, from the hashes of all windows in order."""
-    empty = F.array().cast("array<int>")
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    n = F.size(pairs)
-    at = lambda k: F.get(pairs, k)["h"]  # noqa: E731  null beyond the ends
-    twice = F.filter(pairs, lambda p, k: (p["h"].eqNullSafe(at(k - 1))) | (p["h"].eqNullSafe(at(k + 1))))
-    places = F.when(n > 0, F.array_sort(F.transform(twice, lambda p: p["i"]))).otherwise(empty)
-    gaps = F.transform(places, lambda p, k: F.least(F.lit(REPEAT_WINDOW), F.coalesce(F.get(places, k + 1) - p, F.lit(REPEAT_WINDOW))))
-    return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda total, g: total + g)
-
-
-def measured(docs: DataFrame, text: str = "text", out: str = "ledger") -> DataFrame:
-    """`docs` with a struct column `out` of measurements."""
-    t, m = "__text", "__measure"
-    with_text = docs.withColumn(t, F.coalesce(F.col(text), F.lit("")))
-    words = F.filter(F.split(F.col(t), SPACES), lambda w: w != "")
-    lines = F.filter(F.split(F.col(t), "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    held = with_text.withColumn(m, F.struct(words.alias("words"), lines.alias("lines"))).withColumn("__hashes", window_hashes(F.col(f"{m}.words")))
-    repeats = F.size(F.array_distinct("__hashes")) < F.size("__hashes")
-    return held.withColumn(
-        out,
-        F.struct(
-            F.size(f"{m}.words").cast("bigint").alias("n_words"),
-            F.length(F.regexp_replace(t, SPACES, "")).cast("bigint").alias("word_chars"),
-            F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
-            F.size(f"{m}.lines").cast("bigint").alias("n_lines"),
-            (F.size(f"{m}.lines") - F.size(F.array_distinct(f"{m}.lines"))).cast("bigint").alias("n_dup_lines"),
-            F.when(repeats, _covered(F.col("__hashes"))).otherwise(F.lit(0).cast("bigint")).alias("n_repeat_words"),
-            F.length(F.regexp_replace(t, "[^\\p{L}]+", "")).cast("bigint").alias("n_letters"),
-        ),
-    ).drop(t, m, "__hashes")
+
+    def hashes(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
+        return F.when(F.size(w) >= size, each).otherwise(F.array().cast("array<bigint>"))
+
+    return let(words, hashes)
+
+
+def covered_words(hashes: Column, size: int = REPEAT_WINDOW) -> Column:
+    """How many words lie in windows whose hash occurs twice or more."""
+
+    def repeated(pairs: Column) -> Column:
+        same = lambda p, k: F.coalesce(p["h"] == F.get(pairs, k)["h"], F.lit(False))
+        twice = F.filter(pairs, lambda p, k: F.when(k > 0, same(p, k - 1)).otherwise(F.lit(False)) | same(p, k + 1))
+        return F.array_sort(F.transform(twice, lambda p: p["i"]))
+
+    def total(places: Column) -> Column:
+        gaps = F.transform(places, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(places, k + 1) - p, F.lit(size))))
+        return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda n, g: n + g)
+
+    pairs = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    some = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(let(pairs(h), repeated), total)).otherwise(F.lit(0).cast("bigint"))
+    return let(hashes, some)
+
+
+def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, Column]]:
+    """`docs` with columns of words and lines, and the measurements over them."""
+    t, words, lines = F.coalesce(F.col(text), F.lit("")), F.col("__words"), F.col("__lines")
+    held = docs.withColumns(
+        {
+            "__words": F.filter(F.split(t, SPACES), lambda w: w != ""),
+            "__lines": F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
+        }
+    )
+    measures = {
+        "n_words": F.size(words),
+        "word_chars": F.length(F.regexp_replace(t, SPACES, "")),
+        "n_symbols": F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")),
+        "n_lines": F.size(lines),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": covered_words(window_hashes(words)),
+        "n_letters": F.length(F.regexp_replace(t, "[^\\p{L}]+", "")),
+    }
+    return held, {k: v.cast("bigint") for k, v in measures.items()}
 
 
 def with_ledger(docs: DataFrame, text: str = "text", out: str = "ledger") -> DataFrame:
     """`docs` with a struct column `out`: the measurements, and `fails` with a bit for each rule."""
-    raw = f"__{out}"
-    measures = measured(docs, text, raw)
-    values = measures.schema[raw].dataType.names
-    named = measures.select("*", *[F.col(f"{raw}.{c}").alias(f"__m_{c}") for c in values])
+    held, measures = measured(docs, text)
+    named = held.withColumns({f"__m_{k}": v for k, v in measures.items()})
     fails = F.lit(0).cast("bigint")
     for rule in RULES:
-        test = F.expr(_over(rule.test, values))
-        fails = fails.bitwiseOR(F.when(test, F.lit(BITS[rule.name]).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return named.withColumn(out, F.struct(*[F.col(f"__m_{c}").alias(c) for c in values], fails.alias("fails"))).drop(raw, *[f"__m_{c}" for c in values])
+        bit = F.when(F.expr(_over(rule.test, list(measures))), F.lit(BITS[rule.name])).otherwise(F.lit(0)).cast("bigint")
+        fails = fails.bitwiseOR(bit)
+    ledger = F.struct(*[F.col(f"__m_{k}").alias(k) for k in measures], fails.alias("fails"))
+    return named.withColumn(out, ledger).drop("__words", "__lines", *[f"__m_{k}" for k in measures])
 
 
 def _over(test: str, values: list[str]) -> str:
@@ -165,7 +178,7 @@ def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
 ), win AS (
   SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc WHERE len(w) >= 5)
 ), rep AS (
