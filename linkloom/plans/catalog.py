@@ -1,4 +1,6 @@
 """Registered queries of the linkage engine and their SQL counterparts."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from linkloom.plans.oracles import ORACLES
+from linkloom.plans.queries import QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
