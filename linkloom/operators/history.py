@@ -1,7 +1,7 @@
 """The match history: annotate, upsert, decisions and the open queue.
 
-The history is a Parquet table with one row for each match key. Every change makes a new snapshot from a join;
-the snapshot is written to a path of its own and then takes the old one's place.
+The history has one row for each match key. Every change makes a new snapshot from a join, which is written to a
+folder of its own; readers take the last complete one.
 """
 
 from __future__ import annotations
@@ -110,12 +110,25 @@ def from_legacy(rows: DataFrame, columns: list[str], payload: str = "payload_jso
     return out.withColumns({"status": normal_status(F.col("status")), "times_seen": F.coalesce(F.col("times_seen").try_cast("bigint"), F.lit(1)), "match_score": F.col("match_score").try_cast("double")})
 
 
-def replaced(history: DataFrame, path: str) -> None:
-    """Writes a snapshot beside `path` and puts it in its place."""
-    spark = history.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    new, at = jvm.org.apache.hadoop.fs.Path(path + ".next"), jvm.org.apache.hadoop.fs.Path(path)
-    files = at.getFileSystem(conf)
-    history.write.mode("overwrite").parquet(path + ".next")
-    files.delete(at, True)
-    files.rename(new, at)
+def _snapshots(spark, path: str):
+    """(filesystem, folder, names of complete snapshots in order)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [x.getPath() for x in files.listStatus(at)] if files.exists(at) else []
+    done = [p.getName() for p in there if p.getName().startswith("snapshot-") and files.exists(p.suffix("/_SUCCESS"))]
+    return files, at, sorted(done)
+
+
+def saved(history: DataFrame, path: str) -> None:
+    """Writes the next snapshot below `path`; the one before stays, as frames may still read it, and older ones go."""
+    files, at, done = _snapshots(history.sparkSession, path)
+    number = int(done[-1].rpartition("-")[2]) + 1 if done else 0
+    history.write.mode("overwrite").parquet(f"{path}/snapshot-{number:08d}")
+    for name in done[:-1]:
+        files.delete(at.suffix(f"/{name}"), True)
+
+
+def loaded(spark, path: str) -> DataFrame | None:
+    """The last snapshot, or None before the first."""
+    _, _, done = _snapshots(spark, path)
+    return spark.read.parquet(f"{path}/{done[-1]}") if done else None

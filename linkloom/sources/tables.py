@@ -63,7 +63,11 @@ def read_exports(spark: SparkSession, path: str, format: str = "csv") -> DataFra
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    return coerced_candidates(spark.read.schema(CANDIDATE).csv(path, header=True))
+    """Candidates of a CSV file whose columns may stand in any order; columns that it lacks are null."""
+    raw = spark.read.csv(path, header=True)
+    known = {f.name: F.col(f.name) if f.name in raw.columns else F.lit(None) for f in CANDIDATE}
+    ids = {f.name: known[f.name].try_cast("bigint") for f in CANDIDATE if f.dataType == _L}
+    return coerced_candidates(raw.select(*[(ids.get(f.name, known[f.name].cast("string"))).alias(f.name) for f in CANDIDATE]))
 
 
 def coerced_candidates(frame: DataFrame) -> DataFrame:

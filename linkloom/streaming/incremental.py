@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from linkloom.operators.history import replaced, upserted
+from linkloom.operators.history import loaded, saved, upserted
 
 
 def follow(matches: DataFrame, history_path: str, checkpoint: str, run_label: str, quarter: str) -> StreamingQuery:
@@ -18,9 +18,9 @@ def follow(matches: DataFrame, history_path: str, checkpoint: str, run_label: st
 
     def apply(batch: DataFrame, number: int) -> None:
         spark, label = batch.sparkSession, f"{run_label}#{number}"
-        history = spark.read.parquet(history_path)
+        history = loaded(spark, history_path)
         done = history.where(F.col("last_run_label") == label).select("match_key")
         fresh = batch.join(done, "match_key", "left_anti").dropDuplicates(["match_key"])
-        replaced(upserted(history, fresh, F.current_timestamp(), label, quarter), history_path)
+        saved(upserted(history, fresh, F.current_timestamp(), label, quarter), history_path)
 
     return matches.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
