@@ -55,15 +55,22 @@ def let(value: Column, of: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), of)[0]
 
 
+def constants(pairs: dict[str, str]) -> Column:
+    """A map as one literal that the optimizer folds, rather than a Column for each entry."""
+    return F.str_to_map(F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in pairs.items())), F.lit("\x1e"), F.lit("\x1f"))
+
+
+# Characters in use that fold to several.
+LIGATURES = "ﬀﬁﬂﬃﬄ¼½¾ĲĳǄǅǆǇǈǉǊǋǌ№™℠℡…‼⅓⅔⅛⅜⅝⅞ⅡⅢⅣⅥⅦⅧⅨ㎏㎜㎝㎞"
+
+
 def ascii_fold(x: Column) -> Column:
+    """Only texts with a character beyond ASCII pay for the table, and only those with a ligature for the replacements."""
     one, to, several = fold_table()
-    marked = F.translate(x, one, to)
-    common = {c: v for c, v in several.items() if c in "ﬀﬁﬂﬃﬄ¼½¾ĲĳŉǄǅǆǇǈǉǊǋǌ№™℠℡…‼⅓⅔⅛⅜⅝⅞ⅡⅢⅣⅥⅦⅧⅨ㎏㎜㎝㎞"}
-    # only texts with one of these pay for the replacements
-    rare = marked
-    for c, v in common.items():
-        rare = F.replace(rare, F.lit(c), F.lit(v))
-    return F.regexp_replace(F.when(marked.rlike("[" + "".join(common) + "]"), rare).otherwise(marked), "[^\\x00-\\x7F]", "")
+    pairs = F.map_entries(constants({c: several[c] for c in LIGATURES}))
+    spelled = lambda s: F.when(s.rlike(f"[{LIGATURES}]"), F.aggregate(pairs, s, lambda out, p: F.replace(out, p["key"], p["value"]))).otherwise(s)
+    folded = lambda s: F.regexp_replace(F.translate(spelled(s), one, to), "[^\\x00-\\x7F]", "")
+    return let(x, lambda s: F.when(s.rlike("[^\\x00-\\x7F]"), folded(s)).otherwise(s))
 
 
 def strip_notes(x: Column) -> Column:
@@ -80,7 +87,7 @@ def tokens(x: Column) -> Column:
 
 
 def expand_shorthand(x: Column) -> Column:
-    pairs = F.create_map(*[F.lit(v) for kv in SHORTHAND.items() for v in kv])
+    pairs = constants(SHORTHAND)
     return F.array_join(F.transform(tokens(x), lambda t: F.coalesce(F.try_element_at(pairs, t), t)), " ")
 
 
@@ -96,7 +103,8 @@ def normalize(x: Column) -> Column:
 
 
 def without(x: Column, words: list[str]) -> Column:
-    return F.array_join(F.filter(tokens(x), lambda t: ~t.isin(words)), " ")
+    listed = F.split(F.lit(" ".join(words)), " ")
+    return F.array_join(F.filter(tokens(x), lambda t: ~F.array_contains(listed, t)), " ")
 
 
 def strip_legal_suffixes(x: Column) -> Column:
@@ -140,7 +148,7 @@ def name_variants(*values: Column) -> Column:
         known = v.isNotNull() & (F.lower(F.trim(v)) != "nan")
         return F.when(known, F.flatten(F.transform(split_trading_names(v), of_part))).otherwise(F.array().cast("array<string>"))
 
-    return F.array_distinct(F.filter(F.flatten(F.array(*[of_value(v) for v in values])), lambda s: s != ""))
+    return F.array_distinct(F.filter(F.flatten(F.transform(F.array(*values), of_value)), lambda s: s != ""))
 
 
 def first_variant(variants: Column) -> Column:
