@@ -135,4 +135,11 @@ def asked(requests: DataFrame, model: Model, item_key: list[str], most: int = MO
 
 
 def totals(decisions: DataFrame) -> DataFrame:
-    return decisions.agg(F.count("*").alias("requests"), F.count_if("resolved").alias("resolved"), F.count_if(F.col("refused_reason").isNotNull()).alias("refused"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+    """One row: how requests ended, and what they took where the answers say so."""
+    sums = [F.sum(c).alias(c) for c in ("input_tokens", "output_tokens", "latency_ms") if c in decisions.columns]
+    return decisions.agg(F.count("*").alias("requests"), F.count_if("resolved").alias("resolved"), F.count_if(F.col("refused_reason").isNotNull()).alias("refused"), F.count_if(F.col("error").isNotNull()).alias("errors"), *sums)
+
+
+def overlay(decisions: DataFrame, item_key: list[str]) -> DataFrame:
+    """What resolved requests say: (item key, application_id)."""
+    return decisions.where("resolved").select(*item_key, F.col("chosen").alias("application_id"))

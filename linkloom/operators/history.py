@@ -132,3 +132,12 @@ def loaded(spark, path: str) -> DataFrame | None:
     """The last snapshot, or None before the first."""
     _, _, done = _snapshots(spark, path)
     return spark.read.parquet(f"{path}/{done[-1]}") if done else None
+
+
+def backed_up(spark, path: str, label: str) -> str | None:
+    """Copies the last snapshot beside the history; None if there is none."""
+    last = loaded(spark, path)
+    if last is None:
+        return None
+    last.write.parquet(f"{path}-backup-{label}")
+    return f"{path}-backup-{label}"

@@ -67,3 +67,24 @@ def load_state(path: str) -> dict:
         return json.loads(Path(path).read_text())
     except (OSError, ValueError):
         return {}
+
+
+def queue_notice(path: str, title: str, text: str) -> None:
+    """Keeps a notice for the next time someone looks."""
+    Path(path).write_text(json.dumps({"title": title, "text": text}))
+
+
+def take_notice(path: str, show) -> bool:
+    """Shows the kept notice; it goes once shown, or if it can't be read."""
+    place = Path(path)
+    if not place.exists():
+        return False
+    try:
+        notice = json.loads(place.read_text())
+        shown = bool(show(notice["title"], notice["text"]))
+    except (ValueError, KeyError):
+        place.unlink()
+        return False
+    if shown:
+        place.unlink()
+    return shown

@@ -333,6 +333,20 @@ vp AS (SELECT source_code, state, dedupe_name_key, application_id, a, b FROM (SE
 {compared('vp')}, s AS (SELECT source_code, state, dedupe_name_key, application_id, {r2('max(tset)')} AS m FROM vp JOIN scored USING (a, b) GROUP BY ALL),
 t AS (SELECT *, row_number() OVER (PARTITION BY source_code, state, dedupe_name_key ORDER BY m DESC, application_id) AS nth FROM s)
 SELECT source_code, state, dedupe_name_key, string_agg(application_id::VARCHAR, ',' ORDER BY nth) AS ids, count(*)::INTEGER AS n FROM t WHERE nth <= 5 GROUP BY ALL""",
+    "q_extract_candidates": """WITH l AS (SELECT o_orderkey AS lead_id, o_custkey, o_orderkey % 30 AS s, o_orderkey % 120 AS p FROM orders WHERE o_orderstatus = 'F'),
+loc AS (SELECT event_id % 900 AS org, max(event_id) AS location_id FROM events WHERE event_type = 'click' AND event_id % 4 <> 0 GROUP BY 1), scr AS (SELECT event_id % 2000 AS lead_id, max(event_id) AS screening_id FROM events WHERE event_id % 2 = 0 GROUP BY 1)
+SELECT l.lead_id, c_name AS name, n_name AS code, s_name AS person, location_id, screening_id FROM l JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = s LEFT JOIN supplier ON s_suppkey = p
+LEFT JOIN loc ON org = o_custkey LEFT JOIN scr ON scr.lead_id = l.lead_id""",
+    "q_coerce_rows": """SELECT o_orderkey AS source_row_number, o_orderpriority AS live_business_name, upper(o_orderstatus) AS state, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate::DATE END AS origination_date,
+  CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey::DOUBLE END AS disbursed_amount, o_custkey::VARCHAR AS live_zip_code FROM orders""",
+    "q_person_names": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN 'Ann ' ELSE '' END || c_mktsegment AS person FROM customer",
+    "q_review_cap": f"""WITH {HISTORY} SELECT match_key, row_number() OVER (ORDER BY ('0x' || left(match_key, 8))::BIGINT DESC) <= 20 AS shown FROM hist WHERE decision_band = 'review'""",
+    "q_legacy_history": """SELECT event_id::VARCHAR AS match_key, json_extract_string(props, '$.k') AS k, 'new' AS status, coalesce(CASE WHEN event_id % 3 = 0 THEN user_id END, 1)::BIGINT AS times_seen, 1.5::DOUBLE AS match_score FROM events""",
+    "q_stub_adjudication": f"""WITH {ITEMS}, {CANDIDATES}, i1 AS (FROM items WHERE source_code = 'Brand#1'), near AS (SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.vs AS cvs FROM i1 i JOIN cand c ON c.source_code = i.source_code AND c.state = i.state),
+pool AS (FROM near UNION ALL SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.vs FROM i1 i JOIN cand c ON c.source_code = i.source_code WHERE (i.source_code, i.state) NOT IN (SELECT (source_code, state) FROM cand)),
+vp AS (SELECT source_code, state, dedupe_name_key, application_id, a, b FROM (SELECT *, unnest(vs) AS a FROM pool), LATERAL (SELECT unnest(cvs) AS b)),
+{compared('vp')}, s AS (SELECT source_code, state, dedupe_name_key, application_id, {r2('max(tset)')} AS m FROM vp JOIN scored USING (a, b) GROUP BY ALL)
+SELECT source_code, state, dedupe_name_key, arg_min(application_id, (-m, application_id)) AS application_id FROM s GROUP BY ALL""",
     "q_payload_guardrails": f"WITH {_ANSWER} SELECT * FROM dec",
     "q_adjudication_totals": f"WITH {_ANSWER} SELECT count(*) AS requests, count(*) FILTER (resolved) AS resolved, count(refused_reason) AS refused, count(error) AS errors FROM dec",
     "q_scrub_text": "SELECT conv_id, turn, left('Bearer [redacted] x-api-key: [redacted] [redacted-api-key] ' || text, 600) AS scrubbed FROM conversations",

@@ -282,4 +282,48 @@ def q_exceptions_union(spark, d):
     return ingest.all_exceptions(rejected, only)
 
 
+def q_extract_candidates(spark, d):
+    o, e = table(spark, d, "orders"), table(spark, d, "events")
+    lead = o.select(F.col("o_orderkey").alias("lead_id"), F.col("o_custkey").alias("organization_id"), (F.col("o_orderkey") % 30).cast("int").alias("source_id"), (F.col("o_orderkey") % 120).alias("person_id"), F.when(F.col("o_orderstatus") == "F", "SCREENED").otherwise("OPEN").alias("stage"))
+    organization = table(spark, d, "customer").select(F.col("c_custkey").alias("organization_id"), F.col("c_name").alias("name"))
+    source = table(spark, d, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("code"))
+    person = table(spark, d, "supplier").select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("person"))
+    location = e.select((F.col("event_id") % 900).alias("organization_id"), F.when(F.col("event_type") == "click", "BUSINESS").otherwise("HOME").alias("location_type"), F.col("event_id").alias("location_id"), F.when(F.col("event_id") % 4 != 0, F.col("event_id")).alias("location_created_at"))
+    screening = e.where("event_id % 2 = 0").select((F.col("event_id") % 2000).alias("lead_id"), F.col("event_id").alias("screening_id"), F.col("event_id").alias("screening_created_at"))
+    found = tables.extract_candidates(lead, organization, source, person, location.where("location_created_at is not null"), screening)
+    return found.select("lead_id", "name", "code", "person", "location_id", "screening_id")
+
+
+def q_coerce_rows(spark, d):
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    export = o.select(
+        F.lit("f").alias("source_file"), F.lit("s").alias("source_sheet"), k.alias("source_row_number"), F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")).alias("Business Name"), F.lower("o_orderstatus").alias("State"),
+        F.when(k % 9 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("Origination Date"), F.when(k % 5 == 0, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("$ disbursed"), F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("Zip Code"),
+    )
+    return tables.live_rows(export).drop("source_file", "source_sheet")
+
+
+def q_person_names(spark, d):
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    return c.select("c_custkey", t.join_name(F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, F.lit("  ")).otherwise(F.lit(" Ann ")), F.col("c_mktsegment")).alias("person"))
+
+
+def q_review_cap(spark, d):
+    rows = roles.history(spark, d).where("decision_band = 'review'").select("match_key", "decision_band", "match_score", F.lit(0.0).alias("name_score"))
+    shown, over = match.with_review_cap(rows.withColumn("match_score", F.conv(F.substring("match_key", 1, 8), 16, 10).cast("double")), 20)
+    return shown.select("match_key", F.lit(True).alias("shown")).unionByName(over.select("match_key", F.lit(False).alias("shown")))
+
+
+def q_legacy_history(spark, d):
+    e = table(spark, d, "events").select(F.col("event_id").cast("string").alias("match_key"), F.col("props").alias("payload_json"), F.col("event_type").alias("status"), F.when(F.col("event_id") % 3 == 0, F.col("user_id").cast("string")).alias("times_seen"), F.lit("1.5").alias("match_score"))
+    return history.from_legacy(e, ["match_key", "k", "status", "times_seen", "match_score"])
+
+
+def q_stub_adjudication(spark, d):
+    found = adjudicate.offers(adjudicate.pool(roles.items(spark, d).where("source_code = 'Brand#1'"), roles.candidates(spark, d), ITEM), ITEM)
+    requests = found.select(*ITEM, F.lit("which?").alias("prompt"), F.transform("candidates", lambda c: c["application_id"]).alias("offered"))
+    return adjudicate.overlay(adjudicate.decided(adjudicate.asked(requests, adjudicate.Stub("top"), ITEM)), ITEM)
+
+
 QUERIES = {k: f for k, f in globals().items() if k.startswith("q_")}

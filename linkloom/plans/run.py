@@ -107,6 +107,7 @@ def main(args: list[str] | None = None) -> None:
     if o.ensure_due_quarter_run and state.get("last_quarter", "") >= target.label:
         return
     if o.rebuild_history:
+        h.backed_up(spark, settings.history_path, f"{datetime.now(timezone.utc):%Y%m%d%H%M%S}")
         h.saved(empty_history(spark), settings.history_path)
     exports = tables.read_exports(spark, settings.live_path)
     source = tables.read_candidates(spark, settings.candidates_csv) if settings.candidates_csv else tables.read_database(spark, **settings.database)
