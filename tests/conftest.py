@@ -22,5 +22,8 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from linkloom.session import send_package
+
+    send_package(session)
     yield session
     session.stop()
