@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -56,19 +57,37 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def bounded_sample(rows: DataFrame, stratum: str, per_stratum: int, key: str = "doc_id") -> DataFrame:
-    """At most about `per_stratum` rows of each stratum, chosen by a hash of `key`.
+def stratum_sizes(rows: DataFrame, stratum: str) -> dict:
+    """Rows of each stratum, such as a label or language, of which there are few."""
+    return dict(map(tuple, rows.groupBy(stratum).count().collect()))
 
-    The share that a stratum keeps follows from its size, so that any input gives a sample of bounded
-    size: `per_stratum` rows are expected, and the count's deviation is its square root.
+
+def bounded_sample(rows: DataFrame, stratum: str, per_stratum: int, sizes: dict, key: str = "doc_id") -> DataFrame:
+    """About `per_stratum` rows of each stratum, or all where there are fewer, chosen by a hash of `key`.
+
+    The share that a stratum keeps follows from its size, so that any input gives a sample of bounded size:
+    `per_stratum` rows are expected, and the count's deviation is its square root (for distinct keys).
     """
-    sizes = rows.groupBy(stratum).count().collect()  # one row for each label or language
     share = F.lit(0.0)
-    for stratum_value, n in sizes:
-        share = F.when(F.col(stratum).eqNullSafe(F.lit(stratum_value)), min(1.0, per_stratum / max(n, 1))).otherwise(share)
+    for value, n in sizes.items():
+        share = F.when(F.col(stratum).eqNullSafe(F.lit(value)), min(1.0, per_stratum / max(n, 1))).otherwise(share)
     return rows.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30)) < share * float(1 << 30))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, features: Callable[[Column], Column]) -> tuple[pa.Table, dict[int, int]]:
+    """(doc_id, features of the text, label) of a bounded sample of labelled documents in order, and the sizes of both classes.
+
+    Labels are sampled first: the documents meet a table of bounded size, which is broadcast, and their texts are
+    not shuffled. Repeated rows count once.
+    """
+    own = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
+    sizes = stratum_sizes(own, "label")
+    some = F.broadcast(bounded_sample(own, "label", per_class, sizes))
+    found = docs.select("doc_id", "text").join(some, "doc_id").select("doc_id", "label", features(F.col("text")).alias("x"))
+    once = found.groupBy("doc_id", "label").agg(F.min("x").alias("x")).toArrow()
+    return once.sort_by([("doc_id", "ascending"), ("label", "ascending")]), sizes
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -81,8 +100,14 @@ def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
 
 
 def dropped(spark: SparkSession, *paths: str) -> None:
-    """Deletes folders that `written` made, once nothing reads them any more."""
+    """Deletes folders that `written` made, once nothing reads them any more, and lets Spark clean the shuffles behind them.
+
+    Spark deletes a shuffle's files when the driver has collected the objects that stand for it, which may be long
+    after; on disks that hold several shuffles of the input this asks for it at once.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(conf).delete(place, True)
+    gc.collect()
+    jvm.System.gc()

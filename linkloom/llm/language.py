@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import bounded_sample, remainder, slices, table
+from linkloom.llm.common import bounded_sample, remainder, slices, stratum_sizes, table
 
 DIMENSIONS = 512
 SYMBOLS = 128
@@ -122,7 +122,7 @@ def unit(v: np.ndarray) -> np.ndarray:
 def learn_prototypes(labelled: DataFrame, per_language: int = PER_LANGUAGE, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """(languages in order, their prototypes as rows) from columns doc_id, text, lang."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sample = bounded_sample(usable, "lang", per_language).repartition(LEARNERS, F.xxhash64("doc_id"))
+    sample = bounded_sample(usable, "lang", per_language, stratum_sizes(usable, "lang")).repartition(LEARNERS, F.xxhash64("doc_id"))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, total = encoder(dimensions), {}

@@ -5,7 +5,7 @@ learned filters read eight bytes at every fourth place; each filter keeps its gr
 text's mean and greatest values over its chunks are combined into one probability.
 
 The network is fitted on the driver on a bounded sample: `PER_CLASS` labelled texts of each class are
-expected (see bounded_sample), and of each at most `TRAIN_CHUNKS` chunks, spread over the text, are gathered.
+expected (see labelled_sample), and of each at most `TRAIN_CHUNKS` chunks, spread over the text, are gathered.
 The last bias is corrected for the classes' shares among all labelled texts. Scoring reads whole texts.
 
 Edge cases: an empty or null text is one chunk of padding; without labels of both classes every score is the
@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import bounded_sample, remainder, slices, table
-from linkloom.llm.toxicity import labelled_texts
+from linkloom.llm.common import labelled_sample, remainder, slices, table
 
 CHUNK, OVERLAP = 512, 64
 WIDTH, EMBED, FILTERS = 8, 8, 32
@@ -145,19 +144,16 @@ def spread(c: np.ndarray, most: int = TRAIN_CHUNKS) -> np.ndarray:
     return c if len(c) <= most else c[np.linspace(0, len(c) - 1, most).astype(int)]
 
 
-def learn(labelled: DataFrame, per_class: int = PER_CLASS) -> Network:
-    """A network from columns doc_id, text and label (0 or 1; other rows are left out)."""
-    usable = labelled.where(F.col("label").isin(0, 1)).select("doc_id", "text", "label")
-    sizes = {int(k): n for k, n in usable.groupBy("label").count().collect()}
+def _cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([spread(chunks(t)).astype("<i2").tobytes() for texts in slices(batch) for t in texts], pa.binary())
 
-    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([spread(chunks(t)).astype("<i2").tobytes() for texts in slices(batch) for t in texts], pa.binary())
 
-    sample = bounded_sample(usable, "label", per_class).select("doc_id", F.arrow_udf(cut, "binary")("text").alias("c"), F.col("label").cast("int").alias("label")).toArrow()
-    sample = sample.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Network:
+    """A network from the documents that `labels` (doc_id, label 0 or 1; other rows are left out) covers."""
+    sample, sizes = labelled_sample(docs, labels, label, per_class, lambda text: F.arrow_udf(_cut, "binary")(text))
     n = sum(sizes.values())
-    return fit([np.frombuffer(c.as_py(), "<i2").reshape(-1, CHUNK) for c in sample["c"]], sample["label"].to_numpy().astype(np.float32), sizes.get(1, 0) / n if n else 0.0)
+    return fit([np.frombuffer(c.as_py(), "<i2").reshape(-1, CHUNK) for c in sample["x"]], sample["label"].to_numpy().astype(np.float32), sizes.get(1, 0) / n if n else 0.0)
 
 
 def with_quality(docs: DataFrame, network: Network, text: str = "text", out: str = "quality_score") -> DataFrame:
@@ -179,5 +175,5 @@ def held_out_quality(doc_id: Column) -> Column:
 def op7_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~held_out_quality(F.col("doc_id")))
-    scored = with_quality(docs, learn(labelled_texts(docs, labels, "quality")))
+    scored = with_quality(docs, learn(docs, labels))
     return scored.select("doc_id", held_out_quality(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))

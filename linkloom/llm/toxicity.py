@@ -6,7 +6,7 @@ logit is a bias, a weight for each term, and for each pair of terms the product
 that an insult can weigh more beside a mention of a group than either does alone.
 
 The machine is fitted on the driver on a bounded sample: `PER_CLASS` labelled texts of each class are
-expected (see bounded_sample), whose hashed terms are gathered; terms in fewer than `LEAST_TEXTS` of them, or
+expected (see labelled_sample), whose hashed terms are gathered; terms in fewer than `LEAST_TEXTS` of them, or
 whose association with the label is weaker than `LEAST_Z`, weigh nothing. The bias is corrected for the
 classes' shares among all labelled texts. Scoring reads whole texts.
 
@@ -25,15 +25,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import bounded_sample, remainder, slices, table
+from linkloom.llm.common import labelled_sample, remainder, slices, table
 
 BITS = 18
-PREFIX = 5
+PREFIX = 4
 FACTORS = 6
 PER_CLASS = 5000
-LEAST_TEXTS = 5
+LEAST_TEXTS = 3
 LEAST_Z = 5.0
-EPOCHS = 60
+EPOCHS = 40
+BATCH = 64
 _FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _MASK = (1 << BITS) - 1
 
@@ -88,7 +89,7 @@ def fit(hashes: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     gw, gf, gb = np.full(len(chosen), 1e-2), np.full((len(chosen), factors), 1e-2), 1e-2
     kept = [place[h][place[h] >= 0] for h in hashes]
     for _ in range(epochs):
-        for batch in np.array_split(rng.permutation(n), max(1, n // 256)):
+        for batch in np.array_split(rng.permutation(n), max(1, n // BATCH)):
             rows = [kept[i] for i in batch]
             text, row = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
             value, total = linear_and_pairs(text, row, len(rows), weight, factor)
@@ -107,19 +108,16 @@ def fit(hashes: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     return Machine(float(bias + np.log(prior / (1 - prior)) - np.log(n_one / (n - n_one))), place, weight, factor)
 
 
-def learn(labelled: DataFrame, per_class: int = PER_CLASS) -> Machine:
-    """A machine from columns doc_id, text and label (0 or 1; other rows are left out)."""
-    usable = labelled.where(F.col("label").isin(0, 1)).select("doc_id", "text", "label")
-    sizes = {int(k): n for k, n in usable.groupBy("label").count().collect()}
+def _hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([terms(t) for texts in slices(batch) for t in texts], pa.list_(pa.int32()))
 
-    def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([terms(t) for texts in slices(batch) for t in texts], pa.list_(pa.int32()))
 
-    sample = bounded_sample(usable, "label", per_class).select("doc_id", F.arrow_udf(hashed, "array<int>")("text").alias("h"), F.col("label").cast("int").alias("label")).toArrow()
-    sample = sample.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Machine:
+    """A machine from the documents that `labels` (doc_id, label 0 or 1; other rows are left out) covers."""
+    sample, sizes = labelled_sample(docs, labels, label, per_class, lambda text: F.arrow_udf(_hashed, "array<int>")(text))
     n = sum(sizes.values())
-    return fit([np.array(sorted(h.as_py()), np.int64) for h in sample["h"]], sample["label"].to_numpy().astype(float), sizes.get(1, 0) / n if n else 0.0)
+    return fit([np.array(sorted(h.as_py()), np.int64) for h in sample["x"]], sample["label"].to_numpy().astype(float), sizes.get(1, 0) / n if n else 0.0)
 
 
 def with_toxicity(docs: DataFrame, machine: Machine, text: str = "text", out: str = "toxicity") -> DataFrame:
@@ -138,15 +136,8 @@ def held_out_toxicity(doc_id: Column) -> Column:
     return remainder(doc_id, 5) == 0
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text and label of the documents that `labels` covers."""
-    own = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
-    return docs.select("doc_id", "text").join(own, "doc_id")
-
-
 def learned_from(spark, docs: DataFrame, sf_dir: str) -> Machine:
-    labels = table(spark, sf_dir, "labels")
-    return learn(labelled_texts(docs, labels.where(~held_out_toxicity(F.col("doc_id"))), "toxic"))
+    return learn(docs, table(spark, sf_dir, "labels").where(~held_out_toxicity(F.col("doc_id"))))
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -246,6 +246,6 @@ def test_slices_keep_order_and_nulls():
 
 def test_bounded_sample(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("label"))
-    sizes = dict(map(tuple, common.bounded_sample(rows, "label", 300).groupBy("label").count().collect()))
+    sizes = dict(map(tuple, common.bounded_sample(rows, "label", 300, common.stratum_sizes(rows, "label")).groupBy("label").count().collect()))
     assert all(200 < n < 400 for n in sizes.values())
-    assert common.bounded_sample(rows, "label", 10_000).count() == 5000
+    assert common.bounded_sample(rows, "label", 10_000, {0: 2500, 1: 2500}).count() == 5000
