@@ -34,7 +34,7 @@ from linkloom.llm.common import dropped, fresh_folder, settled, table, written
 LEAST_BYTES = 0
 ROLL_BYTES = 1 << 30
 #: Records of one stretch of an archive are read by one task.
-STRETCH_BYTES = 64 << 20
+STRETCH_BYTES = 16 << 20
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -171,8 +171,10 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_BYTES
 
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records that the rows of `index` name."""
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, total // STRETCH_BYTES + 1)  # by bytes of the archives, not of the index
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
-    dealt = index.select("archive", "offset", "length").withColumn("stretch", stretch).repartition("archive", "stretch").sortWithinPartitions("archive", "offset")
+    dealt = index.select("archive", "offset", "length").withColumn("stretch", stretch).repartition(int(tasks), "archive", "stretch").sortWithinPartitions("archive", "offset")
     return dealt.drop("stretch").mapInArrow(_reader(with_payload), _RECORD)
 
 
