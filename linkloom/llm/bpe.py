@@ -352,11 +352,17 @@ def _codec(path: str) -> Codec:
     return Codec(path)
 
 
+_SHIPPED: dict[tuple[str, str], str] = {}
+
+
 def _shipped(spark, vocabulary_path: str) -> str:
-    """The name under which the compiled vocabulary is sent to the executors."""
-    made = compile_file(vocabulary_path)
-    spark.sparkContext.addFile(made)
-    return os.path.basename(made)
+    """The name under which the compiled vocabulary is sent to the executors; compiled once for each application."""
+    key = (spark.sparkContext.applicationId, vocabulary_path)
+    if key not in _SHIPPED:
+        made = compile_file(vocabulary_path)
+        spark.sparkContext.addFile(made)
+        _SHIPPED[key] = os.path.basename(made)
+    return _SHIPPED[key]
 
 
 def with_ids(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "ids") -> DataFrame:
