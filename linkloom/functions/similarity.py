@@ -62,9 +62,24 @@ def token_set_ratio(a: str, b: str) -> float:
 
 
 def _windows(short: str, long: str) -> float:
-    n = len(short)
-    starts = range(1 - n, len(long))
-    return max(ratio(short, long[max(0, i) : i + n]) for i in starts)
+    """Best ratio of `short` with a window of `long`; a window that ends in a character that `short` lacks is no better than the one before."""
+    if short in long:
+        return 100.0
+    n, where = len(short), {}
+    for i, c in enumerate(short):
+        where[c] = where.get(c, 0) | 1 << i
+    masks = [where.get(c, 0) for c in long]
+    full, best = (1 << n) - 1, 0.0
+    for end in range(1, len(long) + n):
+        if end <= len(long) and not masks[end - 1]:
+            continue
+        window = masks[max(0, end - n) : end]
+        row = full
+        for m in window:
+            hit = row & m
+            row = ((row + hit) | (row - hit)) & full
+        best = max(best, 200.0 * (n - row.bit_count()) / (n + len(window)))
+    return best
 
 
 @lru_cache(maxsize=_MEMO)
@@ -93,14 +108,15 @@ def variant_score(a: str, b: str) -> float:
     combo = 0.45 * token_set_ratio(a, b) + 0.20 * token_sort_ratio(a, b) + 0.35 * overlap
     contain = bool(x and y) and (x <= y or y <= x)
     score = max(exact, ratio(a, b), combo)
-    if overlap >= 50 or contain or exact == 100:
+    if score < 92 and (overlap >= 50 or contain or exact == 100):  # 92 is all that the partial ratio can give
         score = max(score, 0.92 * partial_ratio(a, b))
     if overlap == 0 and not contain and exact != 100:
         score = min(score, ratio(core_a, core_b) if core_a or core_b else ratio(a, b))
     return score
 
 
-def best_pair(live: list[str], candidate: list[str]) -> tuple[float, str, str]:
+@lru_cache(maxsize=_MEMO)
+def best_pair(live: tuple[str, ...], candidate: tuple[str, ...]) -> tuple[float, str, str]:
     """The best score over pairs of variants; the first such pair in order, or blanks if all are 0."""
     best, pair = 0.0, ("", "")
     for a in live:
@@ -108,9 +124,12 @@ def best_pair(live: list[str], candidate: list[str]) -> tuple[float, str, str]:
             score = variant_score(a, b)
             if score > best:
                 best, pair = score, (a, b)
+            if best >= 100:  # none can be better, and the first of equals counts
+                return best, *pair
     return best, *pair
 
 
+@lru_cache(maxsize=_MEMO)
 def has_name_signal(live: str, candidate: str, name_score: float) -> bool:
     """Whether the winning pair has more in common than filler words."""
     (core_a, x), (core_b, y) = _kept(live), _kept(candidate)
@@ -121,8 +140,11 @@ def has_name_signal(live: str, candidate: str, name_score: float) -> bool:
     tight_a, tight_b = core_a.replace(" ", ""), core_b.replace(" ", "")
     if tight_a in tight_b or tight_b in tight_a:
         return True
-    whole, part = ratio(core_a, core_b), partial_ratio(core_a, core_b)
-    return whole >= 85 or part >= 92 or (name_score >= 80 and max(whole, part) >= 80)
+    whole = ratio(core_a, core_b)
+    if whole >= 85:
+        return True
+    part = partial_ratio(core_a, core_b)
+    return part >= 92 or (name_score >= 80 and max(whole, part) >= 80)
 
 
 def _pairwise(function):
@@ -143,7 +165,7 @@ def _score_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.
     for live, candidate in batches:
         rows = []
         for a, b in zip(live.to_pylist(), candidate.to_pylist(), strict=True):
-            score, x, y = best_pair(a or [], b or [])
+            score, x, y = best_pair(tuple(a or ()), tuple(b or ()))
             shown = int(score * 100 + 0.5) / 100
             rows.append((shown, x, y, has_name_signal(x, y, shown)))
         cols = list(zip(*rows, strict=True)) or [()] * 4
@@ -152,15 +174,23 @@ def _score_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.
 
 
 def name_match(live_variants: Column, candidate_variants: Column) -> Column:
-    """struct<name_score, live_variant, candidate_variant, signal> for two arrays of variants."""
+    """struct<name_score, live_variant, candidate_variant, signal> for two arrays of variants.
+
+    Marked as not deterministic, so that a filter on it isn't pushed below an exchange and worked out twice.
+    """
     kind = "struct<name_score:double,live_variant:string,candidate_variant:string,signal:boolean>"
-    return F.arrow_udf(_score_batches, kind)(live_variants, candidate_variants)
+    return F.arrow_udf(_score_batches, kind).asNondeterministic()(live_variants, candidate_variants)
+
+
+@lru_cache(maxsize=_MEMO)
+def _best_token_set(live: tuple[str, ...], candidate: tuple[str, ...]) -> float:
+    return max((token_set_ratio(a, b) for a in live for b in candidate), default=0.0)
 
 
 def _best_token_sets(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for live, candidate in batches:
         pairs = zip(live.to_pylist(), candidate.to_pylist(), strict=True)
-        yield pa.array([max((token_set_ratio(a, b) for a in x or [] for b in y or []), default=0.0) for x, y in pairs], pa.float64())
+        yield pa.array([_best_token_set(tuple(x or ()), tuple(y or ())) for x, y in pairs], pa.float64())
 
 
 def best_token_set(live_variants: Column, candidate_variants: Column) -> Column:

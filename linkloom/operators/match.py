@@ -29,7 +29,7 @@ def prepared_candidates(frame: DataFrame) -> DataFrame:
         join_name(F.col("customer_first_name"), F.col("customer_last_name")),
         join_name(F.col("prescreen_first_name"), F.col("prescreen_last_name")),
     )
-    return frame.withColumn("candidate_state", state).withColumn("candidate_name_variants", names)
+    return frame.withColumn("candidate_state", state).withColumn("candidate_name_variants", names).withColumn("loan_band", size_band(F.col("loan_range")))
 
 
 def blocked(items: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -48,8 +48,8 @@ def corroboration(pairs: DataFrame) -> DataFrame:
     zip_hit = F.lit(False)
     for z in zips:
         zip_hit = zip_hit | F.coalesce((F.trim(z) != "") & F.contains("live_zip_codes", F.trim(z)), F.lit(False))
-    banded = pairs.withColumn("__band", size_band(F.col("loan_range")))
-    low, high, amount = F.col("__band.low"), F.col("__band.high"), F.col("primary_origination_amount")
+    banded = pairs if "loan_band" in pairs.columns else pairs.withColumn("loan_band", size_band(F.col("loan_range")))
+    low, high, amount = F.col("loan_band.low"), F.col("loan_band.high"), F.col("primary_origination_amount")
     inside = F.coalesce((amount >= low) & (amount <= high), F.lit(False))
     near = ~inside & F.coalesce((amount >= 0.5 * low) & (amount <= 1.5 * high), F.lit(False))
     days = days_between(F.col("primary_origination_date"), F.col("lead_start_date"))
@@ -62,14 +62,20 @@ def corroboration(pairs: DataFrame) -> DataFrame:
         F.when(inside, "amount within loan range").when(near, "amount roughly aligned with loan range"),
         F.when(days >= 0, "origination after lead created").when(days < 0, "origination slightly before lead date"),
     )
-    return banded.withColumn("adjustment", points).withColumn("supporting_signals", signals).drop("__band")
+    return banded.withColumn("adjustment", points).withColumn("supporting_signals", signals)
 
 
-def scored(pairs: DataFrame, limits: Thresholds) -> DataFrame:
-    """Pairs that pass the date guard, the name's floor and guard and the candidate's floor, with their scores."""
+def scored(pairs: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
+    """Pairs that pass the date guard, the name's floor and guard and the candidate's floor, with their scores.
+
+    Pairs are dealt out by item before names are scored: a block's pairs are far more than its rows, so that the
+    join's own tasks would be few and uneven, and the ranking of an item's pairs then needs no other exchange.
+    """
     grace = limits.max_days_origination_before_lead
     timely = pairs.where(~predates_lead(F.col("primary_origination_date"), F.col("lead_start_date"), grace))
-    named = timely.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants")))
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = timely.repartition(tasks, *reversed(item_key))  # in another order than the items' own exchange, which would take its place and be coalesced
+    named = dealt.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants")))
     likely = named.where((F.col("__name.name_score") >= limits.min_name_score) & F.col("__name.signal"))
     flat = likely.select("*", *[F.col(f"__name.{a}").alias(b) for a, b in (("name_score", "name_score"), ("live_variant", "matched_live_variant"), ("candidate_variant", "matched_candidate_variant"))]).drop("__name")
     overall = round2(F.least(F.lit(100.0), F.col("name_score") + F.col("adjustment")))
@@ -107,7 +113,7 @@ def not_surfaced(items: DataFrame, candidates: DataFrame, best: DataFrame, item_
 def linked(items: DataFrame, candidates: DataFrame, item_key: list[str], limits: Thresholds | None = None) -> tuple[DataFrame, DataFrame]:
     """(matches in order, items that are not surfaced)."""
     limits = limits or Thresholds()
-    best = best_of_each(scored(blocked(items, candidates), limits), item_key, limits)
+    best = best_of_each(scored(blocked(items, candidates), item_key, limits), item_key, limits)
     matches = best.where("decision_band <> 'discard'")
     return matches.orderBy("decision_band", F.col("match_score").desc(), F.col("name_score").desc()), not_surfaced(items, candidates, best, item_key, limits)
 

@@ -93,7 +93,7 @@ def test_score_by_hand():
 
 def test_score_edges():
     assert s.ratio("", "") == 100 and s.ratio("", "a") == 0 and s.token_set_ratio("", "a") == 0 and s.token_set_ratio("a b", "a") == 100
-    assert s.best_pair([], ["a"]) == (0.0, "", "") and s.best_pair(["x", "a"], ["a", "x"])[1:] == ("x", "x")
+    assert s.best_pair((), ("a",)) == (0.0, "", "") and s.best_pair(("x", "a"), ("a", "x"))[1:] == ("x", "x")
 
 
 @pytest.mark.parametrize(
