@@ -58,7 +58,8 @@ def test_rules(results, corpus):
     assert all(not r["kept"] for r in results("op1_quality_rules") if r["base_failed"])
 
 
-def test_decontamination(results, corpus):
+def benchmark_hits(corpus):
+    """For each document: id, text, words, hit words and items, by trying every window at every place."""
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     low = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     windows = defaultdict(set)
@@ -66,7 +67,6 @@ def test_decontamination(results, corpus):
         w = low(text)
         for i in range(max(1, len(w) - 9) if w else 0):
             windows[tuple(w[i : i + 10])].add(item)
-    want = []
     for doc_id, text, *_ in corpus[0]:
         w, hit, items = low(text), set(), set()
         for size in {len(k) for k in windows}:
@@ -74,8 +74,14 @@ def test_decontamination(results, corpus):
                 if (k := tuple(w[i : i + size])) in windows:
                     hit.update(range(i, i + size))
                     items |= windows[k]
+        yield doc_id, text, len(w), hit, items
+
+
+def test_decontamination(results, corpus):
+    want = []
+    for doc_id, _, n, hit, items in benchmark_hits(corpus):
         ids = sorted(str(x) for x in items if x is not None)
-        want.append((doc_id, len(w), len(hit), len(ids), sha(",".join(ids)), bool(hit)))
+        want.append((doc_id, n, len(hit), len(ids), sha(",".join(ids)), bool(hit)))
     same(results("op2_decontaminate"), want, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
     assert sum(x[-1] for x in want) >= 4
 
@@ -210,6 +216,33 @@ def test_pipeline(spark, folder, results):
     assert sorted(r["decoded_sha256"] for r in results("pipeline")) == sorted(map(sha, texts))
 
 
+def test_pipeline_against_brute_force(spark, folder, corpus, results):
+    """From what the learned first stage keeps, every later stage is done again by plain means."""
+    import corpus_pipeline
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_toxic(spark, docs, folder).collect()]
+    root = parts([fingerprint(t) for _, t in kept])
+    least = defaultdict(list)
+    for (d, _), p in zip(kept, root, strict=True):
+        if d is not None:
+            least[p].append(d)
+    stays = {min(ids) for ids in least.values()}
+    leaky = {(d, t) for d, t, _, hit, _ in benchmark_hits(corpus) if hit}
+    want = []
+    for d, t in {x for x in kept if x[0] in stays} - leaky:
+        raw = None if t is None else t.encode()
+        for a, b in reversed(secrets.merged([(a, b) for _, a, b in secrets.find_spans(raw)[1]])):
+            t = f"{t[:a]}[SECRET]{t[b:]}"
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((d, len(ids), hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()))
+    same(results("pipeline"), want, ["doc_id", "n_tokens", "ids_sha256"])
+
+
 def test_redaction_merges_overlaps(spark):
     rows = spark.createDataFrame([(1, 'a token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" b'), (2, None), (3, "clean")], "doc_id long, text string")
     assert [r.text for r in secrets.redacted(rows).orderBy("doc_id").collect()] == ['a [SECRET]" b', None, "clean"]
