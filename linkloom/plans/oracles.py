@@ -191,7 +191,7 @@ LINKED = f"""{CORROBORATED}, vp AS (
 ), matches AS (
   SELECT *, CASE WHEN overall >= 94 AND name_score >= 92 AND gap >= 5 THEN 'auto_accept' WHEN overall >= 60 THEN 'review' WHEN overall >= 58 THEN 'possible_match' ELSE 'discard' END AS band FROM banded
 )"""
-PAIRS = "n AS (SELECT DISTINCT p_name FROM part), p AS (SELECT x.p_name AS a, y.p_name || ' llc' AS b FROM n x JOIN n y ON substr(x.p_name, 1, 1) <= substr(y.p_name, 1, 1))"
+PAIRS = "n AS (SELECT DISTINCT p_name FROM part), p AS (SELECT x.p_name AS a, y.p_name || ' llc' AS b FROM n x JOIN n y ON substr(x.p_name, 1, 1) = substr(y.p_name, 1, 1))"
 HISTORY = """
 hist AS (
   SELECT sha1(user_id || '||' || event_type) AS match_key, CASE e % 4 WHEN 0 THEN 'auto_accept' WHEN 1 THEN 'review' ELSE 'possible_match' END AS decision_band,
