@@ -11,10 +11,11 @@ are eight places for them, and no symbol is longer than four words. A window's a
 which is made of the names on both sides, is least in it; equal windows have equal anchors. An anchor's key
 names the six words around it; a run of equal keys is posted once, as is a key within a document.
 
-1. Spark gathers (key, document) and finds the keys that are in several documents.
-2. Each document gets the set of its shared keys; windows with an anchor among them are named in full, by two
-   64-bit hashes, and Spark finds for each name the smallest document; this verifies the repeats.
-3. Each document gets the names of its windows that a smaller document has, and loses the words they cover.
+1. Documents whose whole text a smaller document has are found by a digest; all their windows are repeats.
+2. Spark gathers (key, document) and finds the keys that are in several documents.
+3. Each other document gets the set of its shared keys; windows with an anchor among them are named in full, by 64
+   and 32 bits of two hashes, and Spark finds for each name the smallest document; this verifies the repeats.
+4. Each document gets the names of its windows that a smaller document has, and loses the words they cover.
 
 Uneven keys, such as a passage in a third of all documents, are counted after partial aggregation and joined
 by sort-merge joins with an exchange on either side, which adaptive execution can split. Tables between the
@@ -168,12 +169,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = s.windows()
             begin = begin[shared[owner[begin]]]
             a, b = s.window_names(begin)
+            b = (b >> np.uint64(32)).astype(np.int32)
             doc = s.doc[begin]
             order = np.lexsort((a, doc))
             a, b, doc = a[order], b[order], doc[order]
             one = np.ones(len(a), bool)
             one[1:] = (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])
-            yield pa.RecordBatch.from_arrays([_signed(a[one]), _signed(b[one]), pa.array(ids[at : at + len(texts)][doc[one]], pa.int64())], ["a", "b", "doc_id"])
+            yield pa.RecordBatch.from_arrays([_signed(a[one]), pa.array(b[one]), pa.array(ids[at : at + len(texts)][doc[one]], pa.int64())], ["a", "b", "doc_id"])
             at += len(texts)
 
 
@@ -182,13 +184,13 @@ def _blend(pairs: np.ndarray) -> np.ndarray:
     return mixed(pairs["key"].view(np.uint64) + pairs["doc"].astype(np.uint64) * _ODD[9]) if len(pairs) else np.empty(0, np.uint64)
 
 
-def kept_words(texts: list[bytes | None], names: list[set | None]) -> list[tuple[int, list[bytes]]]:
-    """For each text: its number of words, and the words that no window named in `names` covers."""
+def kept_words(texts: list[bytes | None], names: list[set | None], copies: list[bool]) -> list[tuple[int, list[bytes]]]:
+    """For each text: its number of words, and the words that no window named in `names` covers; all windows of a copy are."""
     out: list = [None] * len(texts)
-    some = [i for i, n in enumerate(names) if n]
+    some = [i for i, n in enumerate(names) if n and not copies[i]]
     for i in set(range(len(texts))) - set(some):
         words = (texts[i] or b"").split()
-        out[i] = (len(words), words)
+        out[i] = (len(words), [] if copies[i] and len(words) >= WINDOW else words)
     if some:
         s = Stretch([texts[i] for i in some])
         begin = s.windows()
@@ -208,60 +210,68 @@ def kept_words(texts: list[bytes | None], names: list[set | None]) -> list[tuple
     return out
 
 
-_KEPT = "struct<n_words:bigint,n_removed:bigint,kept_sha256:string>"
-
-
-def _digests(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for batch, names in texts:
+def _kept(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[list[tuple[bytes | None, int, list[bytes]]]]:
+    """(text, number of words, words kept) of each row, batch by batch."""
+    for batch, names, copies in batches:
         rows, at = [], 0
         for part in slices(batch):
             own = [set(n) if n else None for n in names.slice(at, len(part)).to_pylist()]
-            rows += [(n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()) for n, kept in kept_words(part, own)]
+            same = [bool(c) for c in copies.slice(at, len(part)).to_pylist()]
+            rows += [(t, *k) for t, k in zip(part, kept_words(part, own, same), strict=True)]
             at += len(part)
-        cols = list(zip(*rows, strict=True)) or [()] * 3
+        yield rows
+
+
+_KEPT = "struct<n_words:bigint,n_removed:bigint,kept_sha256:string>"
+
+
+def _digests(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for rows in _kept(batches):
+        cols = [[n for _, n, _ in rows], [n - len(k) for _, n, k in rows], [hashlib.sha256(b" ".join(k)).hexdigest() for _, _, k in rows]]
         yield pa.StructArray.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], ["n_words", "n_removed", "kept_sha256"])
 
 
-def _texts(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for batch, names in texts:
-        out, at = [], 0
-        for part in slices(batch):
-            own = [set(n) if n else None for n in names.slice(at, len(part)).to_pylist()]
-            out += [None if t is None else b" ".join(kept).decode("utf-8", "replace") for t, (_, kept) in zip(part, kept_words(part, own), strict=True)]
-            at += len(part)
-        yield pa.array(out, pa.string())
+def _texts(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for rows in _kept(batches):
+        yield pa.array([None if t is None else b" ".join(k).decode("utf-8", "replace") for t, _, k in rows], pa.string())
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, names): the first hashes of a document's windows that a smaller document has; in the shared folder."""
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """`docs` with __names, the first hashes of the windows that a smaller document has, and __copy, whether one has the whole text."""
     spark = docs.sparkSession
     own = docs.select("doc_id", "text").where("doc_id is not null and text is not null").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    # copies of a whole text are settled first: only the smallest of them goes on
+    digests = settled(own.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest")).distinct())
+    least = settled(digests.groupBy("digest").agg(F.min("doc_id").alias("low")))
+    copies = digests.join(least, "digest").groupBy("doc_id").agg(F.collect_set(F.when(F.col("doc_id") > F.col("low"), F.col("digest"))).alias("copied"), F.bool_or(F.col("doc_id") == F.col("low")).alias("first"))
+    copies = settled(copies)
+
     postings, p1 = written(own.mapInArrow(_postings, "key bigint, doc_id bigint"), "postings")
     shared, p2 = written(postings.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key"), "shared")
-    keys, p3 = written(postings.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "keys")
+    dropped(spark)
+    keys = postings.join(shared, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    firsts, p3 = written(keys.join(copies.where("first").select("doc_id"), "doc_id"), "keys")
     dropped(spark, p1, p2)
-    found, p4 = written(own.join(keys, "doc_id").select("doc_id", "text", "keys").mapInArrow(_windows, "a bigint, b bigint, doc_id bigint"), "windows")
+    found, p4 = written(own.join(firsts, "doc_id").select("doc_id", "text", "keys").mapInArrow(_windows, "a bigint, b int, doc_id bigint"), "windows")
     dropped(spark, p3)
-    least, p5 = written(found.groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"), "least")
-    names = settled(found.join(least, ["a", "b"]).where("doc_id > low").groupBy("doc_id").agg(F.collect_set("a").alias("names")))
+    low, p5 = written(found.groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high"), "least")
+    dropped(spark)
+    names = found.join(low, ["a", "b"]).where("doc_id > low").groupBy("doc_id").agg(F.collect_set("a").alias("__names"))
+    marks = settled(copies.where(F.size("copied") > 0).select("doc_id", "copied").join(names, "doc_id", "full_outer").withColumnRenamed("doc_id", "__doc"))
     dropped(spark, p4, p5)
-    return names
-
-
-def _with_names(docs: DataFrame, out: str) -> DataFrame:
-    names = repeated_windows(docs).select(F.col("doc_id").alias("__doc"), F.col("names").alias(out))
-    return docs.join(names, docs["doc_id"].cast("bigint") == F.col("__doc"), "left").drop("__doc")
+    both = docs.join(marks, docs["doc_id"].cast("bigint") == F.col("__doc"), "left")
+    copy = F.when(F.col("copied").isNotNull(), F.array_contains("copied", F.sha2(F.col("text").cast("binary"), 256)))
+    return both.withColumn("__copy", copy).drop("__doc", "copied")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with the repeated words taken out of `text`, whose kept words are then joined by single spaces."""
-    marked = _with_names(docs, "__names")
-    return marked.withColumn("text", F.arrow_udf(_texts, "string")("text", "__names")).drop("__names")
+    return _with_repeats(docs).withColumn("text", F.arrow_udf(_texts, "string")("text", "__names", "__copy")).drop("__names", "__copy")
 
 
 def op9_substrings(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _with_names(docs, "names").select("doc_id", F.arrow_udf(_digests, _KEPT)("text", "names").alias("kept")).select("doc_id", "kept.*")
+    return _with_repeats(docs).select("doc_id", F.arrow_udf(_digests, _KEPT)("text", "__names", "__copy").alias("kept")).select("doc_id", "kept.*")
 
 
 OP9_SQL = r"""
