@@ -111,11 +111,16 @@ def decided(answers: DataFrame, payload: str = "payload", offered: str = "offere
     )
 
 
-def asked(requests: DataFrame, model: Model, item_key: list[str], most: int = MOST_ROWS) -> DataFrame:
-    """Answers to at most `most` requests (the cap on paid calls), with errors scrubbed."""
+def unasked(requests: DataFrame, item_key: list[str], most: int | None = MOST_ROWS) -> DataFrame:
+    """The requests that `asked` leaves out under the same cap."""
+    return requests.limit(0) if most is None else requests.orderBy(*item_key).offset(most)
+
+
+def asked(requests: DataFrame, model: Model, item_key: list[str], most: int | None = MOST_ROWS) -> DataFrame:
+    """Answers to at most `most` requests (the cap on paid calls; None for all), with errors scrubbed; see `unasked`."""
     import pandas as pd
 
-    first = requests.orderBy(*item_key).limit(most)
+    first = requests if most is None else requests.orderBy(*item_key).limit(most)
     schema = first.select(*item_key, "prompt", "offered").withColumn("payload", F.lit("")).withColumn("call_error", F.lit("")).schema
 
     def run(batches):

@@ -321,9 +321,9 @@ def q_legacy_history(spark, d):
 
 
 def q_stub_adjudication(spark, d):
-    found = adjudicate.offers(adjudicate.pool(roles.items(spark, d).where("source_code = 'Brand#1'"), roles.candidates(spark, d), ITEM), ITEM)
+    found = adjudicate.offers(adjudicate.pool(roles.items(spark, d), roles.candidates(spark, d), ITEM), ITEM)
     requests = found.select(*ITEM, F.lit("which?").alias("prompt"), F.transform("candidates", lambda c: c["application_id"]).alias("offered"))
-    return adjudicate.overlay(adjudicate.decided(adjudicate.asked(requests, adjudicate.Stub("top"), ITEM)), ITEM)
+    return adjudicate.overlay(adjudicate.decided(adjudicate.asked(requests, adjudicate.Stub("top"), ITEM, most=None)), ITEM)
 
 
 QUERIES = {k: f for k, f in globals().items() if k.startswith("q_")}

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.operators import adjudicate
 from linkloom.plans import catalog
 
 TABLES = "/root/testdata/sf0.01"
@@ -40,3 +41,18 @@ def test_similarities_see_all_pairs(spark, name):
     n = spark.read.parquet(f"{TABLES}/part.parquet").select("p_name").distinct().count()
     assert pairs.where(F.substring("a", 1, 1) != F.substring("b", 1, 1)).count() > 0
     assert len(same_as_sql(pairs, name, "substr(x.p_name, 1, 1) = substr(y.p_name, 1, 1)", "TRUE")) == n * n
+
+
+@here
+def test_stub_adjudication_asks_about_all_items(spark):
+    name = "q_stub_adjudication"
+    want = same_as_sql(catalog.QUERIES[name](spark, TABLES), name, "WHERE source_code = 'Brand#1'", "")
+    assert len(want) > adjudicate.MOST_ROWS
+
+
+def test_what_lies_beyond_the_cap_is_given(spark):
+    rows = spark.createDataFrame([(i, "p", [7, 8]) for i in range(5)], "k int, prompt string, offered array<bigint>")
+    for most, rest in ((3, [3, 4]), (9, []), (None, [])):
+        asked = [r.k for r in adjudicate.asked(rows, adjudicate.Stub("top"), ["k"], most=most).collect()]
+        assert sorted(r.k for r in adjudicate.unasked(rows, ["k"], most).collect()) == rest
+        assert sorted([*asked, *rest]) == [0, 1, 2, 3, 4]
