@@ -9,8 +9,8 @@ of a segment is the logarithm of the guesses that it takes. A value whose cheape
 Spans are (kind, start, end) in code points, end exclusive, of the match (of the value for kind guess), in
 the order of their start and then of `KINDS`. A guess that lies within a base span is not added.
 
-Edge cases: a null text is empty and has no spans; texts are scanned whole; a value beyond `PRICED_CHARS`
-costs at least what its parts cost, so it is priced part by part and the parts' costs are added.
+Edge cases: a null text is empty and has no spans; texts are scanned whole, and values of any length are
+priced whole.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -29,7 +30,6 @@ from linkloom.llm.common import slices, table
 
 KINDS = ("assign", "access", "hex", "guess")
 GUESS_BITS = 40.0
-PRICED_CHARS = 64
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{16}")
@@ -64,8 +64,8 @@ def _alphabet(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
-def _segments(s: str) -> Iterator[tuple[int, int, float]]:
-    """(start, end, bits) of every segment that is cheaper than brute force."""
+def _short_segments(s: str) -> Iterator[tuple[int, int, float]]:
+    """(start, end, bits) of words and dates."""
     low, n = s.lower(), len(s)
     plain = low.translate(_LEET)
     for i in range(n):
@@ -78,35 +78,91 @@ def _segments(s: str) -> Iterator[tuple[int, int, float]]:
         for m in (_DATE.match(s, i),):
             if m:
                 yield i, m.end(), 8.0 if m.end() - i == 4 else 15.0
-        j = i + 1
-        while j < n and low[j] == low[i]:
-            j += 1
-            if j - i >= 3:
-                yield i, j, _alphabet(s[i]) + math.log2(j - i)
-        for size in (2, 3, 4):  # a repeated group
-            j = i + size
-            while low[j : j + size] == low[i : i + size] and j + size <= n:
-                j += size
-                yield i, j, sum(map(_alphabet, s[i : i + size])) + math.log2((j - i) / size)
-        j = i + 1
-        while j < n and (low[j - 1], low[j]) in _NEXT:
+
+
+class _Stretch:
+    """A longest stretch of equal characters, of a repeated group or of a walk: every part of it that has `least`
+    characters or more, and a multiple of `step`, is a segment of fixed + slope * log2(length / step) bits."""
+
+    def __init__(self, start: int, end: int, step: int, least: int, fixed: Callable[[int], float], slope: float):
+        self.start, self.end, self.step, self.least, self.fixed, self.slope = start, end, step, least, fixed, slope
+        self.live: dict[int, list[tuple[int, float]]] = {}
+
+    def bits(self, i: int, j: int) -> float:
+        return self.fixed(i) + self.slope * math.log2((j - i) / self.step)
+
+    def cheapest(self, j: int, best: list[float]) -> float:
+        """The least best[i] + bits(i, j), for j = start, start + 1, ... in turn.
+
+        Costs are concave in the length, so what an earlier start costs more than a later one only falls as j
+        grows: a start that is no better than an earlier one when it first counts never is, and an earlier one
+        that is no better at the stretch's end was not before. Neither is held, so that few starts are.
+        """
+        i = j - self.least
+        if i < self.start:
+            return math.inf
+        held = self.live.setdefault((j - self.start) % self.step, [])
+        new = best[i] + self.fixed(i)
+        cost = lambda start, base, end: base + self.slope * math.log2((end - start) / self.step)
+        least = min((cost(a, base, j) for a, base in held), default=math.inf)
+        if cost(i, new, j) < least:
+            last = self.end - (self.end - j) % self.step
+            held[:] = [(a, base) for a, base in held if cost(a, base, last) < cost(i, new, last)] + [(i, new)]
+            least = cost(i, new, j)
+        return least
+
+
+def _stretches(s: str) -> Iterator[_Stretch]:
+    low, n = s.lower(), len(s)
+
+    def runs(gap: int, linked: Callable[[int], bool]) -> Iterator[tuple[int, int]]:
+        """Longest (start, end) in which each character is linked to the one `gap` before it."""
+        j = gap
+        while j < n:
+            if linked(j):
+                start = j - gap
+                while j < n and linked(j):
+                    j += 1
+                yield start, j
             j += 1
-            if j - i >= 3:
-                yield i, j, 6.0 + 1.5 * math.log2(j - i)
+
+    for a, b in runs(1, lambda j: low[j] == low[j - 1]):
+        if b - a >= 3:
+            yield _Stretch(a, b, 1, 3, lambda i: _alphabet(s[i]), 1.0)
+    for size in (2, 3, 4):  # a repeated group
+        for a, b in runs(size, lambda j, size=size: low[j] == low[j - size]):
+            if b - a >= 2 * size:
+                yield _Stretch(a, b, size, 2 * size, lambda i, size=size: sum(map(_alphabet, s[i : i + size])), 1.0)
+    for a, b in runs(1, lambda j: (low[j - 1], low[j]) in _NEXT):
+        if b - a >= 3:
+            yield _Stretch(a, b, 1, 3, lambda i: 6.0, 1.5)
+
+
+def _segments(s: str) -> Iterator[tuple[int, int, float]]:
+    """(start, end, bits) of every segment that is cheaper than brute force."""
+    yield from _short_segments(s)
+    for x in _stretches(s):
+        for i in range(x.start, x.end):
+            for j in range(i + x.least, x.end + 1, x.step):
+                yield i, j, x.bits(i, j)
 
 
 @lru_cache(maxsize=20_000)
 def guess_bits(value: str) -> float:
     """log2 of the guesses that the cheapest segmentation of `value` takes."""
-    if len(value) > PRICED_CHARS:
-        return sum(guess_bits(value[i : i + PRICED_CHARS]) for i in range(0, len(value), PRICED_CHARS))
     n = len(value)
-    ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for i, j, bits in _segments(value):
+    ending: dict[int, list[tuple[int, float]]] = defaultdict(list)
+    for i, j, bits in _short_segments(value):
         ending[j].append((i, bits))
-    best = [0.0] + [math.inf] * n
+    begins: dict[int, list[_Stretch]] = defaultdict(list)
+    for x in _stretches(value):
+        begins[x.start].append(x)
+    best, around = [0.0] + [math.inf] * n, []
     for j in range(1, n + 1):
-        best[j] = min([best[j - 1] + _alphabet(value[j - 1]), *(best[i] + bits + 1.0 for i, bits in ending[j])])  # a bit for the choice of segment
+        if around or j - 1 in begins:
+            around = [x for x in around if x.end >= j] + begins.get(j - 1, [])
+        found = [best[i] + bits for i, bits in ending.get(j, ())] + [x.cheapest(j, best) for x in around]
+        best[j] = min([best[j - 1] + _alphabet(value[j - 1]), *(x + 1.0 for x in found)])  # a bit for the choice of segment
     return best[n]
 
 
