@@ -214,12 +214,16 @@ def connected(edges: DataFrame) -> DataFrame:
         mark = after
 
 
+def roots_of(classes: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
+    """(fp, root) for every fingerprint of `classes` that is linked with others: the least fingerprint of its component."""
+    return settled(connected(link_edges(classes, long_list=long_list)).withColumnRenamed("node", "fp"))
+
+
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", long_list: int = LONG_LIST) -> DataFrame:
     """doc_id, fp and component_id for every row of `docs`."""
     prints = settled(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fp"))
     classes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = settled(connected(link_edges(classes, long_list=long_list)).withColumnRenamed("node", "fp"))
-    own = settled(roots.join(classes, "fp"))
+    own = settled(roots_of(classes, long_list).join(classes, "fp"))
     ids = settled(own.groupBy("root").agg(F.min("least").alias("component_id")))
     linked = own.join(ids, "root").select("fp", "component_id")
     known = settled(classes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
@@ -231,14 +235,23 @@ def hex_digits(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, once, with the columns that it had.
+    """One row of each component, with the columns that it had: that with the smallest id, nulls last.
 
-    Rows without an id can't be told apart and go.
+    Of rows with the same id in a component the one whose digest of the text is least stays, and of those with
+    the same text too the one whose other columns have the least JSON, so that each run keeps the same row.
     """
-    stays = components(docs, doc_id, text).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__stays")).distinct()
-    first = F.row_number().over(Window.partitionBy("__stays").orderBy("__stays"))
-    kept = docs.join(stays, docs[doc_id] == F.col("__stays")).withColumn("__nth", first).where("__nth = 1")
-    return kept.select(*[docs[c] for c in docs.columns])
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    prints = with_fingerprint(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), digest.alias("digest")))
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "digest")
+    classes = settled(prints.select("fp", first.alias("first")).groupBy("fp").agg(F.min("first").alias("first")))
+    roots = roots_of(classes.select("fp"))
+    stays = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    stays = settled(stays.select(F.col("first.id").alias("__stays"), F.col("first.digest").alias("__digest")))
+    found = docs.withColumn("__own", digest).join(stays, docs[doc_id].eqNullSafe(F.col("__stays")) & (F.col("__own") == F.col("__digest")))
+    rest = [F.col(text).isNull().alias("__null"), *[F.col(c) for c in docs.columns if c != text]]
+    order = Window.partitionBy("__stays", "__digest").orderBy(F.to_json(F.struct(*rest)))
+    kept = found.withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
+    return kept.select(*docs.columns)
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from linkloom.llm import secrets
+from linkloom.llm import near_dups, secrets
 
 
 def slow_bits(value):
@@ -34,3 +34,14 @@ def test_costs_are_those_of_all_segments():
     for _ in range(100):
         value = "".join(r.choices("ab12", k=r.randint(1, 130)))
         assert secrets.guess_bits(value) == pytest.approx(slow_bits(value)), value
+
+
+def test_one_row_of_each_group_stays(spark):
+    r = random.Random(6)
+    texts = [" ".join(str(r.randrange(10**6)) for _ in range(40)) for _ in range(6)]
+    a, b, c, d, e, f = texts
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "x"), (None, b, "w"), (3, c, "x"), (3, d, "x"), (3, d, "x"), (None, e, "x"), (9, e, "x"), (4, e, "y"), (4, e, "z"), (None, None, "x"), (None, "", "x"), (7, f, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = [(3, c, "x"), (3, d, "x"), (4, e, "y"), (7, f, None), (None, "", "x"), (None, a, "x"), (None, b, "w")]
+    for n in (1, 7):
+        assert sorted(map(tuple, near_dups.one_of_each(docs.repartition(n)).collect()), key=repr) == sorted(want, key=repr)
