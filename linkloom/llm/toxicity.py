@@ -6,8 +6,9 @@ logit is a bias, a weight for each term, and for each pair of terms the product
 that an insult can weigh more beside a mention of a group than either does alone.
 
 The machine is fitted on the driver on a bounded sample: `PER_CLASS` labelled texts of each class are
-expected (see labelled_sample), whose hashed terms are gathered; terms in fewer than `LEAST_TEXTS` of them, or
-whose association with the label is weaker than `LEAST_Z`, weigh nothing. The bias is corrected for the
+expected (see labelled_sample), whose hashed terms are gathered. A term weighs something if it is in `LEAST_TEXTS`
+of them and its association with the label is `LEAST_Z` or more, or if it is in `LEAST_PAIRED` and, among the texts
+that have some other term, its association with the label is beyond chance (see in_pairs). The bias is corrected for the
 classes' shares among all labelled texts. Scoring reads whole texts.
 
 Edge cases: an empty or null text has no term, so that its score is that of the bias; without labels of both
@@ -33,6 +34,9 @@ FACTORS = 6
 PER_CLASS = 5000
 LEAST_TEXTS = 3
 LEAST_Z = 5.0
+LEAST_PAIRED = 10
+#: The chance that any pair at all seems associated where none is.
+PAIR_CHANCE = 0.01
 EPOCHS = 40
 BATCH = 64
 _FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -70,6 +74,36 @@ def linear_and_pairs(text: np.ndarray, row: np.ndarray, n: int, weight: np.ndarr
     return np.bincount(text, weight[row], n) + 0.5 * ((total**2).sum(axis=1) - square), total
 
 
+def in_pairs(hashes: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """The terms of pairs that say more about the label than either of the two does alone.
+
+    Let a share q of the texts with one term have label 1, and of the m texts with both a share r. A share so far
+    from q comes about with a chance under exp(-m * KL(r, q)) (Chernoff's bound), and both terms are taken if that
+    is under `PAIR_CHANCE` over the number of pairs for the q of either. Pairs are counted term by term, so that memory
+    grows with the terms and not with their square.
+    """
+    known = np.flatnonzero(np.bincount(np.concatenate(hashes).astype(np.int64), minlength=1 << BITS) >= LEAST_PAIRED)
+    place, v = np.full(1 << BITS, -1, np.int32), len(known)
+    place[known] = np.arange(v)
+    kept = [place[h][place[h] >= 0] for h in hashes]
+    flat, text = np.concatenate(kept), np.repeat(np.arange(len(kept)), [len(k) for k in kept])
+    order, ends = np.argsort(flat, kind="stable"), np.cumsum(np.bincount(flat, minlength=v))
+    coded = [k + np.int32(v * y) for k, y in zip(kept, labels.astype(int), strict=True)]
+    bound, taken = 2 * np.log(max(v, 2)) - np.log(PAIR_CHANCE), np.zeros(v, bool)
+    alone = np.bincount(flat, labels[text], v) / np.maximum(np.bincount(flat, minlength=v), 1)
+    alone = np.clip(alone, 1e-9, 1 - 1e-9)
+    for s in range(v):
+        own = text[order[ends[s - 1] if s else 0 : ends[s]]]
+        zeros, ones = np.bincount(np.concatenate([coded[i] for i in own]), minlength=2 * v).reshape(2, v)
+        m = np.maximum(zeros + ones, 1)
+        plain = ones * np.log(np.maximum(ones, 1) / m) + zeros * np.log(np.maximum(zeros, 1) / m)
+        far = plain - np.maximum(*(ones * np.log(q) + zeros * np.log(1 - q) for q in (alone[s], alone)))
+        far[s] = 0.0
+        taken |= far > bound
+        taken[s] |= bool((far > bound).any())
+    return known[taken]
+
+
 def fit(hashes: list[np.ndarray], labels: np.ndarray, prior: float, factors: int = FACTORS, epochs: int = EPOCHS) -> Machine:
     """Adaptive gradient steps on the logistic loss; prior: the share of label 1 that the bias is corrected to."""
     n_one, n = int(labels.sum()), len(labels)
@@ -82,7 +116,8 @@ def fit(hashes: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     ones, all_ = np.bincount(flat, of, 1 << BITS), np.bincount(flat, minlength=1 << BITS)
     expected = all_ * (n_one / n)
     z = (ones - expected) / np.sqrt(np.maximum(expected * (1 - n_one / n) * (1 - all_ / n), 1e-9))
-    chosen = np.flatnonzero((all_ >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z))
+    alone = np.flatnonzero((all_ >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z))
+    chosen = np.union1d(alone, in_pairs(hashes, labels))
     place[chosen] = np.arange(len(chosen))
     rng = np.random.default_rng(7)
     weight, factor, bias = np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), factors)), float(np.log(n_one / (n - n_one)))

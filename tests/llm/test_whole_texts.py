@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from linkloom.llm import near_dups, secrets
+from linkloom.llm import near_dups, secrets, toxicity
 
 
 def slow_bits(value):
@@ -45,3 +46,16 @@ def test_one_row_of_each_group_stays(spark):
     want = [(3, c, "x"), (3, d, "x"), (4, e, "y"), (7, f, None), (None, "", "x"), (None, a, "x"), (None, b, "w")]
     for n in (1, 7):
         assert sorted(map(tuple, near_dups.one_of_each(docs.repartition(n)).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_toxicity_of_the_pair_alone_is_learned():
+    """Each of two words is as frequent with the label as without it; only together (or neither) they tell."""
+    r = random.Random(2)
+    texts, labels = [], []
+    for i in range(1600):
+        a, b = i % 2, i // 2 % 2
+        texts.append(" ".join([*r.choices([f"w{i}" for i in range(30)], k=8), *["insult"] * a, *["group"] * b]))
+        labels.append(float(a == b))
+    machine = toxicity.fit([np.array(toxicity.terms(t.encode())) for t in texts], np.array(labels), 0.5)
+    scores = machine.logits([toxicity.terms(t) for t in (b"insult group w1", b"insult w1", b"group w1", b"w1")])
+    assert (scores > 0).tolist() == [True, False, False, True]
