@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 import tempfile
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -31,25 +32,48 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[bytes | N
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own where none is set (local runs)."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`.
+
+    Where it is unset, a local run gets a temporary folder; on a cluster executors could not see one, so that
+    this is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="linkloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def fresh_folder(spark: SparkSession, what: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/{what}-{uuid4().hex}"
+    """A new path below the shared folder, deleted when the driver ends if not before (see `dropped`)."""
+    path = f"{shared_folder(spark)}/{what}-{uuid4().hex}"
+    place, store = _place(spark, path)
+    store.mkdirs(place)
+    store.deleteOnExit(place)
+    return path
+
 
+def settled(df: DataFrame, what: str = "settled") -> DataFrame:
+    """The rows of `df` as a table in the shared folder, with their lineage cut; they outlive lost executors."""
+    return written(df, what)[0]
 
-def settled(df: DataFrame) -> DataFrame:
-    """The rows of `df` in the shared folder, with their lineage cut; they outlive lost executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+
+def spare_names(taken: Iterable[str], *names: str) -> list[str]:
+    """`names`, each with underscores after it so that none is in `taken` or among the others, in whatever case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:
@@ -95,19 +119,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, what: str) -> tuple[DataFrame, str]:
     """The rows of `df` as a Parquet table in the shared folder, and its path (see `dropped`)."""
     path = fresh_folder(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def dropped(spark: SparkSession, *paths: str) -> None:
-    """Deletes folders that `written` made, once nothing reads them any more, and lets Spark clean the shuffles behind them.
+class Shelf:
+    """Tables of one job in the shared folder, by name."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark, self.job, self.paths = spark, job, {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """The rows of `df` as a table; an older one of this name must not be read any more once this one is written."""
+        rows, path = written(df, f"{self.job}-{name}")
+        self.drop(name)
+        self.paths[name] = path
+        return rows
+
+    def drop(self, *names: str, sweep: bool = False) -> None:
+        """Deletes the tables of these names, if there are any; sweep: the shuffles of finished steps too."""
+        dropped(self.spark, *[self.paths.pop(n) for n in names if n in self.paths], sweep=sweep)
+
+    def clear(self, *but: str) -> None:
+        """Deletes all tables but these, which a returned frame still reads; they go when the driver ends."""
+        self.drop(*[n for n in self.paths if n not in but], sweep=True)
+
+
+def dropped(spark: SparkSession, *paths: str, sweep: bool = True) -> None:
+    """Deletes folders that `written` made, once nothing reads them any more; sweep: lets Spark clean the shuffles behind them.
 
     Spark deletes a shuffle's files when the driver has collected the objects that stand for it, which may be long
     after; on disks that hold several shuffles of the input this asks for it at once.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
-    gc.collect()
-    jvm.System.gc()
+        place, store = _place(spark, path)
+        store.delete(place, True)
+    if sweep:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
+def word_counts(docs: DataFrame, find: Callable[[list[bytes | None]], Iterable[bytes]], text: str = "text") -> DataFrame:
+    """(word, n): how often `find` gives each word over all texts; each slice of texts is counted before the shuffle."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in slices(batch.column(0)):
+                own = Counter(find(texts))
+                yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())], ["word", "n"])
+
+    return docs.select(F.col(text)).mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent(counts: DataFrame, most: int, least: int) -> list[tuple[bytes, int]]:
+    """The `most` commonest words that occur `least` times or more, the commonest first, ties by their bytes: a report of bounded size."""
+    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).collect()
+    return [(bytes(r.word), r.n) for r in top]

@@ -131,14 +131,14 @@ def test_long_lists_meet_in_the_middle(spark):
     df = spark.createDataFrame([(signed(x),) for x in prints], "fp long").repartition(5)
     for long_list in (near_dups.LONG_LIST, 4):
         found = {}
-        for row in near_dups.connected(near_dups.link_edges(df, long_list=long_list)).collect():
-            found.setdefault(row.root, set()).add(row.node)
+        for row in near_dups.roots_of(df, common.Shelf(spark, "test"), long_list).collect():
+            found.setdefault(row.root, set()).add(row.fp)
         assert sorted(map(sorted, found.values())) == want
 
 
 def test_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
-    out = dict(map(tuple, near_dups.connected(edges).collect()))
+    out = dict(map(tuple, near_dups.connected(edges, common.Shelf(spark, "test")).collect()))
     assert {out[i] for i in range(61)} == {0} and out[101] == out[100] == 100
 
 

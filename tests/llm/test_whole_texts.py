@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from linkloom.llm import near_dups, secrets, toxicity
+from linkloom.llm import common, near_dups, secrets, toxicity
 
 
 def slow_bits(value):
@@ -59,3 +59,55 @@ def test_toxicity_of_the_pair_alone_is_learned():
     machine = toxicity.fit([np.array(toxicity.terms(t.encode())) for t in texts], np.array(labels), 0.5)
     scores = machine.logits([toxicity.terms(t) for t in (b"insult group w1", b"insult w1", b"group w1", b"w1")])
     assert (scores > 0).tolist() == [True, False, False, True]
+
+
+def hot_list(r, n):
+    """n fingerprints that share four bytes, and some that share only three with them."""
+    low = r.getrandbits(32)
+    high = {r.getrandbits(32) for _ in range(n - n // 50)}
+    high |= {x ^ 1 << r.randrange(32) for x in r.sample(sorted(high), n // 50)}
+    prints = [h << 32 | low for h in high]
+    return prints + [p ^ 0xFF << 24 for p in prints[:200]] + [p ^ 3 << 5 for p in prints[:200]]
+
+
+def components_of(prints):
+    x = np.array(sorted(prints), np.uint64)
+    i, j = [], []
+    for at in range(0, len(x), 500):
+        a, b = np.nonzero(np.bitwise_count(x[at : at + 500, None] ^ x[None, at:]) <= 4)
+        i.append(at + a)
+        j.append(at + b)
+    label = near_dups.stars(len(x), np.concatenate(i), np.concatenate(j))
+    return x, label
+
+
+@pytest.mark.parametrize(("n", "long_list"), [(3_000, 10), (20_000, near_dups.LONG_LIST)])
+def test_hot_lists_lose_no_link(spark, n, long_list):
+    prints = hot_list(random.Random(n), n)
+    x, label = components_of(prints)
+    shelf = common.Shelf(spark, "test")
+    rows = spark.createDataFrame([(int(p),) for p in x.view(np.int64)], "fp long").repartition(6)
+    found = near_dups.roots_of(rows, shelf, long_list).collect()
+    groups, want = {}, {}
+    for r in found:
+        groups.setdefault(r.root, set()).add(r.fp)
+    for p, k in zip(x.view(np.int64).tolist(), label.tolist(), strict=True):
+        want.setdefault(k, set()).add(p)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
+def test_the_tally_rejects_pairs_of_too_few_positions():
+    x = np.array([0x0101010101000000, 0x0001010100000000, 0x0000000000000F00, 0], np.uint64)
+    assert [near_dups.links(x, c, 3).tolist() for c in (0b111, 0b1101)] == [[False, True, False, True], [False, False, True, False]]
+
+
+def test_stars_against_union_find():
+    r = np.random.default_rng(1)
+    for _ in range(50):
+        n, m = 40, int(r.integers(0, 60))
+        i, j = r.integers(0, n, m), r.integers(0, n, m)
+        root = list(range(n))
+        for _ in range(n):
+            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                root[a] = root[b] = min(root[a], root[b])
+        assert near_dups.stars(n, i, j).tolist() == root
