@@ -1,28 +1,30 @@
 """BPE encoding and decoding with a minimal acyclic transducer as the lexicon.
 
-The vocabulary's own words (entries that the merges map to themselves) are compiled into a minimal acyclic
-automaton that shares prefixes and suffixes; the numbers on the transitions of a word's path add up to its
-place among the words in byte order, and a table turns that place into the id. The compiled arrays are one
-file, which Spark ships to the executors and each worker maps into its memory. Words that the automaton
-lacks are merged exactly: all pairs of all unseen words of a slice are ranked at once, and each word merges
-its first pair of least rank until none is left. A bounded memo keeps the ids of recent words.
+Spark counts the words (pre-tokens) of all texts. The `LEXICON_WORDS` commonest that occur `LEAST_COUNT` times or
+more are merged once and compiled into a minimal acyclic automaton that shares prefixes and suffixes; the
+numbers on the transitions of a word's path add up to its place among the words in byte order, and a table
+turns that place into its ids, one or several. The compiled arrays, those of the merges and those of decoding
+are one file, which Spark ships to the executors from the shared folder; each worker maps it into its memory
+and reads the arrays there. Each distinct word of a slice of texts walks the automaton, all of them at once.
+Words that the automaton lacks are merged exactly: all pairs of all unseen words of a slice are ranked at once,
+and each word merges its first pair of least rank until none is left.
 
 Texts are split as the vocabulary file's byte-level pre-tokenizer does; the strings of special tokens are
-taken as these tokens, as the tokenizers library does by default. No tokenizer is trained here, and no
-count over the corpus is used: the words come from the vocabulary file, whose path is a parameter.
+taken as these tokens, as the tokenizers library does by default. No tokenizer is trained here; the
+vocabulary file's path is a parameter.
 
-Edge cases: a null text is empty; an empty text has no ids (the digest of no bytes); texts are encoded
-whole; ids that the vocabulary lacks can't be decoded and raise an error.
+Edge cases: a null text is empty; an empty text has no ids (the digest of no bytes); texts are encoded whole,
+however long; ids that the vocabulary lacks can't be decoded and raise an error; an empty table has no words,
+an automaton that accepts none, and no rows; repeated rows get the same result. The functions replace a column
+that has the name of their result, as withColumn does; all other columns stay.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 import struct
-import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,7 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import slices, table
+from linkloom.llm.common import frequent, fresh_folder, opened, slices, table, word_counts
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -42,7 +44,8 @@ _PLAIN = re.compile(r"""'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|
 _FULL = regex.compile(PATTERN)
 #: Letters and digits of which the two are known to agree; other characters beyond ASCII take the full pattern.
 _ODD = re.compile("[^\x00-\x1b\x20-\x7f¡-±´-¸º»¿-ɏ‐-‧‰-⁞₠-₿]")
-MEMO_WORDS = 300_000
+LEXICON_WORDS = 100_000
+LEAST_COUNT = 2
 
 
 def byte_characters() -> dict[str, int]:
@@ -75,20 +78,25 @@ class Merger:
 
     NONE = np.int64(1 << 40)
 
-    def __init__(self, of_byte: np.ndarray, left: np.ndarray, right: np.ndarray, made: np.ndarray):
-        self.of_byte, self.made = of_byte, made
-        self.bits = int(np.ceil(np.log2(len(left) * 4)))
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.ranks = np.full(1 << self.bits, self.NONE, np.int64)
-        keys = left << 24 | right
-        slot, rest = self._slot(keys), np.arange(len(keys))
-        while len(rest):  # open addressing: those that find their slot free take it, the others move on
-            free = self.keys[slot[rest]] == -1
+    def __init__(self, of_byte: np.ndarray, made: np.ndarray, keys: np.ndarray, ranks: np.ndarray):
+        self.of_byte, self.made, self.keys, self.ranks = of_byte, made, keys, ranks
+        self.bits = len(keys).bit_length() - 1
+
+    @classmethod
+    def of(cls, vocabulary: Vocabulary) -> Merger:
+        """With a hash table of the ranks of all pairs (open addressing)."""
+        pairs = vocabulary.left << 24 | vocabulary.right
+        size = 1 << int(np.ceil(np.log2(len(pairs) * 4)))
+        merger = cls(vocabulary.of_byte, vocabulary.made, np.full(size, -1, np.int64), np.full(size, cls.NONE, np.int64))
+        slot, rest = merger._slot(pairs), np.arange(len(pairs))
+        while len(rest):  # those that find their slot free take it, the others move on
+            free = merger.keys[slot[rest]] == -1
             first = np.unique(slot[rest[free]], return_index=True)[1]
             put = rest[free][first]
-            self.keys[slot[put]], self.ranks[slot[put]] = keys[put], put
+            merger.keys[slot[put]], merger.ranks[slot[put]] = pairs[put], put
             rest = np.setdiff1d(rest, put)
-            slot[rest] = (slot[rest] + 1) & ((1 << self.bits) - 1)
+            slot[rest] = (slot[rest] + 1) & (size - 1)
+        return merger
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -231,27 +239,26 @@ def compile_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
 
 
 class Transducer:
-    """Walks the automaton for many words at a time."""
+    """Walks the automaton for many words at a time; reads its arrays where they are."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.a = arrays
-        moves = np.diff(arrays["first"])
-        self.moves = np.repeat(np.arange(len(moves), dtype=np.int64), moves) << 8 | arrays["label"]
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """The id of each word, -1 where the automaton doesn't accept it."""
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word among those of the automaton, -1 where it doesn't accept it."""
         size = np.array([len(w) for w in words], np.int64)
         text = np.frombuffer(b"".join(words), np.uint8)
         start = np.cumsum(size) - size
         state = np.full(len(words), self.a["root"][0], np.int64)
         place = np.zeros(len(words), np.int64)
-        alive = np.flatnonzero(size > 0)
+        moves = self.a["moves"]
+        alive = np.flatnonzero(size > 0) if len(moves) else np.empty(0, np.int64)
         result = np.full(len(words), -1, np.int64)
         depth = 0
         while len(alive):
             key = state[alive] << 8 | text[start[alive] + depth]
-            at = np.minimum(np.searchsorted(self.moves, key), len(self.moves) - 1)
-            ok = self.moves[at] == key
+            at = np.minimum(np.searchsorted(moves, key), len(moves) - 1)
+            ok = moves[at] == key
             alive, at = alive[ok], at[ok]
             place[alive] += self.a["skip"][at]
             state[alive] = self.a["target"][at]
@@ -259,30 +266,36 @@ class Transducer:
             ended = size[alive] == depth
             over = alive[ended]
             over = over[self.a["final"][state[over]] == 1]
-            result[over] = self.a["ids"][place[over]]
+            result[over] = place[over]
             alive = alive[~ended]
         return result
 
-
-def own_words(vocabulary: Vocabulary, merger: Merger) -> tuple[list[bytes], list[int]]:
-    """Entries that the merges map to themselves, in byte order, and their ids."""
-    special = set(vocabulary.special.values())
-    entries = sorted((w, i) for i, w in enumerate(vocabulary.bytes) if w and i not in special)
-    merged = merger.merge([w for w, _ in entries])
-    pairs = [(w, i) for (w, i), ids in zip(entries, merged, strict=True) if ids == struct.pack("<I", i)]
-    return [w for w, _ in pairs], [i for _, i in pairs]
+    def ids(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word as little-endian unsigned 32-bit integers, None where the automaton doesn't accept it."""
+        place = self.places(words)
+        ends, ids = self.a["ends"], self.a["ids"].view(np.uint8)
+        low, high = (4 * ends[place]).tolist(), (4 * ends[place + 1]).tolist()
+        return [ids[a:b].tobytes() if p >= 0 else None for p, a, b in zip(place.tolist(), low, high, strict=True)]
 
 
-def compile_file(vocabulary_path: str) -> str:
-    """Compiles a vocabulary file for `Codec`; returns the path of the file made."""
-    with open(vocabulary_path, encoding="utf-8") as f:
+@lru_cache(maxsize=4)
+def _vocabulary(path: str) -> tuple[Vocabulary, Merger]:
+    with open(path, encoding="utf-8") as f:
         vocabulary = Vocabulary(json.load(f))
-    merger = Merger(vocabulary.of_byte, vocabulary.left, vocabulary.right, vocabulary.made)
-    words, ids = own_words(vocabulary, merger)
-    arrays = compile_automaton(words) | {"ids": np.array(ids, np.int32)}
+    return vocabulary, Merger.of(vocabulary)
+
+
+def compiled(vocabulary_path: str, words: list[bytes]) -> bytes:
+    """A vocabulary file and a lexicon of distinct words as the bytes of a file for `Codec`."""
+    vocabulary, merger = _vocabulary(vocabulary_path)
+    words = sorted(words)
+    arrays = compile_automaton(words)
+    coded = merger.merge(words)
+    arrays |= {"moves": np.repeat(np.arange(len(arrays["final"]), dtype=np.int64), np.diff(arrays["first"])) << 8 | arrays["label"]}
+    arrays |= {"ids": np.frombuffer(b"".join(coded), "<u4"), "ends": np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int64)}
     spelled = [b or b"" for b in vocabulary.bytes]
-    arrays |= {"of_byte": vocabulary.of_byte, "left": vocabulary.left, "right": vocabulary.right, "made": vocabulary.made}
-    arrays |= {"spelled": np.frombuffer(b"".join(spelled), np.uint8), "spelled_size": np.array([len(b) for b in spelled], np.int32)}
+    arrays |= {"of_byte": merger.of_byte, "made": merger.made, "keys": merger.keys, "ranks": merger.ranks}
+    arrays |= {"spelled": np.frombuffer(b"".join(spelled), np.uint8), "spelled_ends": np.cumsum([0, *map(len, spelled)], dtype=np.int64)}
     head, body, at = {}, [], 0
     for name, x in arrays.items():
         raw = x.tobytes()
@@ -292,9 +305,25 @@ def compile_file(vocabulary_path: str) -> str:
         at += len(raw)
     top = json.dumps({"arrays": head, "special": vocabulary.special}).encode()
     top += b" " * (-(len(top) + 8) % 8)
-    with tempfile.NamedTemporaryFile(prefix="lexicon-", suffix=".bin", delete=False) as f:
-        f.write(struct.pack("<q", len(top)) + top + b"".join(body))
-    return f.name
+    return struct.pack("<q", len(top)) + top + b"".join(body)
+
+
+class Splitter:
+    """Cuts texts into pre-tokens, with the strings of special tokens among them."""
+
+    def __init__(self, special: dict[str, int]):
+        self.special = special
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+
+    def words(self, text: str) -> list[str]:
+        find = (_FULL if _ODD.search(text) else _PLAIN).findall
+        if self.at_special and any(s in text for s in self.special):
+            return [w for part in self.at_special.split(text) for w in ([part] if part in self.special else find(part))]
+        return find(text)
+
+
+def _decoded(raw: bytes | None) -> str:
+    return (raw or b"").decode("utf-8", "replace")
 
 
 class Codec:
@@ -305,46 +334,34 @@ class Codec:
         size = struct.unpack("<q", mapped[:8].tobytes())[0]
         head = json.loads(mapped[8 : 8 + size].tobytes())
         body = mapped[8 + size :]
-        a = {k: np.frombuffer(body, np.dtype(kind), n, at) for k, (at, n, kind) in head["arrays"].items()}
-        self.special = head["special"]
-        self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.a = a = {k: np.frombuffer(body, np.dtype(kind), n, at) for k, (at, n, kind) in head["arrays"].items()}
+        self.special = {w: struct.pack("<I", i) for w, i in head["special"].items()}
+        self.split = Splitter(head["special"]).words
         self.transducer = Transducer(a)
-        self.merger = Merger(a["of_byte"], a["left"], a["right"], a["made"])
-        text, ends = a["spelled"].tobytes(), np.cumsum(a["spelled_size"]).tolist()
-        self.spelled = [text[i:j] for i, j in zip([0, *ends], ends, strict=False)]
-        self.memo: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
-        """Pre-tokens, with the strings of special tokens among them."""
-        find = (_FULL if _ODD.search(text) else _PLAIN).findall
-        if self.split_special and any(s in text for s in self.special):
-            return [w for part in self.split_special.split(text) for w in ([part] if part in self.special else find(part))]
-        return find(text)
-
-    def _learn(self, words: list[str]) -> None:
-        raw = [w.encode("utf-8", "replace") for w in words]
-        ids = self.transducer.ids(raw)
-        flat = ids.astype("<u4").tobytes()
-        self.memo.update(zip(words, [flat[i : i + 4] for i in range(0, len(flat), 4)], strict=True))
-        unseen = np.flatnonzero(ids < 0).tolist()
-        self.memo.update(zip([words[k] for k in unseen], self.merger.merge([raw[k] for k in unseen]), strict=True))
-        for w in self.special.keys() & set(words):
-            self.memo[w] = struct.pack("<I", self.special[w])
+        self.merger = Merger(a["of_byte"], a["made"], a["keys"], a["ranks"])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self.words(t) for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        new = set().union(*split) - self.memo.keys()
-        if new:
-            self._learn(list(new))
-        look = self.memo.__getitem__
-        return [b"".join(map(look, words)) for words in split]
-
-    def decode(self, ids: bytes) -> str:
-        look = self.spelled.__getitem__
-        return b"".join(map(look, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        split = [self.split(t) for t in texts]
+        words = list(set().union(*split) - self.special.keys())
+        raw = [w.encode("utf-8", "replace") for w in words]
+        ids = self.transducer.ids(raw)
+        unseen = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(unseen, self.merger.merge([raw[k] for k in unseen]), strict=True):
+            ids[k] = x
+        look = dict(zip(words, ids, strict=True), **self.special).__getitem__
+        return [b"".join(map(look, own)) for own in split]
+
+    def decode(self, coded: list[bytes]) -> list[str]:
+        """The texts that ids stand for."""
+        ids, ends = np.frombuffer(b"".join(coded), "<u4").astype(np.int64), self.a["spelled_ends"]
+        if len(ids) and ids.max() >= len(ends) - 1:
+            raise ValueError(f"no token has the id {ids.max()}")
+        size = ends[ids + 1] - ends[ids]
+        after = np.cumsum(size)
+        raw = self.a["spelled"][np.repeat(ends[ids] - (after - size), size) + np.arange(after[-1] if len(ids) else 0)].tobytes()
+        cuts = np.concatenate([[0], after])[np.cumsum([0, *(len(c) // 4 for c in coded)])].tolist()
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -352,27 +369,46 @@ def _codec(path: str) -> Codec:
     return Codec(path)
 
 
-_SHIPPED: dict[tuple[str, str], str] = {}
+def frequent_words(docs: DataFrame, vocabulary_path: str, text: str = "text", most: int = LEXICON_WORDS, least: int = LEAST_COUNT) -> list[bytes]:
+    """The commonest words of all texts of `docs`; special tokens aside."""
+    special = _vocabulary(vocabulary_path)[0].special
+
+    def words(texts: list[bytes | None]) -> Iterator[str]:
+        split = Splitter(special).words
+        return (w for t in texts for w in split(_decoded(t)) if w not in special)
+
+    return [w for w, _ in frequent(word_counts(docs, words, text), most, least)]
+
 
+_SHIPPED: dict[tuple, str] = {}
 
-def _shipped(spark, vocabulary_path: str) -> str:
-    """The name under which the compiled vocabulary is sent to the executors; compiled once for each application."""
-    key = (spark.sparkContext.applicationId, vocabulary_path)
+
+def _shipped(spark, vocabulary_path: str, words: list[bytes]) -> str:
+    """The name under which the compiled file is sent to the executors; the same file is sent once for each application."""
+    key = (spark.sparkContext.applicationId, vocabulary_path, hashlib.sha256(repr(words).encode()).hexdigest())
     if key not in _SHIPPED:
-        made = compile_file(vocabulary_path)
-        spark.sparkContext.addFile(made)
-        _SHIPPED[key] = os.path.basename(made)
+        folder = fresh_folder(spark, "lexicon")
+        name = folder.rpartition("/")[2] + ".bin"
+        place, path = opened(folder)
+        with place.open_output_stream(f"{path}/{name}", compression=None) as f:
+            f.write(compiled(vocabulary_path, words))
+        spark.sparkContext.addFile(f"{folder}/{name}")
+        _SHIPPED[key] = name
     return _SHIPPED[key]
 
 
-def with_ids(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """`docs` with an array of ids of `text`."""
-    name = _shipped(docs.sparkSession, vocabulary_path)
+def _lexicon(docs: DataFrame, vocabulary_path: str, text: str, words: list[bytes] | None) -> str:
+    return _shipped(docs.sparkSession, vocabulary_path, frequent_words(docs, vocabulary_path, text) if words is None else words)
+
+
+def with_ids(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "ids", words: list[bytes] | None = None) -> DataFrame:
+    """`docs` with an array of ids of `text`; words: a lexicon other than the frequent words of `docs`."""
+    name = _lexicon(docs, vocabulary_path, text, words)
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(SparkFiles.get(name))
         for batch in batches:
-            codes = [c for texts in slices(batch) for c in codec.encode([(t or b"").decode("utf-8", "replace") for t in texts])]
+            codes = [c for texts in slices(batch) for c in codec.encode(list(map(_decoded, texts)))]
             ends = np.cumsum([0] + [len(c) // 4 for c in codes], dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<i4")))
 
@@ -381,31 +417,30 @@ def with_ids(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str
 
 def with_text(docs: DataFrame, vocabulary_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`docs` with the text that an array of ids stands for."""
-    name = _shipped(docs.sparkSession, vocabulary_path)
+    name = _shipped(docs.sparkSession, vocabulary_path, [])
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(SparkFiles.get(name))
         for batch in batches:
-            yield pa.array([codec.decode(np.asarray(x or [], "<u4").tobytes()) for x in batch.to_pylist()], pa.string())
+            yield pa.array(codec.decode([np.asarray(x or [], "<u4").tobytes() for x in batch.to_pylist()]), pa.string())
 
     return docs.withColumn(out, F.arrow_udf(decode, "string")(F.col(ids)))
 
 
-def with_ids_and_digests(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "bpe") -> DataFrame:
+def with_ids_and_digests(docs: DataFrame, vocabulary_path: str, text: str = "text", out: str = "bpe", words: list[bytes] | None = None) -> DataFrame:
     """`docs` with a struct of n_tokens, ids, ids_sha256 and decoded_sha256: encodes, then decodes the ids."""
-    name = _shipped(docs.sparkSession, vocabulary_path)
+    name = _lexicon(docs, vocabulary_path, text, words)
 
     def trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(SparkFiles.get(name))
         for batch in batches:
             n, coded, decoded, raw = [], [], [], []
             for texts in slices(batch):
-                codes = codec.encode([(t or b"").decode("utf-8", "replace") for t in texts])
+                codes = codec.encode(list(map(_decoded, texts)))
                 raw.append(b"".join(codes))
-                for c in codes:
-                    n.append(len(c) // 4)
-                    coded.append(hashlib.sha256(c).hexdigest())
-                    decoded.append(hashlib.sha256(codec.decode(c).encode()).hexdigest())
+                n += [len(c) // 4 for c in codes]
+                coded += [hashlib.sha256(c).hexdigest() for c in codes]
+                decoded += [hashlib.sha256(t.encode()).hexdigest() for t in codec.decode(codes)]
             ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n], dtype=np.int32)), pa.array(np.frombuffer(b"".join(raw), "<i4")))
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), ids, pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 

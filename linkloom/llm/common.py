@@ -10,6 +10,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,11 @@ def fresh_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path in the shared folder, and the path there; for executors as for the driver."""
+    return fs.FileSystem.from_uri(path)
+
+
 def settled(df: DataFrame, what: str = "settled") -> DataFrame:
     """The rows of `df` as a table in the shared folder, with their lineage cut; they outlive lost executors."""
     return written(df, what)[0]

@@ -9,25 +9,31 @@ window's first bytes, and a direct comparison of all bytes confirms an occurrenc
 The search moves many positions at once: the text of a slice is cut into lanes, and each step looks up the
 block under every lane that has not reached its end. Texts are searched whole.
 
-The windows are broadcast in blocks of items with at most `BLOCK_CHARS` characters of benchmark text (or
-one item); a larger benchmark is searched block after block, in narrow steps without a shuffle.
-
-Edge cases: a null or empty text, or one without words, has no words and no hits; null or wordless items
-give no window; an item whose id is null marks words but is listed nowhere; repeated rows give the same
-result once for each row.
+The items are dealt out by a hash into blocks of about `BLOCK_CHARS` characters of benchmark text (or one longer
+item). A task compiles each block and writes its tables to the shared folder; only the files' names pass through the
+driver. The search reads them there, block after block for each batch of documents, in one narrow step.
+
+Edge cases: a null or empty text, or one without words, has no words and no hits; a long text is searched
+whole; null or wordless items give no window; an item whose id is null marks words but is listed nowhere;
+without items nothing is hit; repeated rows give the same result once for each row, repeated items count once;
+an empty table gives no rows. `with_benchmark_hits` replaces a column that has the name of its result, as
+withColumn does; all other columns stay, whatever their names.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import slices, table
+from linkloom.llm.common import fresh_folder, opened, slices, spare_names, table
 
 WINDOW = 10
 BLOCK_CHARS = 2_000_000
@@ -170,56 +176,77 @@ class WindowSearch:
         return results
 
 
-_FOUND = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string()))])
+_FOUND = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))])
 
 
-def _searcher(spark, items: list[tuple], size: int):
-    compiled = spark.sparkContext.broadcast(WindowSearch(items, size))
+def compiled_blocks(benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> list[str]:
+    """Compiles the items (item_id, text) in blocks; the paths of the files, of which there is one for each block."""
+    spark = benchmark.sparkSession
+    slim = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
+    chars = slim.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-chars // block_chars))
+    folder = fresh_folder(spark, "benchmark")
 
-    @F.arrow_udf("struct<n_words:bigint,hits:array<struct<start:int,end:int>>,items:array<string>>")
-    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            rows = []
-            for texts in slices(batch):
-                rows += compiled.value.search(texts)
-            yield pa.array([{"n_words": n, "hits": [{"start": a, "end": b} for a, b in hits], "items": items} for n, hits, items in rows], _FOUND)
+    def compiled(block: pa.Table) -> pa.Table:
+        path = f"{folder}/{uuid4().hex}.bin"  # a new one for each attempt
+        place, at = opened(path)
+        with place.open_output_stream(at, compression=None) as f:
+            pickle.dump(WindowSearch(list(zip(block["item_id"].to_pylist(), block["text"].to_pylist(), strict=True)), size), f)
+        return pa.table({"path": [path]})
+
+    blocks = slim.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)))
+    return sorted(r.path for r in blocks.groupBy("block").applyInArrow(compiled, "path string").collect())
+
+
+@lru_cache(maxsize=2)
+def _searcher(path: str | None, size: int) -> WindowSearch:
+    if path is None:
+        return WindowSearch([], size)
+    place, at = opened(path)
+    with place.open_input_stream(at, compression=None) as f:
+        return pickle.loads(f.read())
 
-    return search
+
+def joined_stretches(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches that are apart, in order, and cover the same places."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(stretches):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "leak", size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """`docs` with a struct column `out`: n_words, hits (stretches of words), n_hit and items (their ids, as strings)."""
-    spark = docs.sparkSession
-    slim = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    chars = slim.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-chars // block_chars))
-    found = docs
-    parts = [f"__{out}_{k}" for k in range(n_blocks)]
-    for k, part in enumerate(parts):
-        block = slim if n_blocks == 1 else slim.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k)
-        found = found.withColumn(part, _searcher(spark, [tuple(r) for r in block.collect()], size)(F.col(text)))  # a block has a checked size
-    hits = F.flatten(F.array(*[F.col(f"{p}.hits") for p in parts]))
-    n_hit = F.aggregate(F.col(f"{parts[0]}.hits"), F.lit(0).cast("long"), lambda n, h: n + (h["end"] - h["start"]).cast("long"))
-    if n_blocks > 1:
-        n_hit = F.size(F.array_distinct(F.flatten(F.transform(hits, lambda h: F.sequence(h["start"], h["end"] - 1))))).cast("long")
-    items = F.array_distinct(F.flatten(F.array(*[F.col(f"{p}.items") for p in parts])))
-    return found.withColumn(out, F.struct(F.col(f"{parts[0]}.n_words").alias("n_words"), hits.alias("hits"), n_hit.alias("n_hit"), F.array_sort(items).alias("items"))).drop(*parts)
+    paths = compiled_blocks(benchmark, size, block_chars) or [None]
+
+    @F.arrow_udf("struct<n_words:bigint,hits:array<struct<start:int,end:int>>,n_hit:bigint,items:array<string>>")
+    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            n_words, hits, items = [0] * len(batch), [[] for _ in batch], [set() for _ in batch]
+            for path in paths:
+                searcher, row = _searcher(path, size), 0
+                for texts in slices(batch):
+                    for n, stretches, found in searcher.search(texts):
+                        n_words[row] = n
+                        hits[row] += stretches
+                        items[row].update(found)
+                        row += 1
+            whole = [joined_stretches(h) for h in hits]
+            rows = [{"n_words": n, "hits": [{"start": a, "end": b} for a, b in h], "n_hit": sum(b - a for a, b in h), "items": sorted(i)} for n, h, i in zip(n_words, whole, items, strict=True)]
+            yield pa.array(rows, _FOUND)
+
+    return docs.withColumn(out, search(F.col(text)))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark window, with the columns that they had."""
-    leak = free_name(docs, "leak")
+    (leak,) = spare_names(docs.columns, "leak")
     return with_benchmark_hits(docs, benchmark, out=leak).where(F.col(f"{leak}.n_hit") == 0).drop(leak)
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """`name`, or that with underscores after it, so that no column of `df` has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def digest(values: Column) -> Column:
     return F.sha2(F.array_join(values, ","), 256)
 

@@ -6,13 +6,16 @@ vectors. A language's prototype is the sum of the vectors, scaled to length one,
 text gets the language whose prototype has the greatest cosine with its own vector.
 
 Letters are lower-cased; what is no letter separates words and counts as one mark, so that a trigram can show
-how words begin and end. Letters have `SYMBOLS` vectors: a-z their own, others one by their code point.
+how words begin and end. Letters below `OWN` have a vector of their own, those above one of as many by a hash
+of their code point.
 
 Prototypes are learned from a bounded sample, `per_language` texts for each language (see bounded_sample);
 the partial sums of at most `LEARNERS` tasks go to the driver, one vector for each language and task.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0; without any learned language so is
-every text; the score is the cosine, at least 0; ties go to the first language in order of its name.
+every text; the score is the cosine, at least 0; ties go to the first language in order of its name; a long
+text is taken in pieces, whole; repeated rows are scored alike; an empty table gives no rows. `with_language`
+replaces a column that has the name of its result, as withColumn does; all other columns stay.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import bounded_sample, remainder, slices, stratum_sizes, table
 
 DIMENSIONS = 512
-SYMBOLS = 128
+#: Letters below this code point have a vector each; as many vectors are shared by the others.
+OWN = 4096
+SYMBOLS, SHIFT = 2 * OWN, 13
 PER_LANGUAGE = 2000
 LEARNERS = 8
 #: Code points handled at a time within one text.
@@ -36,11 +41,11 @@ PIECE = 1 << 20
 
 def _symbols() -> np.ndarray:
     """Symbol of each code point: 0 for what is no letter."""
-    symbol = np.zeros(0x110000, np.uint8)
+    symbol = np.zeros(0x110000, np.uint16)
     for c in range(0x110000):
         if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
             low = ord(chr(c).lower()[0])
-            symbol[c] = low - 96 if 97 <= low <= 122 else 27 + (low * 2654435761 >> 7) % (SYMBOLS - 27)
+            symbol[c] = low if low < OWN else OWN + (low * 2654435761 >> 7) % OWN
     return symbol
 
 
@@ -54,7 +59,7 @@ class Encoder:
         self.once, self.twice = np.roll(self.letters, 1, axis=1), np.roll(self.letters, 2, axis=1)
 
     def trigram_vectors(self, trigrams: np.ndarray) -> np.ndarray:
-        a, b, c = trigrams >> 14, (trigrams >> 7) & 127, trigrams & 127
+        a, b, c = trigrams >> 2 * SHIFT, (trigrams >> SHIFT) & (SYMBOLS - 1), trigrams & (SYMBOLS - 1)
         return (self.twice[a] * self.once[b] * self.letters[c]).astype(np.float32)
 
     def trigrams(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,8 +72,8 @@ class Encoder:
             nonlocal keys, held
             if keys:
                 k, n = np.unique(np.concatenate(keys), return_counts=True)
-                rows.append(k >> 21)
-                grams.append(k & ((1 << 21) - 1))
+                rows.append(k >> 3 * SHIFT)
+                grams.append(k & ((1 << 3 * SHIFT) - 1))
                 counts.append(n)
             keys, held = [], 0
 
@@ -78,7 +83,7 @@ class Encoder:
             s = s[np.concatenate([[True], (s[1:] > 0) | (s[:-1] > 0)])]  # one mark between words
             for at in range(0, max(len(s) - 2, 0), PIECE):
                 p = s[at : at + PIECE + 2]
-                keys.append(row << 21 | p[:-2] << 14 | p[1:-1] << 7 | p[2:])
+                keys.append(row << 3 * SHIFT | p[:-2] << 2 * SHIFT | p[1:-1] << SHIFT | p[2:])
                 held += len(p)
                 if held >= PIECE:
                     reduce()
@@ -93,7 +98,7 @@ class Encoder:
         out = np.zeros((len(texts), self.dimensions), np.float32)
         if not len(rows):
             return out
-        key = grams << 32 | rows
+        key = grams << 24 | rows  # a slice has fewer rows than that
         order = np.argsort(key, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) > 0]))  # pieces of a long text repeat its trigrams
         counts, rows, grams = np.add.reduceat(counts[order], first), rows[order][first], grams[order][first]

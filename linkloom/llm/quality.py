@@ -5,11 +5,14 @@ learned filters read eight bytes at every fourth place; each filter keeps its gr
 text's mean and greatest values over its chunks are combined into one probability.
 
 The network is fitted on the driver on a bounded sample: `PER_CLASS` labelled texts of each class are
-expected (see labelled_sample), and of each at most `TRAIN_CHUNKS` chunks, spread over the text, are gathered.
-The last bias is corrected for the classes' shares among all labelled texts. Scoring reads whole texts.
-
-Edge cases: an empty or null text is one chunk of padding; without labels of both classes every score is the
-share of label 1 among the labels (0 without any); repeated rows are scored alike.
+expected (see labelled_sample), each with all its chunks. The last bias is corrected for the classes' shares
+among all labelled texts. Scoring reads whole texts. Chunks are worked on `BLOCK` at a time, so that memory does
+not grow with the length of a text, in fitting or in scoring.
+
+Edge cases: an empty or null text is one chunk of padding; a long text has as many chunks as it needs; without
+labels of both classes every score is the share of label 1 among the labels (0 without any); an empty table
+gives no rows; repeated rows are scored alike, and count once in the sample. `with_quality` replaces a column
+that has the name of its result, as withColumn does; all other columns stay.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ WIDTH, EMBED, FILTERS = 8, 8, 32
 STRIDE = WIDTH // 2
 PAD = 256
 PER_CLASS = 2500
-TRAIN_CHUNKS = 12
+#: Chunks worked on at a time.
+BLOCK = 512
 EPOCHS = 8
 
 
@@ -54,40 +58,36 @@ class Network:
     out: np.ndarray  # (2 * FILTERS,)
     bias: float
 
-    def pooled(self, c: np.ndarray, places: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-        """Greatest value of each filter in each chunk, at least 0, and its place."""
+    def _pooled_block(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         groups = self.embed[c.reshape(-1)].reshape(-1, STRIDE * EMBED)
         half = STRIDE * EMBED
         first = (groups @ self.filters[:half]).reshape(len(c), -1, self.filters.shape[1])
         second = (groups @ self.filters[half:]).reshape(first.shape)
         value = first[:, :-1]
         value += second[:, 1:]
-        if places:
-            at = value.argmax(axis=1)
-            return np.maximum(np.take_along_axis(value, at[:, None], 1)[:, 0] + self.shift, 0), at
-        return np.maximum(value.max(axis=1) + self.shift, 0), None
-
-    def logits(self, texts: list[bytes | None]) -> np.ndarray:
-        parts, held, own, out = [], 0, [], []
+        at = value.argmax(axis=1)
+        return np.maximum(np.take_along_axis(value, at[:, None], 1)[:, 0] + self.shift, 0), at
 
-        def flush() -> None:
-            nonlocal parts, held
-            if parts:
-                own.append(self.pooled(np.concatenate(parts))[0])
-            parts, held = [], 0
+    def pooled(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Greatest value of each filter in each chunk, at least 0, and its place."""
+        blocks = [self._pooled_block(c[at : at + BLOCK]) for at in range(0, len(c), BLOCK)]
+        return np.concatenate([b[0] for b in blocks]), np.concatenate([b[1] for b in blocks])
 
-        sizes = []
+    def logits(self, texts: list[bytes | None]) -> np.ndarray:
+        if not texts:
+            return np.zeros(0)
+        parts, held, own, sizes = [], 0, [], []
         for t in texts:
             c = chunks(t)
             sizes.append(len(c))
-            for at in range(0, len(c), 512):  # bounds the memory
-                parts.append(c[at : at + 512])
+            for at in range(0, len(c), BLOCK):
+                parts.append(c[at : at + BLOCK])
                 held += len(parts[-1])
-                if held >= 512:
-                    flush()
-        flush()
-        if not texts:
-            return np.zeros(0)
+                if held >= BLOCK:
+                    own.append(self.pooled(np.concatenate(parts))[0])
+                    parts, held = [], 0
+        if parts:
+            own.append(self.pooled(np.concatenate(parts))[0])
         own, starts = np.concatenate(own), np.cumsum([0, *sizes[:-1]])
         features = np.concatenate([np.add.reduceat(own, starts) / np.array(sizes)[:, None], np.maximum.reduceat(own, starts)], axis=1)
         return features @ self.out + self.bias
@@ -97,8 +97,8 @@ def probability(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(samples: list[np.ndarray], labels: np.ndarray, prior: float, epochs: int = EPOCHS) -> Network:
-    """Adam on the logistic loss; samples: chunks of each text."""
+def fit(texts: list[bytes | None], labels: np.ndarray, prior: float, epochs: int = EPOCHS) -> Network:
+    """Adam on the logistic loss, over all chunks of each text; prior: the share of label 1 that the bias is corrected to."""
     rng = np.random.default_rng(11)
     p = {
         "embed": rng.normal(0, 0.5, (PAD + 1, EMBED)).astype(np.float32),
@@ -114,46 +114,43 @@ def fit(samples: list[np.ndarray], labels: np.ndarray, prior: float, epochs: int
         return Network(p["embed"], p["filters"], p["shift"], 0 * p["out"], float(np.log(prior / (1 - prior))))
     m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
     for _ in range(epochs):
-        for batch in np.array_split(rng.permutation(len(samples)), max(1, len(samples) // 64)):
-            c, sizes = np.concatenate([samples[i] for i in batch]), np.array([len(samples[i]) for i in batch])
-            starts, text = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(batch)), sizes)
-            net = Network(p["embed"], p["filters"], p["shift"], p["out"], 0.0)
-            own, at = net.pooled(c, True)
-            mean, most = np.add.reduceat(own, starts) / sizes[:, None], np.maximum.reduceat(own, starts)
-            features = np.concatenate([mean, most], axis=1)
-            error = ((probability(features @ p["out"] + p["bias"]) - labels[batch]) / len(batch)).astype(np.float32)
-            g = {"out": features.T @ error + 1e-4 * p["out"], "bias": error.sum(keepdims=True)}
-            d_mean, d_most = error[:, None] * p["out"][:FILTERS], error[:, None] * p["out"][FILTERS:]
-            d = (d_mean[text] / sizes[text, None] + d_most[text] * (own == most[text])) * (own > 0)
-            g["shift"] = d.sum(axis=0)
-            spot = c[np.arange(len(c))[:, None, None], at[:, :, None] * STRIDE + np.arange(WIDTH)]  # (chunks, filters, WIDTH)
-            seen = p["embed"][spot].reshape(len(c), FILTERS, -1)
-            g["filters"] = np.einsum("cf,cfw->wf", d, seen, optimize=True)
-            back = (d[:, :, None] * p["filters"].T[None]).reshape(-1, EMBED)
-            g["embed"] = np.stack([np.bincount(spot.reshape(-1), back[:, k], PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
-            g["embed"][PAD] = 0
+        for batch in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // 64)):
             step += 1
-            for k in p:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
+            for k, g in gradients(p, [chunks(texts[i]) for i in batch], labels[batch]).items():
+                m[k] = 0.9 * m[k] + 0.1 * g
+                v[k] = 0.999 * v[k] + 0.001 * g**2
                 p[k] = (p[k] - 0.004 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return Network(p["embed"], p["filters"], p["shift"], p["out"], float(p["bias"][0] + np.log(prior / (1 - prior)) - np.log(share / (1 - share))))
 
 
-def spread(c: np.ndarray, most: int = TRAIN_CHUNKS) -> np.ndarray:
-    return c if len(c) <= most else c[np.linspace(0, len(c) - 1, most).astype(int)]
-
-
-def _cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        yield pa.array([spread(chunks(t)).astype("<i2").tobytes() for texts in slices(batch) for t in texts], pa.binary())
+def gradients(p: dict[str, np.ndarray], samples: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean logistic loss over a batch; samples: the chunks of each text."""
+    c, sizes = np.concatenate(samples), np.array([len(x) for x in samples])
+    starts, text = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(samples)), sizes)
+    own, at = Network(p["embed"], p["filters"], p["shift"], p["out"], 0.0).pooled(c)
+    mean, most = np.add.reduceat(own, starts) / sizes[:, None], np.maximum.reduceat(own, starts)
+    features = np.concatenate([mean, most], axis=1)
+    error = ((probability(features @ p["out"] + p["bias"]) - labels) / len(samples)).astype(np.float32)
+    d_mean, d_most = error[:, None] * p["out"][:FILTERS], error[:, None] * p["out"][FILTERS:]
+    d = ((d_mean[text] / sizes[text, None] + d_most[text] * (own == most[text])) * (own > 0)).astype(np.float32)
+    g = {"out": features.T @ error + 1e-4 * p["out"], "bias": error.sum(keepdims=True), "shift": d.sum(axis=0)}
+    g |= {"filters": np.zeros_like(p["filters"]), "embed": np.zeros_like(p["embed"])}
+    for a in range(0, len(c), BLOCK):
+        b = slice(a, a + BLOCK)
+        spot = c[b][np.arange(len(c[b]))[:, None, None], at[b][:, :, None] * STRIDE + np.arange(WIDTH)]  # (chunks, filters, WIDTH)
+        seen = p["embed"][spot].reshape(len(spot), FILTERS, -1)
+        g["filters"] += np.einsum("cf,cfw->wf", d[b], seen, optimize=True)
+        back = (d[b][:, :, None] * p["filters"].T[None]).reshape(-1, EMBED)
+        g["embed"] += np.stack([np.bincount(spot.reshape(-1), back[:, k], PAD + 1) for k in range(EMBED)], axis=1).astype(np.float32)
+    g["embed"][PAD] = 0
+    return g
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Network:
     """A network from the documents that `labels` (doc_id, label 0 or 1; other rows are left out) covers."""
-    sample, sizes = labelled_sample(docs, labels, label, per_class, lambda text: F.arrow_udf(_cut, "binary")(text))
+    sample, sizes = labelled_sample(docs, labels, label, per_class, lambda text: text.cast("binary"))
     n = sum(sizes.values())
-    return fit([np.frombuffer(c.as_py(), "<i2").reshape(-1, CHUNK) for c in sample["x"]], sample["label"].to_numpy().astype(np.float32), sizes.get(1, 0) / n if n else 0.0)
+    return fit([t.as_py() for t in sample["x"]], sample["label"].to_numpy().astype(np.float32), sizes.get(1, 0) / n if n else 0.0)
 
 
 def with_quality(docs: DataFrame, network: Network, text: str = "text", out: str = "quality_score") -> DataFrame:

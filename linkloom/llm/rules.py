@@ -5,11 +5,13 @@ bit k is set if rule k fails. A policy is a version, a mask of the rules that re
 that must fail; applying one, or measuring what each of its rules adds, reads the ledger's bits only.
 
 Words are `[^\\x20\\x09-\\x0D]+`. Repeated windows are found within the row: the windows of five words are hashed to
-64 bits, and rows with equal hashes have the hashes sorted with their places, so that equal ones stand side
-by side; the places covered add up without a shuffle, however long the text is.
+64 bits, and rows with equal hashes have the windows sorted by hash, words and place, so that equal ones stand side
+by side; their words are compared, so that a clash of hashes counts for nothing. The places covered add up without a
+shuffle, however long the text is.
 
 Edge cases: a null text counts as empty, has no words and fails the rules that ask for words; repeated rows
-are judged alike; columns of the input other than the text are kept as they are.
+are judged alike; an empty table gives no rows. `with_ledger` replaces a column that has the name of its result,
+as withColumn does; all other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import SPACES, table
+from linkloom.llm.common import SPACES, spare_names, table
 
 REPEAT_WINDOW = 5
 
@@ -80,30 +82,31 @@ def window_hashes(words: Column, size: int = REPEAT_WINDOW) -> Column:
     return let(words, hashes)
 
 
-def covered_words(hashes: Column, size: int = REPEAT_WINDOW) -> Column:
-    """How many words lie in windows whose hash occurs twice or more."""
+def covered_words(words: Column, size: int = REPEAT_WINDOW) -> Column:
+    """How many words lie in windows that occur twice or more."""
 
-    def repeated(pairs: Column) -> Column:
-        same = lambda p, k: F.coalesce(p["h"] == F.get(pairs, k)["h"], F.lit(False))
-        twice = F.filter(pairs, lambda p, k: F.when(k > 0, same(p, k - 1)).otherwise(F.lit(False)) | same(p, k + 1))
+    def repeated(windows: Column) -> Column:
+        same = lambda p, k: F.coalesce((p["h"] == F.get(windows, k)["h"]) & (p["w"] == F.get(windows, k)["w"]), F.lit(False))
+        twice = F.filter(windows, lambda p, k: F.when(k > 0, same(p, k - 1)).otherwise(F.lit(False)) | same(p, k + 1))
         return F.array_sort(F.transform(twice, lambda p: p["i"]))
 
     def total(places: Column) -> Column:
         gaps = F.transform(places, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(places, k + 1) - p, F.lit(size))))
         return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda n, g: n + g)
 
-    pairs = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    some = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(let(pairs(h), repeated), total)).otherwise(F.lit(0).cast("bigint"))
-    return let(hashes, some)
+    windows = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), F.slice(words, i + 1, size).alias("w"), i.alias("i"))))
+    some = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(let(windows(h), repeated), total)).otherwise(F.lit(0).cast("bigint"))
+    return let(window_hashes(words, size), some)
 
 
-def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, Column]]:
-    """`docs` with columns of words and lines, and the measurements over them."""
-    t, words, lines = F.coalesce(F.col(text), F.lit("")), F.col("__words"), F.col("__lines")
+def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, Column], list[str]]:
+    """`docs` with columns of words and lines, the measurements over them, and the names of these columns."""
+    names = spare_names(docs.columns, "words", "lines")
+    t, words, lines = F.coalesce(F.col(text), F.lit("")), F.col(names[0]), F.col(names[1])
     held = docs.withColumns(
         {
-            "__words": F.filter(F.split(t, SPACES), lambda w: w != ""),
-            "__lines": F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
+            names[0]: F.filter(F.split(t, SPACES), lambda w: w != ""),
+            names[1]: F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
         }
     )
     measures = {
@@ -112,26 +115,28 @@ def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str,
         "n_symbols": F.length(F.regexp_replace(t, "[^#*$%&|<>]+", "")),
         "n_lines": F.size(lines),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": covered_words(window_hashes(words)),
+        "n_repeat_words": covered_words(words),
         "n_letters": F.length(F.regexp_replace(t, "[^\\p{L}]+", "")),
     }
-    return held, {k: v.cast("bigint") for k, v in measures.items()}
+    return held, {k: v.cast("bigint") for k, v in measures.items()}, names
 
 
 def with_ledger(docs: DataFrame, text: str = "text", out: str = "ledger") -> DataFrame:
     """`docs` with a struct column `out`: the measurements, and `fails` with a bit for each rule."""
-    held, measures = measured(docs, text)
-    named = held.withColumns({f"__m_{k}": v for k, v in measures.items()})
+    held, measures, used = measured(docs, text)
+    names = dict(zip(measures, spare_names([*held.columns, out], *measures), strict=True))
+    named = held.withColumns({names[k]: v for k, v in measures.items()})
     fails = F.lit(0).cast("bigint")
     for rule in RULES:
-        bit = F.when(F.expr(_over(rule.test, list(measures))), F.lit(BITS[rule.name])).otherwise(F.lit(0)).cast("bigint")
+        bit = F.when(F.expr(_over(rule.test, names)), F.lit(BITS[rule.name])).otherwise(F.lit(0)).cast("bigint")
         fails = fails.bitwiseOR(bit)
-    ledger = F.struct(*[F.col(f"__m_{k}").alias(k) for k in measures], fails.alias("fails"))
-    return named.withColumn(out, ledger).drop("__words", "__lines", *[f"__m_{k}" for k in measures])
+    ledger = F.struct(*[F.col(name).alias(k) for k, name in names.items()], fails.alias("fails"))
+    return named.withColumn(out, ledger).drop(*used, *names.values())
 
 
-def _over(test: str, values: list[str]) -> str:
-    return re.sub(r"\b(" + "|".join(sorted(values, key=len, reverse=True)) + r")\b", r"__m_\1", test)
+def _over(test: str, names: dict[str, str]) -> str:
+    """The test over the columns that hold the measurements."""
+    return re.sub(r"\b(" + "|".join(sorted(names, key=len, reverse=True)) + r")\b", lambda m: names[m[1]], test)
 
 
 def rejected(fails: Column, policy: Policy) -> Column:

@@ -6,11 +6,18 @@ of the value into words, dates, repeats, keyboard or alphabet walks and brute-fo
 of a segment is the logarithm of the guesses that it takes. A value whose cheapest segmentation needs
 `GUESS_BITS` or more is reported as kind `guess`: weak or ordinary values after such a word are left alone.
 
+The words are ranked: common passwords first (`WORDS`), then the `LEXICON_WORDS` commonest words that occur
+`LEAST_COUNT` times or more in the texts themselves, counted over all of them (values in a credential's
+context aside, so that a secret with many copies does not become a word). The lexicon is broadcast; its size
+is bounded by these numbers.
+
 Spans are (kind, start, end) in code points, end exclusive, of the match (of the value for kind guess), in
 the order of their start and then of `KINDS`. A guess that lies within a base span is not added.
 
 Edge cases: a null text is empty and has no spans; texts are scanned whole, and values of any length are
-priced whole.
+priced whole (or until no cheaper ending can bring them below the threshold); an empty table has no words and
+gives no rows; repeated rows get the same result. `with_secrets` replaces a column that has the name of its
+result, as withColumn does; all other columns stay.
 """
 
 from __future__ import annotations
@@ -18,15 +25,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import slices, table
+from linkloom.llm.common import frequent, slices, table, word_counts
 
 KINDS = ("assign", "access", "hex", "guess")
 GUESS_BITS = 40.0
@@ -35,11 +44,16 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{16}")
 _HEX_RUN = re.compile(r"[0-9a-f]{16,}")  # the same runs as [0-9a-f]+ of 16 or more
 _CONTEXT_WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"cred", b"bearer", b"auth", b"login")
+#: A credential's word that no letter or digit precedes (db_password and db-password do), and the value after it.
 _CONTEXT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:[A-Za-z0-9]+[_-])*(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|bearer|auth|login)"""
+    r"""(?<![A-Za-z0-9])(?:password|passwd|passphrase|passcode|pwd|pass|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|bearer|auth|login)"""
     r"""["']?(?:\x20*(?:[:=]|=>|:=)\x20*|(?<=[Bb]earer)\x20+)["']?([\x21\x23-\x26\x28-\x7E]{8,})""",
     re.IGNORECASE | re.ASCII,
 )
+LEXICON_WORDS = 20_000
+LEAST_COUNT = 20
+SHORTEST, LONGEST = 3, 16
+_LETTERS = bytes(b if 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 #: Common words and passwords, the commonest first; the guesses of a word are its place.
 WORDS = (
@@ -53,7 +67,7 @@ WORDS = (
     "battery", "staple", "baseball", "soccer", "michael", "jordan", "jennifer", "hunter", "ranger", "buster", "thomas", "robert", "batman",
     "superman", "pepper", "ginger", "cookie", "banana", "orange", "cheese", "coffee", "please", "enter", "here", "insert", "replace",
 )
-_RANK = {w: i + 1 for i, w in enumerate(WORDS)}
+_RANK = {w: i + 1 for i, w in enumerate(WORDS)}  # without a corpus
 _LEET = str.maketrans("4@310$57!", "aaeiossti")
 _ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 _NEXT = {(r[i], r[i + 1]) for r in _ROWS for i in range(len(r) - 1)} | {(r[i + 1], r[i]) for r in _ROWS for i in range(len(r) - 1)}
@@ -64,20 +78,39 @@ def _alphabet(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
-def _short_segments(s: str) -> Iterator[tuple[int, int, float]]:
-    """(start, end, bits) of words and dates."""
+def words_of(texts: list[bytes | None]) -> Iterator[bytes]:
+    """Lower-case words of letters of a lexicon's lengths; values in a credential's context are left out."""
+    for raw in texts:
+        if raw and any(k in raw.lower() for k in _CONTEXT_WORDS):
+            raw = _CONTEXT.sub(" ", raw.decode("utf-8", "replace")).encode()
+        for w in (raw or b"").translate(_LETTERS).split():
+            if SHORTEST <= len(w) <= LONGEST:
+                yield w
+
+
+def ranked(words: list[str]) -> dict[str, int]:
+    """Place of each word, the common passwords before `words`, which are in order of their frequency."""
+    return {w: i + 1 for i, w in enumerate(dict.fromkeys([*WORDS, *words]))}
+
+
+def learned_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS, least: int = LEAST_COUNT) -> dict[str, int]:
+    """The ranked lexicon of all texts of `docs`."""
+    return ranked([w.decode() for w, _ in frequent(word_counts(docs, words_of, text), most, least)])
+
+
+def _short_segments(s: str, rank: dict[str, int] = _RANK) -> Iterator[tuple[int, int, float]]:
+    """(start, end, bits) of words and dates, by their start."""
     low, n = s.lower(), len(s)
     plain = low.translate(_LEET)
     for i in range(n):
-        for j in range(i + 3, min(n, i + 12) + 1):
+        for j in range(i + SHORTEST, min(n, i + LONGEST) + 1):
             for form, more in ((low, 0.0), (plain, 2.0)):
-                if form[i:j] in _RANK:
+                if (place := rank.get(form[i:j])) is not None:
                     upper = sum(c.isupper() for c in s[i:j])
                     case = 0.0 if upper == 0 else 1.0 if upper == j - i or s[i].isupper() and upper == 1 else 2.0 + upper
-                    yield i, j, math.log2(_RANK[form[i:j]]) + 1 + more + case
-        for m in (_DATE.match(s, i),):
-            if m:
-                yield i, m.end(), 8.0 if m.end() - i == 4 else 15.0
+                    yield i, j, math.log2(place) + 1 + more + case
+        if m := _DATE.match(s, i):
+            yield i, m.end(), 8.0 if m.end() - i == 4 else 15.0
 
 
 class _Stretch:
@@ -112,8 +145,14 @@ class _Stretch:
         return least
 
 
-def _stretches(s: str) -> Iterator[_Stretch]:
+def _stretches(s: str, rank: dict[str, int] = _RANK) -> Iterator[_Stretch]:
     low, n = s.lower(), len(s)
+    groups: dict[str, float] = {}
+
+    def group_bits(group: str) -> float:
+        if group not in groups:
+            groups[group] = guess_bits(group, rank)
+        return groups[group]
 
     def runs(gap: int, linked: Callable[[int], bool]) -> Iterator[tuple[int, int]]:
         """Longest (start, end) in which each character is linked to the one `gap` before it."""
@@ -129,40 +168,49 @@ def _stretches(s: str) -> Iterator[_Stretch]:
     for a, b in runs(1, lambda j: low[j] == low[j - 1]):
         if b - a >= 3:
             yield _Stretch(a, b, 1, 3, lambda i: _alphabet(s[i]), 1.0)
-    for size in (2, 3, 4):  # a repeated group
+    for size in range(2, min(LONGEST, n // 2) + 1):  # a repeated group, which is priced on its own
         for a, b in runs(size, lambda j, size=size: low[j] == low[j - size]):
             if b - a >= 2 * size:
-                yield _Stretch(a, b, size, 2 * size, lambda i, size=size: sum(map(_alphabet, s[i : i + size])), 1.0)
+                yield _Stretch(a, b, size, 2 * size, lambda i, size=size: group_bits(s[i : i + size]), 1.0)
     for a, b in runs(1, lambda j: (low[j - 1], low[j]) in _NEXT):
         if b - a >= 3:
             yield _Stretch(a, b, 1, 3, lambda i: 6.0, 1.5)
 
 
-def _segments(s: str) -> Iterator[tuple[int, int, float]]:
+def _segments(s: str, rank: dict[str, int] = _RANK) -> Iterator[tuple[int, int, float]]:
     """(start, end, bits) of every segment that is cheaper than brute force."""
-    yield from _short_segments(s)
-    for x in _stretches(s):
+    yield from _short_segments(s, rank)
+    for x in _stretches(s, rank):
         for i in range(x.start, x.end):
             for j in range(i + x.least, x.end + 1, x.step):
                 yield i, j, x.bits(i, j)
 
 
-@lru_cache(maxsize=20_000)
-def guess_bits(value: str) -> float:
-    """log2 of the guesses that the cheapest segmentation of `value` takes."""
+def guess_bits(value: str, rank: dict[str, int] = _RANK, enough: float = math.inf) -> float:
+    """log2 of the guesses that the cheapest segmentation of `value` takes, or a number from `enough` on if it takes that many.
+
+    No segment but a stretch is longer than `LONGEST`, and none costs less than nothing: where no stretch goes on and
+    the last `LONGEST` prefixes all cost `enough`, so does the whole.
+    """
     n = len(value)
+    short = _short_segments(value, rank)
     ending: dict[int, list[tuple[int, float]]] = defaultdict(list)
-    for i, j, bits in _short_segments(value):
-        ending[j].append((i, bits))
+    ahead = next(short, None)
     begins: dict[int, list[_Stretch]] = defaultdict(list)
-    for x in _stretches(value):
+    for x in _stretches(value, rank):
         begins[x.start].append(x)
-    best, around = [0.0] + [math.inf] * n, []
+    best, around, dear = [0.0] + [math.inf] * n, [], 0
     for j in range(1, n + 1):
+        while ahead and ahead[0] < j:  # segments that start before j
+            ending[ahead[1]].append((ahead[0], ahead[2]))
+            ahead = next(short, None)
         if around or j - 1 in begins:
             around = [x for x in around if x.end >= j] + begins.get(j - 1, [])
-        found = [best[i] + bits for i, bits in ending.get(j, ())] + [x.cheapest(j, best) for x in around]
+        found = [best[i] + bits for i, bits in ending.pop(j, ())] + [x.cheapest(j, best) for x in around]
         best[j] = min([best[j - 1] + _alphabet(value[j - 1]), *(x + 1.0 for x in found)])  # a bit for the choice of segment
+        dear = dear + 1 if best[j] >= enough else 0
+        if dear > LONGEST and not any(x.end > j for x in around):
+            return best[j]
     return best[n]
 
 
@@ -178,19 +226,22 @@ def in_order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
-def guess_spans(text: str, base: list[tuple[str, int, int]], bits: float = GUESS_BITS) -> list[tuple[str, int, int]]:
+def guess_spans(text: str, base: list[tuple[str, int, int]], bits: float = GUESS_BITS, rank: dict[str, int] = _RANK) -> list[tuple[str, int, int]]:
     """Values after a credential's word that cost `bits` or more and lie in no base span."""
     found = []
+    starts = [a for _, a, _ in base]
+    reach = list(accumulate((b for _, _, b in base), max))  # the furthest end of the base spans up to each
     for m in _CONTEXT.finditer(text):
         start, end = m.span(1)
         while end > start and text[end - 1] in ".,;:)]}>":
             end -= 1
-        if end - start >= 8 and not any(a <= start and end <= b for _, a, b in base) and guess_bits(text[start:end]) >= bits:
+        before = bisect_right(starts, start)
+        if end - start >= 8 and not (before and reach[before - 1] >= end) and guess_bits(text[start:end], rank, bits) >= bits:
             found.append(("guess", start, end))
     return found
 
 
-def find_spans(raw: bytes | None, bits: float = GUESS_BITS) -> tuple[list, list]:
+def find_spans(raw: bytes | None, bits: float = GUESS_BITS, rank: dict[str, int] = _RANK) -> tuple[list, list]:
     """(base spans, all spans) of a UTF-8 text; cheap searches for fixed bytes come first."""
     if not raw:
         return [], []
@@ -200,7 +251,7 @@ def find_spans(raw: bytes | None, bits: float = GUESS_BITS) -> tuple[list, list]
         return [], []
     text = raw.decode("utf-8", "replace")
     base = base_spans(text)
-    return base, in_order(base + guess_spans(text, base, bits)) if context else base
+    return base, in_order(base + guess_spans(text, base, bits, rank)) if context else base
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -210,29 +261,37 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 _SCAN = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string>"
 
 
-def _scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        rows = []
-        for texts in slices(batch):
-            for raw in texts:
-                base, spans = find_spans(raw)
-                kinds = [k for k, _, _ in base]
-                rows.append((kinds.count("assign"), kinds.count("access"), kinds.count("hex"), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
-        cols = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.string()] * 2, strict=True)], ["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+def _scan(rank: Broadcast):
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            rows = []
+            for texts in slices(batch):
+                for raw in texts:
+                    base, spans = find_spans(raw, rank=rank.value)
+                    kinds = [k for k, _, _ in base]
+                    rows.append((kinds.count("assign"), kinds.count("access"), kinds.count("hex"), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.string()] * 2, strict=True)], ["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+
+    return scan
+
+
+def _redact(rank: Broadcast):
+    def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([without_secrets(raw, rank.value) for texts in slices(batch) for raw in texts], pa.string())
+
+    return redact
 
 
-def _redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        out = []
-        for texts in slices(batch):
-            for raw in texts:
-                spans = find_spans(raw)[1]
-                text = None if raw is None else raw.decode("utf-8", "replace")
-                for start, end in reversed(merged([(a, b) for _, a, b in spans])):
-                    text = f"{text[:start]}[SECRET]{text[end:]}"
-                out.append(text)
-        yield pa.array(out, pa.string())
+def without_secrets(raw: bytes | None, rank: dict[str, int]) -> str | None:
+    if raw is None:
+        return None
+    text, out, at = raw.decode("utf-8", "replace"), [], 0
+    for start, end in merged([(a, b) for _, a, b in find_spans(raw, rank=rank)[1]]):
+        out += [text[at:start], "[SECRET]"]
+        at = end
+    return "".join([*out, text[at:]])
 
 
 def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -245,14 +304,16 @@ def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def with_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
-    """`docs` with a struct column `out`: counts of the base kinds, base_sha256, spans."""
-    return docs.withColumn(out, F.arrow_udf(_scan, _SCAN)(F.col(text)))
+def with_secrets(docs: DataFrame, text: str = "text", out: str = "secrets", rank: dict[str, int] | None = None) -> DataFrame:
+    """`docs` with a struct column `out`: counts of the base kinds, base_sha256, spans; rank: a lexicon other than that of `docs`."""
+    known = docs.sparkSession.sparkContext.broadcast(learned_words(docs, text) if rank is None else rank)
+    return docs.withColumn(out, F.arrow_udf(_scan(known), _SCAN)(F.col(text)))
 
 
-def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", rank: dict[str, int] | None = None) -> DataFrame:
     """`docs` with every span of `text` replaced by [SECRET]; spans that overlap are replaced as one."""
-    return docs.withColumn(text, F.arrow_udf(_redact, "string")(F.col(text)))
+    known = docs.sparkSession.sparkContext.broadcast(learned_words(docs, text) if rank is None else rank)
+    return docs.withColumn(text, F.arrow_udf(_redact(known), "string")(F.col(text)))
 
 
 def op4_secrets(spark, sf_dir: str) -> DataFrame:

@@ -71,19 +71,23 @@ def test_context_values():
 
 def test_automaton_is_minimal_and_numbers_words():
     words = sorted({b"tap", b"taps", b"top", b"tops", b"stop", b"stops", b"a"})
-    arrays = bpe.compile_automaton(words) | {"ids": np.arange(len(words), dtype=np.int32)}
+    arrays = bpe.compile_automaton(words)
+    arrays["moves"] = np.repeat(np.arange(len(arrays["final"])), np.diff(arrays["first"])) << 8 | arrays["label"]
     t = bpe.Transducer(arrays)
-    assert t.ids([*words, b"", b"to", b"tapss", b"z"]).tolist() == [*range(len(words)), -1, -1, -1, -1]
+    assert t.places([*words, b"", b"to", b"tapss", b"z"]).tolist() == [*range(len(words)), -1, -1, -1, -1]
     suffixes = {frozenset(w[len(p):] for w in words if w.startswith(p)) for w in words for p in (w[:i] for i in range(len(w) + 1))}
     assert len(arrays["final"]) == len(suffixes)  # a state for each set of endings
 
 
-@pytest.fixture(scope="module")
-def codec():
-    return bpe.Codec(bpe.compile_file(bpe.default_vocabulary()))
+def codec_of(words, folder):
+    path = folder / "lexicon.bin"
+    path.write_bytes(bpe.compiled(bpe.default_vocabulary(), words))
+    return bpe.Codec(str(path))
 
 
-def test_codec_on_odd_texts(codec):
+@pytest.mark.parametrize("words", [[], [b" the", b"the", b"a" * 300, "Ⅰ中".encode(), b"'ll", b"zqxjk", b"  ", "\U0001f600".encode()]])
+def test_codec_on_odd_texts(words, tmp_path):
+    codec = codec_of(words, tmp_path)
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(bpe.default_vocabulary())
@@ -92,7 +96,10 @@ def test_codec_on_odd_texts(codec):
     texts = ["".join(r.choices(letters, k=r.randint(0, 60))) for _ in range(400)] + ["a" * 3000, "ab" * 2000, " " * 500]
     for text, ids in zip(texts, codec.encode(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
-        assert codec.decode(ids) == text
+        assert codec.decode([ids]) == [text]
+    assert codec.decode(codec.encode(texts)) == texts and codec.decode([]) == []
+    known = codec.transducer.ids(words)
+    assert known == codec.merger.merge(words) and any(len(x) > 4 for x in known) == bool(words)
 
 
 def test_ids_round_trip(spark):
@@ -206,7 +213,7 @@ def test_held_out_toxicity_and_quality():
     good = [" ".join(r.choices(plain, k=60)).encode() for _ in range(150)]
     bad = [" | ".join([r.choice(plain)] * 50).encode() for _ in range(150)]
     labels = np.array([1.0] * 100 + [0.0] * 100, np.float32)
-    net = quality.fit([quality.chunks(t) for t in good[:100] + bad[:100]], labels, 0.5)
+    net = quality.fit(good[:100] + bad[:100], labels, 0.5)
     assert (net.logits(good[100:]) > 0).mean() > 0.95 and (net.logits(bad[100:]) < 0).mean() > 0.95
     assert quality.probability(net.logits([None, b""])).shape == (2,)
 

@@ -227,16 +227,19 @@ def test_pipeline_against_brute_force(spark, folder, corpus, results):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_toxic(spark, docs, folder).collect()]
     root = parts([fingerprint(t) for _, t in kept])
+    leaky = {(d, t) for d, t, _, hit, _ in benchmark_hits(corpus) if hit}
     least = defaultdict(list)
     for (d, _), p in zip(kept, root, strict=True):
         if d is not None:
             least[p].append(d)
     stays = {min(ids) for ids in least.values()}
-    leaky = {(d, t) for d, t, _, hit, _ in benchmark_hits(corpus) if hit}
+    clean = [(d, t) for d, t in {x for x in kept if x[0] in stays} - leaky]
+    counts = Counter(secrets.words_of([None if t is None else t.encode() for _, t in clean]))
+    rank = secrets.ranked([w.decode() for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= secrets.LEAST_COUNT])
     want = []
-    for d, t in {x for x in kept if x[0] in stays} - leaky:
+    for d, t in clean:
         raw = None if t is None else t.encode()
-        for a, b in reversed(secrets.merged([(a, b) for _, a, b in secrets.find_spans(raw)[1]])):
+        for a, b in reversed(secrets.merged([(a, b) for _, a, b in secrets.find_spans(raw, rank=rank)[1]])):
             t = f"{t[:a]}[SECRET]{t[b:]}"
         ids = library.encode(t or "", add_special_tokens=False).ids
         want.append((d, len(ids), hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()))

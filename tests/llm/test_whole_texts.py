@@ -1,6 +1,8 @@
 """Operators on values, texts and groups that were once cut."""
 
 import random
+import string
+import time
 
 import numpy as np
 import pytest
@@ -111,3 +113,39 @@ def test_stars_against_union_find():
             for a, b in zip(i.tolist(), j.tolist(), strict=True):
                 root[a] = root[b] = min(root[a], root[b])
         assert near_dups.stars(n, i, j).tolist() == root
+
+
+def test_long_runs_of_underscores_are_scanned_in_linear_time():
+    start = time.process_time()
+    assert secrets.find_spans(b"pass " + b"a_" * 500_000) == ([], [])
+    blob = "".join(random.Random(1).choices(string.ascii_letters + string.digits, k=300_000))
+    assert secrets.find_spans(f"login: {blob}".encode())[1] == [("guess", 7, 300_007)]
+    assert secrets.find_spans(b"auth=" + b"xy" * 100_000) == ([], [])
+    assert time.process_time() - start < 15
+
+
+def test_stopping_early_decides_alike():
+    r = random.Random(8)
+    for _ in range(300):
+        value = "".join(r.choices(["a", "b1", "Password", "qwerty", "2024", "x9", "zz", "*" * 30, "Kq", "#"], k=r.randint(1, 30)))
+        assert (secrets.guess_bits(value, enough=40.0) >= 40) == (secrets.guess_bits(value) >= 40), value
+
+
+def test_words_come_from_the_texts_without_their_secrets(spark):
+    rows = [(i, f"Ordinary prose speaks plainly. password = zebraquilt{i % 2} and more") for i in range(30)] + [(99, None), (100, "")]
+    rank = secrets.learned_words(spark.createDataFrame(rows, "id int, text string"), least=20)
+    assert "plainly" in rank and "zebraquilt" not in rank and rank["password"] == 1
+    assert secrets.guess_bits("ordinaryplainly", rank) < secrets.GUESS_BITS <= secrets.guess_bits("ordinaryplainly")
+
+
+def test_precision_and_recall_of_guesses():
+    r = random.Random(12)
+    lexicon = secrets.ranked([f"{a}{b}{c}" for a in ("ba", "ko", "mi", "ter", "sun", "ral") for b in ("ra", "ne", "tol", "vi", "su") for c in ("n", "s", "ka", "der", "")])
+    words = list(lexicon)
+    strong = ["".join(r.choices(string.ascii_letters + string.digits + "!#$%&*+-", k=r.randint(10, 24))) for _ in range(400)]
+    weak = [r.choice(words) + r.choice(words) for _ in range(100)] + [r.choice(words).title() + str(r.randrange(1970, 2030)) for _ in range(100)]
+    weak += [r.choice(words) * r.randint(3, 9) for _ in range(100)] + ["qwertyuiop"[: r.randint(8, 10)] + str(r.randrange(1000)) for _ in range(100)]
+    weak = [w for w in weak if len(w) >= 8]
+    found = [v for v in strong + weak if secrets.find_spans(f"pwd: {v} ".encode(), rank=lexicon)[1]]
+    hits = len(set(found) & set(strong))
+    assert hits / len(strong) > 0.97 and hits / len(found) > 0.97
