@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm import bpe, decontaminate, near_dups, secrets, toxicity
-from linkloom.llm.common import dropped, table, written
+from linkloom.llm.common import dropped, spare_names, table, written
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is under 0.5; the machine is learned from the labelled ones among them."""
-    score = decontaminate.free_name(docs, "toxicity")
+    score = spare_names(docs.columns, "toxicity")[0]
     scored = toxicity.with_toxicity(docs, toxicity.learned_from(spark, docs, sf_dir), out=score)
     return scored.where(F.col(score) < 0.5).drop(score)
 
