@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 
+# Names and defaults of the thresholds in a configuration.
 @dataclass(frozen=True)
 class Thresholds:
     min_name_score: float = 55.0
@@ -29,6 +31,31 @@ class Source:
     markers: tuple[str, ...]
 
 
+# The sources of a configuration that names none.
+DEFAULT_SOURCES = (
+    Source("Northwest Partners", "NWP", ("Northwest", "NWP")),
+    Source("Great Lakes Collective", "GLC", ("Great Lakes", "GLC")),
+    Source("Southwest Alliance", "SWA", ("Southwest", "SWA")),
+    Source("Atlantic Community Fund", "ACF", ("Atlantic", "ACF")),
+)
+
+
+@dataclass(frozen=True)
+class Database:
+    """Where candidates' tables are; the password is read from an environment variable when they are."""
+
+    url: str
+    schema: str
+    user: str
+    password_variable: str
+
+    def options(self) -> dict[str, str]:
+        password = os.environ.get(self.password_variable)
+        if not password:
+            raise RuntimeError(f"the environment variable {self.password_variable} is not set")
+        return {"user": self.user, "password": password}
+
+
 @dataclass(frozen=True)
 class Settings:
     live_path: str
@@ -36,8 +63,11 @@ class Settings:
     history_path: str
     sources: tuple[Source, ...]
     candidates_csv: str | None = None
-    database: dict | None = None
+    database: Database | None = None
     thresholds: Thresholds = field(default_factory=Thresholds)
+    notifications: bool = True
+    report_enabled: bool = True
+    report_format: str = "csv"
 
 
 def thresholds(values: dict) -> Thresholds:
@@ -47,18 +77,32 @@ def thresholds(values: dict) -> Thresholds:
     return Thresholds(**values)
 
 
+def _database(raw: dict) -> Database:
+    url = raw.get("url") or f"jdbc:postgresql://{raw['host']}/{raw['database']}"
+    return Database(url, raw.get("schema", "public"), raw["user"], raw["password_env_var"])
+
+
 def load_settings(path: str) -> Settings:
-    """Settings from a JSON file; candidates come from a CSV file or else from a database."""
+    """Settings from a JSON file, whose keys are fixed values; candidates come from a CSV file or else from a database.
+
+    The folders of the output and the history are made where they are local.
+    """
     raw = json.loads(Path(path).read_text())
     if not raw.get("candidates_csv") and not raw.get("db"):
         raise ValueError("either candidates_csv or db is needed")
     sources = tuple(Source(s["source_name"], s["source_code"], tuple(s["file_markers"])) for s in raw.get("source_mappings", []))
+    for folder in (Path(raw["output_dir"]), Path(raw["history_db_path"]).parent):
+        if "://" not in str(folder) and ":/" not in str(folder):
+            folder.mkdir(parents=True, exist_ok=True)
     return Settings(
         live_path=raw["live_data_dir"],
         output_path=raw["output_dir"],
         history_path=raw["history_db_path"],
-        sources=sources,
+        sources=sources or DEFAULT_SOURCES,
         candidates_csv=raw.get("candidates_csv"),
-        database=raw.get("db"),
+        database=_database(raw["db"]) if raw.get("db") else None,
         thresholds=thresholds(raw.get("thresholds", {})),
+        notifications=bool(raw.get("notifications", {}).get("enabled", True)),
+        report_enabled=bool(raw.get("workbook_enabled", True)),
+        report_format=raw.get("report_format", "csv"),
     )

@@ -166,7 +166,7 @@ def _score_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.
         rows = []
         for a, b in zip(live.to_pylist(), candidate.to_pylist(), strict=True):
             score, x, y = best_pair(tuple(a or ()), tuple(b or ()))
-            shown = int(score * 100 + 0.5) / 100
+            shown = round(score, 2)
             rows.append((shown, x, y, has_name_signal(x, y, shown)))
         cols = list(zip(*rows, strict=True)) or [()] * 4
         kinds = [pa.float64(), pa.string(), pa.string(), pa.bool_()]

@@ -1,7 +1,7 @@
 """Name normalisation as Column functions.
 
-Folding to ASCII is a map of single characters: a table from `unicodedata`, built at import, gives `translate`
-its two sides for characters that fold to one, and the few common ones that fold to several are replaced.
+Folding to ASCII is a map of single characters: a table from `unicodedata` gives `translate` its two sides for
+characters that fold to one, and of those that fold to several the ones that a text has are replaced.
 """
 
 from __future__ import annotations
@@ -31,12 +31,11 @@ SHORTHAND = {"4": "for", "u": "you", "&": "and", "+": "and"}
 TRADING_MARKS = ["dba", "doing business as"]
 
 _INITIALS = r"(?<=\b[a-z])\.(?:(?=[a-z]\.)|(?<=\b[a-z]\.[a-z]\.))"
-_DOT_RUN = r"\b(?:[a-z]\.){2,}"
 
 
 @lru_cache(maxsize=1)
 def fold_table() -> tuple[str, str, dict[str, str]]:
-    """(characters, what each folds to, those in use that fold to several)."""
+    """(characters, what each folds to, those that fold to several): compatibility decomposition without what is beyond ASCII."""
     one, to, several = [], [], {}
     for point in range(0x80, 0x2FA20):
         if 0xD800 <= point < 0xE000:
@@ -45,7 +44,7 @@ def fold_table() -> tuple[str, str, dict[str, str]]:
         if len(folded) == 1:
             one.append(chr(point))
             to.append(folded)
-        elif len(folded) > 1 and point < 0xFFFF and len(folded) <= 4:
+        elif len(folded) > 1:
             several[chr(point)] = folded
     return "".join(one), "".join(to), several
 
@@ -60,16 +59,24 @@ def constants(pairs: dict[str, str]) -> Column:
     return F.str_to_map(F.lit("\x1e".join(f"{k}\x1f{v}" for k, v in pairs.items())), F.lit("\x1e"), F.lit("\x1f"))
 
 
-# Characters in use that fold to several.
-LIGATURES = "ﬀﬁﬂﬃﬄ¼½¾ĲĳǄǅǆǇǈǉǊǋǌ№™℠℡…‼⅓⅔⅛⅜⅝⅞ⅡⅢⅣⅥⅦⅧⅨ㎏㎜㎝㎞"
+def character_class(characters: list[str]) -> str:
+    """A pattern's class of these characters."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, characters)):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
 def ascii_fold(x: Column) -> Column:
-    """Only texts with a character beyond ASCII pay for the table, and only those with a ligature for the replacements."""
+    """Only texts with a character beyond ASCII pay for the table, and only the characters that a text has are replaced one by one."""
     one, to, several = fold_table()
-    pairs = F.map_entries(constants({c: several[c] for c in LIGATURES}))
-    spelled = lambda s: F.when(s.rlike(f"[{LIGATURES}]"), F.aggregate(pairs, s, lambda out, p: F.replace(out, p["key"], p["value"]))).otherwise(s)
-    folded = lambda s: F.regexp_replace(F.translate(spelled(s), one, to), "[^\\x00-\\x7F]", "")
+    wide = character_class(list(several))
+    spelled = lambda found, s: F.aggregate(found, s, lambda out, c: F.replace(out, c, F.try_element_at(constants(several), c)))
+    single = lambda s: F.when(s.rlike(wide), spelled(F.array_distinct(F.regexp_extract_all(s, F.lit(f"({wide})"), F.lit(1))), s)).otherwise(s)
+    folded = lambda s: F.regexp_replace(F.translate(single(s), one, to), "[^\\x00-\\x7F]", "")
     return let(x, lambda s: F.when(s.rlike("[^\\x00-\\x7F]"), folded(s)).otherwise(s))
 
 
@@ -184,14 +191,41 @@ def size_band(raw: Column) -> Column:
     return let(F.replace(F.coalesce(raw, F.lit("")), F.lit(","), F.lit("")), band)
 
 
+# Credential shapes in errors and what stands for them, in the order in which they are replaced; the length kept.
+CREDENTIALS = [
+    (r"sk-ant-[A-Za-z0-9_\-]+", "[redacted-api-key]"),
+    (r"(?i)Bearer\s+[A-Za-z0-9._\-]+", "Bearer [redacted]"),
+    (r"""(?i)(x-api-key['"=:\s]+)[A-Za-z0-9._\-]+""", "$1[redacted]"),
+]
+SCRUBBED_CHARS = 600
+
+
 def scrub(x: Column) -> Column:
-    """Credential shapes redacted, at most 600 characters."""
-    x = F.regexp_replace(x, r"sk-ant-[A-Za-z0-9_\-]+", "[redacted-api-key]")
-    x = F.regexp_replace(x, r"(?i)Bearer\s+[A-Za-z0-9._\-]+", "Bearer [redacted]")
-    x = F.regexp_replace(x, r"""(?i)(x-api-key['"=:\s]+)[A-Za-z0-9._\-]+""", "$1[redacted]")
-    return F.substring(x, 1, 600)
+    """Credential shapes redacted, at most `SCRUBBED_CHARS` characters."""
+    for shape, shown in CREDENTIALS:
+        x = F.regexp_replace(x, shape, shown)
+    return F.substring(x, 1, SCRUBBED_CHARS)
+
+
+def rounded(x: Column, digits: int) -> Column:
+    """`x` to so many decimals by its exact binary value, a half to the even side, as Python's round does.
+
+    With k the floor of the scaled number, the doubled scaled number is compared with 2k + 1, where the product is
+    taken exactly: as its nearest double and the rest, from the halves of x's digits.
+    """
+    scale = float(10**digits)
+    twice = 2 * scale
+
+    def nearest(v: Column) -> Column:
+        k = F.floor(v * scale)
+        high = v * 134217729.0 - (v * 134217729.0 - v)
+        product = v * twice
+        rest = (high * twice - product) + (v - high) * twice
+        beyond = (product - (k * 2 + 1)) + rest
+        return (k + F.when((beyond > 0) | ((beyond == 0) & (k % 2 != 0)), 1).otherwise(0)).cast("double") / scale
+
+    return F.when(x.isNotNull(), let(x.cast("double"), nearest))
 
 
 def round2(x: Column) -> Column:
-    """Two decimals, halves up; the same formula in SQL: floor(x * 100 + 0.5) / 100."""
-    return F.floor(x * 100 + 0.5).cast("double") / 100
+    return rounded(x, 2)

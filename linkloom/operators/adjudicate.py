@@ -2,29 +2,47 @@
 
 from __future__ import annotations
 
+import json
+import os
+import time
+import urllib.request
+from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.similarity import best_token_set
-from linkloom.functions.text import round2, scrub
+from linkloom.functions.text import name_variants, round2, scrub
+from linkloom.operators.match import BLOCK, dealt_pairs
 
 ELIGIBLE = ["review", "possible_match"]
 SHOWN = 5
 MOST_ROWS = 200
+REASONING_CHARS = 400
 CONFIDENCES = ["high", "medium", "low"]
 # How an answer that resolves nothing is reported.
+NO_ANSWER = "model returned no tool call"
 OMITTED = "response omitted matched_candidate_id"
 NOT_INTEGER = "matched_candidate_id was not an integer: "
 NO_MATCH = "model found no matching candidate"
 TOO_LOW = "confidence too low to resolve"
 
 
+@dataclass(frozen=True)
+class Answer:
+    """A model's JSON (matched_candidate_id, confidence, reasoning; None without any) and what it took."""
+
+    payload: str | None
+    input_tokens: int = 0
+    output_tokens: int = 0
+
+
 class Model(Protocol):
-    """Answers a prompt with JSON: matched_candidate_id, confidence, reasoning."""
+    """Answers a prompt about the candidates offered; a failed call raises."""
 
-    def answer(self, prompt: str, offered: list[int]) -> str: ...
+    def answer(self, prompt: str, offered: list[int]) -> Answer: ...
 
 
 class Stub:
@@ -33,34 +51,93 @@ class Stub:
     def __init__(self, always: str = "no_match"):
         self.always = always
 
-    def answer(self, prompt: str, offered: list[int]) -> str:
+    def answer(self, prompt: str, offered: list[int]) -> Answer:
         chosen = offered[0] if self.always == "top" and offered else 0
-        return f'{{"matched_candidate_id": {chosen}, "confidence": "high", "reasoning": "stub"}}'
+        return Answer(f'{{"matched_candidate_id": {chosen}, "confidence": "high", "reasoning": "stub"}}')
+
+
+TOOL = "record_decision"
+INSTRUCTIONS = (
+    "Decide whether a source record and one of the candidates are the same business. An automated scorer has left these cases open, so weigh the postal code, the amount against the size band "
+    "and the order of dates beside the names, and give shared distinctive words more weight than common ones. Answer 0 if none is clearly the same: a wrong match costs more than none."
+)
+
+
+class HostedModel:
+    """A hosted chat model that is made to answer through a tool with a fixed schema.
+
+    `send` posts a request (a dictionary) and returns the response; see `https_sender`. Nothing here holds a key.
+    """
+
+    def __init__(self, send: Callable[[dict], dict], model: str, max_tokens: int = 400):
+        self.send, self.model, self.max_tokens = send, model, max_tokens
+
+    def request(self, prompt: str) -> dict:
+        properties = {"matched_candidate_id": {"type": "integer", "description": "id of the matching candidate, 0 for none"}, "confidence": {"type": "string", "enum": CONFIDENCES}, "reasoning": {"type": "string"}}
+        schema = {"type": "object", "properties": properties, "required": list(properties)}
+        tool = {"name": TOOL, "description": "Records the decision.", "input_schema": schema}
+        return {"model": self.model, "max_tokens": self.max_tokens, "system": INSTRUCTIONS, "tools": [tool], "tool_choice": {"type": "tool", "name": TOOL}, "messages": [{"role": "user", "content": prompt}]}
+
+    def answer(self, prompt: str, offered: list[int]) -> Answer:
+        response = self.send(self.request(prompt))
+        used = response.get("usage") or {}
+        found = [b.get("input") for b in response.get("content") or [] if b.get("type") == "tool_use" and b.get("name") == TOOL]
+        return Answer(json.dumps(found[0] or {}) if found else None, used.get("input_tokens") or 0, used.get("output_tokens") or 0)
+
+
+def https_sender(url: str, key_variable: str, headers: dict[str, str] | None = None, key_header: str = "x-api-key", timeout: float = 30.0, retries: int = 2) -> Callable[[dict], dict]:
+    """Posts JSON to `url`; the key is read from an environment variable at each call."""
+
+    def send(body: dict) -> dict:
+        for left in range(retries, -1, -1):
+            head = {"content-type": "application/json", key_header: os.environ[key_variable], **(headers or {})}
+            try:
+                with urllib.request.urlopen(urllib.request.Request(url, json.dumps(body).encode(), head), timeout=timeout) as response:
+                    return json.loads(response.read())
+            except OSError:
+                if not left:
+                    raise
+        raise AssertionError
+
+    return send
 
 
 def deferred(history: DataFrame) -> DataFrame:
     return history.where(F.col("decision_band").isin(ELIGIBLE))
 
 
+def _or_raw(variants: Column, raw: Column) -> Column:
+    """A name's variants, or the name as it is where it has none."""
+    return F.when(F.size(variants) > 0, variants).otherwise(F.array(F.coalesce(raw, F.lit(""))))
+
+
 def pool(items: DataFrame, candidates: DataFrame, item_key: list[str]) -> DataFrame:
     """Candidates of an item's source and state; of its source alone where there are none."""
     side = candidates.withColumnRenamed("candidate_source", "source_code")
-    near = items.join(side.withColumnRenamed("candidate_state", "state"), ["source_code", "state"])
-    alone = items.join(near.select(*item_key).distinct(), item_key, "left_anti")
-    return near.unionByName(alone.join(side.drop("candidate_state"), "source_code"), allowMissingColumns=True)
+    blocks = side.select("source_code", F.col("candidate_state").alias("state")).distinct()
+    near = dealt_pairs(items.join(blocks, BLOCK, "left_semi"), side.withColumnRenamed("candidate_state", "state"), BLOCK, item_key)
+    alone = dealt_pairs(items.join(blocks, BLOCK, "left_anti"), side.drop("candidate_state"), ["source_code"], item_key)
+    return near.unionByName(alone, allowMissingColumns=True)
+
 
+def offers(items: DataFrame, candidates: DataFrame, item_key: list[str], shown: int = SHOWN) -> DataFrame:
+    """For each item the candidates of its pool whose business names are most alike, as an array in order.
 
-def offers(pairs: DataFrame, item_key: list[str], shown: int = SHOWN) -> DataFrame:
-    """For each item the candidates with the best names, as an array in order, and how many there were."""
-    rated = pairs.withColumn("name_similarity", round2(best_token_set(F.col("live_name_variants"), F.col("candidate_name_variants"))))
+    Pairs carry what the comparison and the offer need, and all but an item's first go before the shuffle.
+    """
+    own = items.select(*item_key, _or_raw(F.col("live_name_variants"), F.col("live_business_name")).alias("names"))
+    fields = [c for c in ("application_id", "crm_business_name", "candidate_state", "business_zip_code", "loan_range", "lead_start_date") if c in candidates.columns]
+    side = candidates.select("candidate_source", *fields, _or_raw(name_variants(F.col("crm_business_name")), F.col("crm_business_name")).alias("candidate_names"))
+    rated = pool(own, side.withColumn("offer_state", F.col("candidate_state")), item_key).withColumn("name_similarity", round2(best_token_set(F.col("names"), F.col("candidate_names"))))
     order = Window.partitionBy(*item_key).orderBy(F.col("name_similarity").desc(), F.col("application_id"))
-    top = rated.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= shown)
-    fields = [c for c in ("nth", "application_id", "crm_business_name", "name_similarity", "candidate_state", "business_zip_code", "loan_range", "lead_start_date") if c in top.columns]
-    return top.groupBy(*item_key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("candidates"))
+    top = rated.drop("names", "candidate_names").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= shown)
+    offered = ["nth", "application_id", "crm_business_name", "name_similarity", F.col("offer_state").alias("candidate_state"), *[c for c in ("business_zip_code", "loan_range", "lead_start_date") if c in fields]]
+    return top.groupBy(*item_key).agg(F.array_sort(F.collect_list(F.struct(*offered))).alias("candidates"))
 
 
 def described(c: Column, fields: list[str]) -> Column:
     """A candidate's line in a prompt; fields that are blank are left out."""
+    # How a prompt names the fields.
     labels = {"candidate_state": "state=", "business_zip_code": "postal=", "loan_range": "size_band=", "lead_start_date": "lead_created="}
     bits = [F.concat(F.lit("id="), c["application_id"].cast("string")), F.concat(F.lit('name="'), c["crm_business_name"], F.lit('"'))]
     bits += [F.concat(F.lit(label), F.nullif(c[f].cast("string"), F.lit(""))) for f, label in labels.items() if f in fields]
@@ -69,6 +146,7 @@ def described(c: Column, fields: list[str]) -> Column:
 
 
 def prompt(name: Column, state: Column, source: Column, postal: Column, amount: Column, dated: Column, candidates: Column, fields: list[str]) -> Column:
+    """The text of a request. Its lines and their order."""
     lines = F.concat(
         F.array(
             F.lit("Source record:"),
@@ -87,28 +165,33 @@ def prompt(name: Column, state: Column, source: Column, postal: Column, amount:
     return F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n")
 
 
+def _quoted(text: Column) -> Column:
+    """A string as an error shows it: in single quotes, or double ones if it has single ones only."""
+    plain = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))
+    inner = F.when(single & double, F.replace(plain, F.lit("'"), F.lit("\\'"))).otherwise(plain)
+    return F.when(single & ~double, F.concat(F.lit('"'), inner, F.lit('"'))).otherwise(F.concat(F.lit("'"), inner, F.lit("'")))
+
+
 def decided(answers: DataFrame, payload: str = "payload", offered: str = "offered") -> DataFrame:
     """`answers` with resolved, chosen, confidence, refused_reason, error and reasoning.
 
-    The tests come in this order: a missing id, one that is no integer, 0, one that was not offered, low confidence.
+    The tests come in this order: no answer, a missing id, one that is no integer, 0, one that was not offered, low
+    confidence. A number counts by its integer part and a string if it spells an integer; null is no integer.
     """
-    raw = F.get_json_object(payload, "$.matched_candidate_id")
+    value = F.try_variant_get(F.try_parse_json(payload), "$.matched_candidate_id", "variant")
+    kind, raw = F.schema_of_variant(value), F.get_json_object(payload, "$.matched_candidate_id")
     said = F.lower(F.coalesce(F.get_json_object(payload, "$.confidence"), F.lit("low")))
     sure = F.when(said.isin(CONFIDENCES), said).otherwise(F.lit("low"))
-    chosen = raw.try_cast("bigint")
-    error = F.when(raw.isNull(), OMITTED).when(chosen.isNull(), F.concat(F.lit(NOT_INTEGER), raw))
-    strange = ~F.array_contains(F.col(offered), chosen)
-    refused = F.when(chosen == 0, NO_MATCH).when(strange, F.concat(F.lit("id "), chosen.cast("string"), F.lit(" was not among the candidates offered"))).when(sure == "low", TOO_LOW)
-    return answers.withColumns(
-        {
-            "confidence": sure,
-            "error": error,
-            "refused_reason": F.when(error.isNull(), refused),
-            "resolved": error.isNull() & refused.isNull(),
-            "chosen": F.when(error.isNull() & (chosen != 0) & ~strange, chosen),
-            "reasoning": F.substring(F.coalesce(F.get_json_object(payload, "$.reasoning"), F.lit("")), 1, 400),
-        }
-    )
+    spelled = F.when(raw.rlike(r"^\s*[+-]?\d+(_\d+)*\s*$"), F.replace(F.trim(F.regexp_replace(raw, r"\s", "")), F.lit("_"), F.lit("")).try_cast("bigint"))
+    number = F.when(kind == "STRING", spelled).when(kind == "BOOLEAN", (raw == "true").cast("bigint")).when(kind == "BIGINT", raw.try_cast("bigint")).when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), raw.try_cast("double").cast("bigint"))
+    shown = F.when(kind == "VOID", "None").when(kind == "STRING", _quoted(raw)).otherwise(raw)
+    error = F.when(F.try_parse_json(payload).isNull(), NO_ANSWER).when(value.isNull(), OMITTED).when(number.isNull(), F.concat(F.lit(NOT_INTEGER), shown))
+    judged = answers.withColumns({"confidence": sure, "error": error, "chosen": number, "reasoning": F.substring(F.coalesce(F.get_json_object(payload, "$.reasoning"), F.lit("")), 1, REASONING_CHARS)})
+    chosen, strange = F.col("chosen"), ~F.array_contains(F.col(offered), F.col("chosen"))
+    refused = F.when(chosen == 0, NO_MATCH).when(strange, F.concat(F.lit("id "), chosen.cast("string"), F.lit(" was not among the candidates offered"))).when(F.col("confidence") == "low", TOO_LOW)
+    reasoned = judged.withColumn("refused_reason", F.when(F.col("error").isNull(), refused))
+    return reasoned.withColumn("resolved", F.col("error").isNull() & F.col("refused_reason").isNull()).withColumn("chosen", F.when(F.col("error").isNull() & (chosen != 0) & ~strange, chosen))
 
 
 def unasked(requests: DataFrame, item_key: list[str], most: int | None = MOST_ROWS) -> DataFrame:
@@ -121,22 +204,33 @@ def asked(requests: DataFrame, model: Model, item_key: list[str], most: int | No
     import pandas as pd
 
     first = requests if most is None else requests.orderBy(*item_key).limit(most)
-    schema = first.select(*item_key, "prompt", "offered").withColumn("payload", F.lit("")).withColumn("call_error", F.lit("")).schema
+    slim = first.select(*item_key, "prompt", "offered")
+    schema = slim.selectExpr("*", "cast(null as string) as payload", "cast(null as string) as call_error", "0L as input_tokens", "0L as output_tokens", "0L as latency_ms").schema
 
     def run(batches):
         for frame in batches:
-            payloads, errors = [], []
+            answers, errors, took = [], [], []
             for text, offered in zip(frame["prompt"], frame["offered"], strict=True):
+                began = time.perf_counter()
                 try:
-                    payloads.append(model.answer(text, list(offered)))
+                    answers.append(model.answer(text, list(offered)))
                     errors.append("")
                 except Exception as e:  # a call that fails is an answer with an error
-                    payloads.append(None)
-                    errors.append(str(e))
-            yield pd.DataFrame(frame).assign(payload=payloads, call_error=errors)
+                    answers.append(Answer(None))
+                    errors.append(f"{type(e).__name__}: {e}")
+                took.append(int((time.perf_counter() - began) * 1000))
+            yield pd.DataFrame(frame).assign(payload=[a.payload for a in answers], call_error=errors, input_tokens=[a.input_tokens for a in answers], output_tokens=[a.output_tokens for a in answers], latency_ms=took)
+
+    return slim.mapInPandas(run, schema).withColumn("call_error", scrub(F.col("call_error")))
+
 
-    answers = first.select(*item_key, "prompt", "offered").mapInPandas(run, schema)
-    return answers.withColumn("call_error", scrub(F.col("call_error")))
+def requests_of(items: DataFrame, offered: DataFrame, item_key: list[str]) -> DataFrame:
+    """(item key, prompt, offered) for each item with offers."""
+    both = items.join(offered, item_key)
+    dated = F.date_format("primary_origination_date", "yyyy-MM-dd")
+    names = [f.name for f in offered.schema["candidates"].dataType.elementType]
+    text = prompt(F.col("live_business_name"), F.col("state"), F.coalesce(F.nullif("source_name", F.lit("")), F.col("source_code")), F.lit(""), F.nullif("primary_origination_amount", F.lit(0.0)), dated, F.col("candidates"), names)
+    return both.select(*item_key, text.alias("prompt"), F.transform("candidates", lambda c: c["application_id"]).alias("offered"))
 
 
 def totals(decisions: DataFrame) -> DataFrame:

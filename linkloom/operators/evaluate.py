@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.functions.text import rounded
+
 KEY = ["source_code", "live_business_name", "state"]
 # Outcomes of a truth row.
 LABELS = ["resolved_correct", "resolved_wrong", "false_resolution", "deferred_correct", "deferred_wrong", "deferred_trap", "missed", "correctly_abstained"]
@@ -47,15 +49,16 @@ def outcomes(truth: DataFrame, predictions: DataFrame, overlay: DataFrame | None
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """One decimal, halves up; 0 of nothing is 0."""
-    return F.when(whole == 0, 0.0).otherwise(F.floor(part.cast("double") / whole * 1000 + 0.5).cast("double") / 10)
+    """One decimal; 0 of nothing is 0."""
+    return F.when(whole == 0, 0.0).otherwise(rounded(part.cast("double") * 100 / F.nullif(whole, F.lit(0)), 1))
 
 
 def metrics(labelled: DataFrame) -> DataFrame:
     """One row: counts by label and the ratios made of them."""
-    counts = labelled.agg(F.count("*").alias("records"), F.count_if(F.col("expected").isNull()).alias("traps"), *[F.count_if(F.col("label") == x).alias(x) for x in LABELS])
+    counts = labelled.agg(F.count("*").alias("records"), F.count_if(F.col("expected").isNotNull()).alias("expecting_a_match"), F.count_if(F.col("expected").isNull()).alias("traps"), *[F.count_if(F.col("label") == x).alias(x) for x in LABELS])
     made = F.col("resolved_correct") + F.col("resolved_wrong") + F.col("false_resolution")
-    return counts.withColumns({"automated": made}).withColumns(
+    left = F.col("deferred_correct") + F.col("deferred_wrong") + F.col("deferred_trap")
+    return counts.withColumns({"automated": made, "human_queue": left}).withColumns(
         {
             "automation_precision": percent(F.col("resolved_correct"), F.col("automated")),
             "automation_rate": percent(F.col("resolved_correct"), F.col("records") - F.col("traps")),
@@ -69,8 +72,42 @@ def by_case(labelled: DataFrame, case: str = "case") -> DataFrame:
     return labelled.groupBy(case).pivot("label", LABELS).count().na.fill(0).orderBy(case)
 
 
+def predictions_of(history: DataFrame) -> DataFrame:
+    """A history's best prediction for each key, as `outcomes` takes it; of equal scores that with the least match_key."""
+    best = best_predictions(history.where("live_business_name is not null"), KEY, "match_key")
+    return best.select(*KEY, F.col("candidate_application_id").alias("application_id"), "decision_band", "match_score", "score_gap")
+
+
 def markdown(table: DataFrame) -> str:
     """A report's table; for results of a few rows."""
-    rows = table.collect()
-    head = table.columns
-    return "\n".join(["| " + " | ".join(head) + " |", "|" + "---|" * len(head), *("| " + " | ".join(str(v) for v in r) + " |" for r in rows)])
+    rows, head = [[str(v) for v in r] for r in table.collect()], table.columns
+    widths = [max(len(x[i]) for x in [head, *rows]) for i in range(len(head))]
+    line = lambda cells: "| " + " | ".join(c.ljust(w) for c, w in zip(cells, widths, strict=True)) + " |"
+    return "\n".join([line(head), "|" + "|".join("-" * (w + 2) for w in widths) + "|", *map(line, rows)])
+
+
+def counts_of(labelled: DataFrame) -> DataFrame:
+    """(outcome, n), the commonest first."""
+    return labelled.groupBy(F.col("label").alias("outcome")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "outcome")
+
+
+def rendered(labelled: DataFrame, title: str) -> str:
+    """A report of outcomes in Markdown: the metrics, the outcomes, and the outcomes of each case (those that occur)."""
+    m = metrics(labelled).first()
+    lines = [
+        f"- records: **{m.records}**, of which {m.expecting_a_match} expect a match and {m.traps} none",
+        f"- automated: **{m.automated}**, left to a person: **{m.human_queue}**",
+        f"- automation precision: **{m.automation_precision}%** of the automated decisions are right",
+        f"- automation rate: **{m.automation_rate}%** of the records that expect a match are resolved and right",
+        f"- error rate: **{m.error_rate}%** of the automated decisions are wrong",
+        f"- trap survival: **{m.trap_survival}%** of the records that expect none are not resolved",
+    ]
+    found = counts_of(labelled)
+    seen = [r.outcome for r in found.collect()]
+    cases = by_case(labelled).select("case", *[x for x in sorted(LABELS) if x in seen])
+    return "\n".join([f"## {title}", "", *lines, "", "### Outcomes", "", markdown(found), "", "### By case", "", markdown(cases), ""])
+
+
+def payload(labelled: DataFrame) -> dict:
+    """Metrics and counts for JSON."""
+    return {"metrics": metrics(labelled).first().asDict(), "counts": {r.outcome: r.n for r in counts_of(labelled).collect()}}

@@ -6,7 +6,7 @@ folder of its own; readers take the last complete one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import stable_hash
@@ -16,6 +16,23 @@ STATUSES = ["new", "confirmed", "rejected", "billed"]
 # What the queue is ordered by.
 BAND_RANK = {"auto_accept": 0, "review": 1, "possible_match": 2}
 STATUS_RANK = {"Approved": 0, "SentForEducation": 1, "InProgress": 2, "Unassigned": 3, "Denied": 4, "Discarded": 5, "Archived": 6}
+# The stored columns and their types.
+COLUMNS = {
+    "match_key": "string", "live_record_key": "string", "candidate_application_id": "bigint", "candidate_business_id": "bigint", "candidate_customer_id": "bigint",
+    "decision_band": "string", "status": "string", "status_note": "string", "match_score": "double", "name_score": "double", "score_gap": "double",
+    "billed_quarter": "string", "billed_amount": "double", "invoice_date": "date", "first_seen_at": "timestamp", "last_seen_at": "timestamp", "status_updated_at": "timestamp",
+    "quarter_first_seen": "string", "first_run_label": "string", "last_run_label": "string", "times_seen": "bigint", "source_code": "string", "source_name": "string",
+    "state": "string", "live_business_name": "string", "crm_source_code": "string", "crm_source_name": "string", "crm_business_name": "string", "origination_dates": "string",
+    "primary_origination_date": "date", "origination_amounts": "string", "primary_origination_amount": "double", "source_files": "string", "source_sheets": "string",
+    "source_row_numbers": "string", "duplicate_count": "bigint", "candidate_status": "string", "candidate_loan_range": "string", "candidate_business_state": "string",
+    "candidate_business_zip": "string", "application_created_date": "date", "prescreen_created_date": "date", "lead_start_date": "date", "matched_live_variant": "string",
+    "matched_candidate_variant": "string", "supporting_signals": "string", "alternative_candidate_name": "string", "alternative_candidate_score": "double",
+}
+#: What the columns of matches that come from candidates are called in the history.
+STORED_AS = {
+    "application_id": "candidate_application_id", "business_id": "candidate_business_id", "customer_id": "candidate_customer_id", "application_status": "candidate_status",
+    "loan_range": "candidate_loan_range", "business_zip_code": "candidate_business_zip", "candidate_source_name": "crm_source_name",
+}
 #: Columns that an upsert leaves as they are for a known match.
 KEPT = ["first_seen_at", "quarter_first_seen", "first_run_label", "status", "status_note", "status_updated_at", "billed_quarter", "billed_amount", "invoice_date"]
 
@@ -24,6 +41,16 @@ def match_key(record_key: Column, application_id: Column) -> Column:
     return stable_hash(record_key, application_id.cast("bigint"))
 
 
+def empty_history(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], ", ".join(f"{k} {v}" for k, v in COLUMNS.items()))
+
+
+def stored(matches: DataFrame) -> DataFrame:
+    """Linked matches with their key and the history's column names; the block is the candidate's source and state too."""
+    named = matches.withColumn("match_key", match_key(F.col("live_record_key"), F.col("application_id"))).withColumnsRenamed(STORED_AS)
+    return named.withColumns({"crm_source_code": F.col("source_code"), "candidate_business_state": F.col("state")})
+
+
 def normal_status(c: Column) -> Column:
     low = F.lower(F.trim(F.coalesce(c.cast("string"), F.lit(""))))
     return F.when(low.isin(STATUSES), low).otherwise(F.lit("new"))
@@ -70,15 +97,27 @@ def upserted(history: DataFrame, matches: DataFrame, seen_at: Column, run_label:
     return both.select(*columns)
 
 
+def last_decisions(decisions: DataFrame) -> DataFrame:
+    usable = decisions.withColumn("status", normal_status(F.col("status"))).where("status <> 'new'")
+    return usable.groupBy(F.trim("match_key").alias("match_key")).agg(F.max_by("status", "ordinal").alias("__status"), F.max_by(clean_note(F.col("status_note")), F.col("ordinal")).alias("__note"))
+
+
+def _changes() -> Column:
+    return F.col("__status").isNotNull() & (F.col("__status") != F.col("status"))
+
+
+def decision_changes(history: DataFrame, decisions: DataFrame) -> int:
+    """How many matches `with_decisions` changes."""
+    return history.join(last_decisions(decisions), "match_key").where(_changes()).count()
+
+
 def with_decisions(history: DataFrame, decisions: DataFrame, at: Column) -> DataFrame:
     """The next snapshot with reviewers' decisions (ordinal, match_key, status, status_note); `new` is no decision.
 
     Of several decisions on a match the last counts. A decision equal to the known status changes nothing.
     """
-    usable = decisions.withColumn("status", normal_status(F.col("status"))).where("status <> 'new'")
-    last = usable.groupBy(F.trim("match_key").alias("match_key")).agg(F.max_by("status", "ordinal").alias("__status"), F.max_by(clean_note(F.col("status_note")), F.col("ordinal")).alias("__note"))
-    both = history.join(last, "match_key", "left")
-    change = F.col("__status").isNotNull() & (F.col("__status") != F.col("status"))
+    both = history.join(last_decisions(decisions), "match_key", "left")
+    change = _changes()
     changed = {
         "status_note": F.when(change, F.col("__note")).otherwise(F.col("status_note")),
         "status_updated_at": F.when(change, at).otherwise(F.col("status_updated_at")),

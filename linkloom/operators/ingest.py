@@ -12,6 +12,17 @@ from linkloom.functions.text import is_identifier
 DETAILS = {"missing_state": "State is required for matching.", "missing_business_name": "Business name is blank."}
 
 
+# Fixed value: what the exception of a file without a source says.
+UNMAPPED = "No source mapping matched the workbook filename."
+
+
+def file_exceptions(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files without a source, files with one that lack columns) of `files` (source_file, source_code, missing)."""
+    unmapped = files.where("source_code is null").select(F.lit("unmapped_source_file").alias("exception_type"), "source_file", F.lit(UNMAPPED).alias("detail"))
+    lacking = files.where("source_code is not null and missing <> ''").select(F.lit("missing_required_columns").alias("exception_type"), "source_file", F.col("missing").alias("detail"))
+    return unmapped, lacking
+
+
 def in_quarter(rows: DataFrame, q: Quarter) -> DataFrame:
     return rows.where(F.col("origination_date").between(F.lit(q.start), F.lit(q.end)))
 

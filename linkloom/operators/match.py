@@ -1,11 +1,15 @@
 """Blocking, scores, corroboration, bands and what is not surfaced.
 
 Items and candidates meet in blocks of source and state by an equi-join; cheap tests come before names are
-scored. Names are scored once for each distinct pair of variant lists in a batch of an executor (a bounded memo).
+scored. Blocks are counted first, and the items of a large one are dealt out to as many parts as its pairs need,
+each with the block's candidates: pairs are scored where the join makes them, and only those that pass are
+shuffled. Names are scored once for each distinct pair of variant lists in a task (a bounded memo).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +19,8 @@ from linkloom.functions.similarity import name_match
 from linkloom.functions.text import join_name, name_variants, round2, size_band
 
 BLOCK = ["source_code", "state"]
+#: Pairs that one part of a block may make.
+PART_PAIRS = 250_000
 # Reasons for items that are not surfaced.
 NO_BLOCK = "No candidates for this source/state."
 NO_SCORE = "No candidate cleared the score threshold."
@@ -32,10 +38,34 @@ def prepared_candidates(frame: DataFrame) -> DataFrame:
     return frame.withColumn("candidate_state", state).withColumn("candidate_name_variants", names).withColumn("loan_band", size_band(F.col("loan_range")))
 
 
+def candidate_side(candidates: DataFrame) -> DataFrame:
+    """Candidates with the names that blocks go by."""
+    return candidates.withColumnRenamed("candidate_source", "source_code").withColumnRenamed("candidate_state", "state")
+
+
 def blocked(items: DataFrame, candidates: DataFrame) -> DataFrame:
     """Pairs of items and candidates in the same source and state."""
-    side = candidates.withColumnRenamed("candidate_source", "source_code").withColumnRenamed("candidate_state", "state")
-    return items.join(side, BLOCK)
+    return items.join(candidate_side(candidates), BLOCK)
+
+
+def dealt_pairs(left: DataFrame, right: DataFrame, on: list[str], deal_by: list[str], part_pairs: int = PART_PAIRS) -> DataFrame:
+    """left JOIN right USING (on), in tasks of about `part_pairs` pairs.
+
+    A key's rows of `left` are dealt out by a hash of `deal_by` to ceil(pairs / part_pairs) parts, and its rows of
+    `right` go to each of them. The number of tasks follows from the counts, as adaptive execution, which goes by
+    bytes, would put many parts into one task.
+    """
+    part = "part"
+    while part in left.columns or part in right.columns:
+        part += "_"
+    sizes = left.groupBy(*on).agg(F.count("*").alias("n_left")).join(right.groupBy(*on).agg(F.count("*").alias("n_right")), on)
+    parts = sizes.select(*on, F.ceil(F.col("n_left") * F.col("n_right") / F.lit(part_pairs)).cast("int").alias("parts"))
+    all_parts, pairs = sizes.join(parts, on).agg(F.sum("parts"), F.sum(F.col("n_left") * F.col("n_right"))).first()
+    tasks = int(min(all_parts or 1, max(left.sparkSession.sparkContext.defaultParallelism, (pairs or 0) // part_pairs + 1)))
+    dealt = left.join(parts, on).withColumn(part, F.pmod(F.hash(*deal_by), F.col("parts"))).drop("parts")
+    copied = right.join(parts, on).withColumn(part, F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    keys = [*on, part]
+    return dealt.repartition(tasks, *keys).join(copied.repartition(tasks, *keys), keys).drop(part)
 
 
 def predates_lead(origination: Column, lead: Column, grace: float) -> Column:
@@ -65,17 +95,11 @@ def corroboration(pairs: DataFrame) -> DataFrame:
     return banded.withColumn("adjustment", points).withColumn("supporting_signals", signals)
 
 
-def scored(pairs: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
-    """Pairs that pass the date guard, the name's floor and guard and the candidate's floor, with their scores.
-
-    Pairs are dealt out by item before names are scored: a block's pairs are far more than its rows, so that the
-    join's own tasks would be few and uneven, and the ranking of an item's pairs then needs no other exchange.
-    """
-    grace = limits.max_days_origination_before_lead
-    timely = pairs.where(~predates_lead(F.col("primary_origination_date"), F.col("lead_start_date"), grace))
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = timely.repartition(tasks, *reversed(item_key))  # in another order than the items' own exchange, which would take its place and be coalesced
-    named = dealt.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants")))
+def scored(items: DataFrame, candidates: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
+    """Pairs that pass the date guard, the name's floor and guard and the candidate's floor, with their scores."""
+    pairs = dealt_pairs(items, candidate_side(candidates), BLOCK, item_key)
+    timely = pairs.where(~predates_lead(F.col("primary_origination_date"), F.col("lead_start_date"), limits.max_days_origination_before_lead))
+    named = timely.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants")))
     likely = named.where((F.col("__name.name_score") >= limits.min_name_score) & F.col("__name.signal"))
     flat = likely.select("*", *[F.col(f"__name.{a}").alias(b) for a, b in (("name_score", "name_score"), ("live_variant", "matched_live_variant"), ("candidate_variant", "matched_candidate_variant"))]).drop("__name")
     overall = round2(F.least(F.lit(100.0), F.col("name_score") + F.col("adjustment")))
@@ -100,20 +124,34 @@ def best_of_each(pairs: DataFrame, item_key: list[str], limits: Thresholds) -> D
     return top.withColumn("score_gap", gap).withColumn("decision_band", band(F.col("match_score"), F.col("score_gap"), F.col("name_score"), limits))
 
 
+def tallied(items: DataFrame, candidates: DataFrame, limits: Thresholds) -> DataFrame:
+    """(block, primary_origination_date, n, late): candidates of the block, and those that the date guard excludes.
+
+    They are counted by day first, so that days meet days rather than items candidates.
+    """
+    day = "primary_origination_date"
+    days = items.select(*BLOCK, day).distinct()
+    leads = candidate_side(candidates).groupBy(*BLOCK, "lead_start_date").agg(F.count("*").alias("m"))
+    late = predates_lead(F.col(day), F.col("lead_start_date"), limits.max_days_origination_before_lead)
+    return days.join(leads, BLOCK).groupBy(*BLOCK, day).agg(F.sum("m").alias("n"), F.sum(F.when(late, F.col("m")).otherwise(0)).alias("late"))
+
+
 def not_surfaced(items: DataFrame, candidates: DataFrame, best: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
     """(item key, reason) of the items without a surfaced match."""
-    late = predates_lead(F.col("primary_origination_date"), F.col("lead_start_date"), limits.max_days_origination_before_lead)
-    tallies = blocked(items, candidates).groupBy(*item_key).agg(F.count("*").alias("n"), F.count_if(late).alias("late"))
-    judged = items.select(*item_key).join(tallies, item_key, "left").join(best.select(*item_key, "decision_band"), item_key, "left")
+    day, own = "primary_origination_date", [c for c in item_key if c not in BLOCK]
+    tallies = tallied(items, candidates, limits).withColumnRenamed(day, "__day").withColumnsRenamed({c: f"__{c}" for c in BLOCK})
+    same = [F.col(c) == F.col(f"__{c}") for c in BLOCK] + [F.col(day).eqNullSafe(F.col("__day"))]
+    counted = items.select(*BLOCK, *own, day).join(tallies, same, "left")
+    judged = counted.select(*item_key, "n", "late").join(best.select(*item_key, "decision_band"), item_key, "left")
     excluded = F.when(F.col("late") > 0, F.concat(F.lit(" ("), F.col("late").cast("string"), F.lit(" candidate(s) excluded because the record predates the lead.)"))).otherwise(F.lit(""))
     reason = F.when(F.col("n").isNull(), NO_BLOCK).when(F.col("decision_band").isNull(), F.concat(F.lit(NO_SCORE), excluded)).when(F.col("decision_band") == "discard", BELOW)
     return judged.withColumn("reason", reason).where("reason is not null").select(*item_key, "reason")
 
 
-def linked(items: DataFrame, candidates: DataFrame, item_key: list[str], limits: Thresholds | None = None) -> tuple[DataFrame, DataFrame]:
-    """(matches in order, items that are not surfaced)."""
+def linked(items: DataFrame, candidates: DataFrame, item_key: list[str], limits: Thresholds | None = None, keep: Callable[[DataFrame], DataFrame] = lambda best: best) -> tuple[DataFrame, DataFrame]:
+    """(matches in order, items that are not surfaced); both read the best pairs, which `keep` may persist."""
     limits = limits or Thresholds()
-    best = best_of_each(scored(blocked(items, candidates), item_key, limits), item_key, limits)
+    best = keep(best_of_each(scored(items, candidates, item_key, limits), item_key, limits))
     matches = best.where("decision_band <> 'discard'")
     return matches.orderBy("decision_band", F.col("match_score").desc(), F.col("name_score").desc()), not_surfaced(items, candidates, best, item_key, limits)
 

@@ -15,8 +15,17 @@ def _in(words: list[str]) -> str:
 LEGAL, STOP, DROPPED = _in(LEGAL_SUFFIXES), _in(STOPWORDS), _in(LEGAL_SUFFIXES + STOPWORDS)
 
 
+def rounded(x: str, digits: int) -> str:
+    """To so many decimals by the exact binary value, a half to the even side: the doubled scaled number, as a double and the rest, against 2k + 1."""
+    scale, twice = 10**digits, 2 * 10**digits
+    k, high = f"floor(v * {scale}::DOUBLE)", "(v * 134217729::DOUBLE - (v * 134217729::DOUBLE - v))"
+    rest = f"(({high} * {twice}::DOUBLE - v * {twice}::DOUBLE) + (v - {high}) * {twice}::DOUBLE)"
+    beyond = f"((v * {twice}::DOUBLE - (2::DOUBLE * {k} + 1::DOUBLE)) + {rest})"
+    return f"list_transform([({x})::DOUBLE], lambda v: ({k} + CASE WHEN {beyond} > 0 OR ({beyond} = 0 AND {k} % 2 <> 0) THEN 1 ELSE 0 END)::DOUBLE / {scale}::DOUBLE)[1]"
+
+
 def r2(x: str) -> str:
-    return f"(floor(({x}) * 100 + 0.5::DOUBLE)::DOUBLE / 100)"
+    return rounded(x, 2)
 
 
 def fold(x: str) -> str:
@@ -158,6 +167,7 @@ cand AS (
   SELECT p_partkey AS application_id, p_brand AS source_code,
     CASE WHEN p_partkey % 6 = 0 THEN p_type ELSE upper(p_type) END AS state,
     {ordered(f"{variants(decorated('p_name', 'p_partkey'))} || CASE WHEN p_partkey % 8 = 0 THEN {variants("'Ann ' || p_name")} ELSE [] END")} AS vs,
+    {variants(decorated('p_name', 'p_partkey'))} AS bvs,
     lpad((p_partkey % 50)::VARCHAR, 5, '0') AS zip, floor(p_retailprice * 0.8::DOUBLE) AS low, floor(p_retailprice * 1.2::DOUBLE) AS high,
     DATE '2024-02-01' + (p_partkey % 90)::INTEGER AS lead
   FROM part WHERE p_partkey % 2 = 0
@@ -191,7 +201,8 @@ LINKED = f"""{CORROBORATED}, vp AS (
 ), matches AS (
   SELECT *, CASE WHEN overall >= 94 AND name_score >= 92 AND gap >= 5 THEN 'auto_accept' WHEN overall >= 60 THEN 'review' WHEN overall >= 58 THEN 'possible_match' ELSE 'discard' END AS band FROM banded
 )"""
-PAIRS = "n AS (SELECT DISTINCT p_name FROM part), p AS (SELECT x.p_name AS a, y.p_name || ' llc' AS b FROM n x JOIN n y ON substr(x.p_name, 1, 1) = substr(y.p_name, 1, 1))"
+PAIRS = f"{BLOCKED}, p AS (SELECT DISTINCT a, b FROM (SELECT unnest(vs) AS a, cvs FROM blocked), LATERAL (SELECT unnest(cvs) AS b))"
+FAR = "far_cand AS (SELECT * REPLACE (CASE WHEN state LIKE 'S%' THEN 'ELSEWHERE' ELSE state END AS state) FROM cand)"
 HISTORY = """
 hist AS (
   SELECT sha1(user_id || '||' || event_type) AS match_key, CASE e % 4 WHEN 0 THEN 'auto_accept' WHEN 1 THEN 'review' ELSE 'possible_match' END AS decision_band,
@@ -214,26 +225,31 @@ _LABELS = ["resolved_correct", "resolved_wrong", "false_resolution", "deferred_c
 
 
 def _pct(a: str, b: str) -> str:
-    return f"CASE WHEN {b} = 0 THEN 0::DOUBLE ELSE floor(({a})::DOUBLE / ({b}) * 1000 + 0.5::DOUBLE)::DOUBLE / 10 END"
+    return f"CASE WHEN {b} = 0 THEN 0::DOUBLE ELSE {rounded(f'({a}) * 100::DOUBLE / ({b})', 1)} END"
 
 
 def _metrics(out: str) -> str:
     counts = ", ".join(f"count(*) FILTER (label = '{x}') AS {x}" for x in _LABELS)
-    return f"""WITH {out}, c AS (SELECT count(*) AS records, count(*) FILTER (expected IS NULL) AS traps, {counts} FROM o),
-d AS (SELECT *, resolved_correct + resolved_wrong + false_resolution AS automated FROM c)
+    return f"""WITH {out}, c AS (SELECT count(*) AS records, count(expected) AS expecting_a_match, count(*) FILTER (expected IS NULL) AS traps, {counts} FROM o),
+d AS (SELECT *, resolved_correct + resolved_wrong + false_resolution AS automated, deferred_correct + deferred_wrong + deferred_trap AS human_queue FROM c)
 SELECT *, {_pct('resolved_correct', 'automated')} AS automation_precision, {_pct('resolved_correct', '(records - traps)')} AS automation_rate,
   {_pct('resolved_wrong + false_resolution', 'greatest(automated, 1)')} AS error_rate, {_pct('deferred_trap + correctly_abstained', 'greatest(traps, 1)')} AS trap_survival FROM d"""
 
 
+OFFERED = f"""{ITEMS}, {CANDIDATES}, near AS (SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.bvs FROM items i JOIN cand c ON c.source_code = i.source_code AND c.state = i.state),
+pool AS (FROM near UNION ALL SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.bvs FROM items i JOIN cand c ON c.source_code = i.source_code WHERE (i.source_code, i.state) NOT IN (SELECT (source_code, state) FROM cand)),
+vp AS (SELECT source_code, state, dedupe_name_key, application_id, a, b FROM (SELECT *, unnest(vs) AS a FROM pool), LATERAL (SELECT unnest(bvs) AS b)),
+{compared('vp')}, s AS (SELECT source_code, state, dedupe_name_key, application_id, {r2('max(tset)')} AS m FROM vp JOIN scored USING (a, b) GROUP BY ALL)"""
 PART = f"(SELECT p_partkey, {decorated('p_name', 'p_partkey')} AS name FROM part)"
 _ANSWER = """
 ans AS (
-  SELECT o_orderkey, o_orderkey % 7 AS k FROM orders
+  SELECT o_orderkey, o_orderkey % 14 AS k FROM orders
 ), dec AS (
-  SELECT o_orderkey, CASE k WHEN 4 THEN 'low' WHEN 5 THEN 'low' WHEN 6 THEN 'medium' ELSE 'high' END AS confidence,
-    CASE k WHEN 0 THEN 'response omitted matched_candidate_id' WHEN 1 THEN 'matched_candidate_id was not an integer: x1' END AS error,
+  SELECT o_orderkey, CASE WHEN k IN (4, 5, 12, 13) THEN 'low' WHEN k = 6 THEN 'medium' ELSE 'high' END AS confidence,
+    CASE WHEN k = 0 THEN 'response omitted matched_candidate_id' WHEN k = 12 THEN 'model returned no tool call'
+      WHEN k IN (1, 7, 10, 13) THEN 'matched_candidate_id was not an integer: ' || CASE k WHEN 1 THEN chr(39) || 'x1' || chr(39) WHEN 7 THEN 'None' WHEN 10 THEN chr(39) || '2.0' || chr(39) ELSE '"it' || chr(39) || 's"' END END AS error,
     CASE k WHEN 2 THEN 'model found no matching candidate' WHEN 3 THEN 'id 99 was not among the candidates offered' WHEN 4 THEN 'confidence too low to resolve' WHEN 5 THEN 'confidence too low to resolve' END AS refused_reason,
-    k = 6 AS resolved, CASE k WHEN 4 THEN 2 WHEN 5 THEN 2 WHEN 6 THEN 1 END::BIGINT AS chosen, CASE k WHEN 6 THEN 'same name' ELSE '' END AS reasoning
+    k IN (6, 8, 9, 11) AS resolved, CASE WHEN k IN (4, 5, 8) THEN 2 WHEN k IN (6, 9, 11) THEN 1 END::BIGINT AS chosen, CASE k WHEN 6 THEN 'same name' ELSE '' END AS reasoning
   FROM ans
 )"""
 _REJECTS = """
@@ -246,7 +262,7 @@ def _simple(expression: str) -> str:
 
 
 ORACLES = {
-    "q_ascii_fold": f"SELECT doc_id, {fold('text')} AS folded FROM documents",
+    "q_ascii_fold": f"SELECT doc_id, {fold('text')} || ['XI', '15', 'dz', 'Rs', 'ffi', 'e', 'ms', '0.', ''][doc_id % 9 + 1] AS folded FROM documents",
     "q_normalize_text": f"SELECT doc_id, {norm('text')} AS normalized FROM documents",
     "q_legal_suffix_strip": f"SELECT p_partkey, {less(norm('name'), LEGAL)} AS stripped FROM {PART}",
     "q_stopword_strip": f"SELECT p_partkey, {less(norm('name'), DROPPED)} AS core FROM {PART}",
@@ -285,8 +301,8 @@ FROM k GROUP BY ALL""",
     "q_corroboration": f"WITH {CORROBORATED} SELECT source_code, state, dedupe_name_key, application_id, adjustment, supporting_signals FROM adj",
     "q_date_guard": f"WITH {BLOCKED} SELECT source_code, state, dedupe_name_key, count(*) AS n, count(*) FILTER (late) AS excluded_for_date FROM blocked GROUP BY ALL",
     "q_block_join_counts": f"WITH {BLOCKED} SELECT source_code, state, count(*) AS pairs FROM blocked GROUP BY ALL",
-    "q_no_block_anti": f"""WITH {ITEMS}, {CANDIDATES} SELECT source_code, state, dedupe_name_key, 'No candidates for this source/state.' AS reason FROM items i
-WHERE NOT EXISTS (SELECT 1 FROM cand c WHERE application_id % 16 = 0 AND c.source_code = i.source_code AND c.state = i.state)""",
+    "q_no_block_anti": f"""WITH {ITEMS}, {CANDIDATES}, {FAR} SELECT source_code, state, dedupe_name_key, 'No candidates for this source/state.' AS reason FROM items i
+WHERE NOT EXISTS (SELECT 1 FROM far_cand c WHERE c.source_code = i.source_code AND c.state = i.state)""",
     "q_no_survivor_reason": f"""WITH {LINKED}, t AS (SELECT source_code, state, dedupe_name_key, count(*) AS n, count(*) FILTER (late) AS l FROM blocked GROUP BY ALL), j AS (
   SELECT items.source_code, items.state, items.dedupe_name_key, CASE WHEN t.n IS NULL THEN 'No candidates for this source/state.'
     WHEN band IS NULL THEN 'No candidate cleared the score threshold.' || CASE WHEN l > 0 THEN ' (' || l || ' candidate(s) excluded because the record predates the lead.)' ELSE '' END
@@ -311,9 +327,32 @@ SELECT match_key, CASE WHEN s IS NOT NULL AND s <> status THEN s ELSE status END
     "q_queue_order": f"""WITH {HISTORY} SELECT match_key, CASE decision_band WHEN 'auto_accept' THEN 0 WHEN 'review' THEN 1 WHEN 'possible_match' THEN 2 ELSE 9 END AS band_rank,
   CASE candidate_status WHEN 'Approved' THEN 0 WHEN 'Denied' THEN 4 ELSE 9 END AS status_rank, match_score, first_seen_at FROM hist WHERE status = 'new'""",
     "q_drop_sensitive": "SELECT c_mktsegment AS state, c_custkey FROM customer",
-    "q_run_summary": f"""WITH {ITEMS}, {HISTORY} SELECT (SELECT count(*) FROM live) AS live_rows, (SELECT count(*) FROM items) AS collapsed_items, (SELECT sum(n - 1)::BIGINT FROM items) AS duplicates_collapsed,
-  (SELECT count(*) FROM part WHERE p_partkey % 2 = 0) AS crm_candidates, {', '.join(f"(SELECT count(*) FROM new WHERE decision_band = '{b}') AS current_{b}, (SELECT count(*) FROM hist WHERE status = 'new' AND decision_band = '{b}') AS queue_{b}" for b in ('auto_accept', 'review', 'possible_match'))},
-  '2024Q1' AS quarter""",
+    "q_run_summary": f"""WITH {ITEMS}, {CANDIDATES}, {FAR}, {HISTORY}, {_REJECTS},
+waiting AS (SELECT *, row_number() OVER (PARTITION BY decision_band ORDER BY match_score DESC) AS nth FROM hist WHERE status = 'new'), seen AS (FROM waiting WHERE NOT (decision_band = 'review' AND nth > 20))
+SELECT (SELECT count(*) FROM live) AS live_rows_in_quarter, (SELECT count(*) FROM items) AS collapsed_review_items, (SELECT sum(n - 1)::BIGINT FROM items) AS duplicates_collapsed,
+  (SELECT count(*) FROM part WHERE p_partkey % 2 = 0) AS crm_candidates, {', '.join(f"(SELECT count(*) FROM new WHERE decision_band = '{b}') AS current_run_{n}_matches" for b, n in (('auto_accept', 'auto_accept'), ('review', 'review'), ('possible_match', 'possible')))},
+  {', '.join(f"(SELECT count(*) FROM seen WHERE decision_band = '{b}') AS current_queue_{n}" for b, n in (('auto_accept', 'auto_accept'), ('review', 'review'), ('possible_match', 'possible_matches')))},
+  (SELECT count(*) FROM waiting WHERE decision_band = 'review' AND nth > 20) AS current_queue_review_overflow, (SELECT count(exception_type) FROM x) AS exceptions,
+  (SELECT count(*) FROM items i WHERE NOT EXISTS (SELECT 1 FROM far_cand c WHERE c.source_code = i.source_code AND c.state = i.state)) AS not_surfaced, '2024Q1' AS quarter""",
+    "q_report_order": """SELECT * FROM (VALUES (0, 'status'), (1, 'status_note'), (2, 'crm_source_name'), (3, 'source_name'), (4, 'crm_business_name'), (5, 'live_business_name'), (6, 'match_score'),
+  (7, 'primary_origination_date'), (8, 'primary_origination_amount'), (9, 'candidate_application_id'), (10, 'origination_amounts'), (11, 'application_created_date'), (12, 'match_key'), (13, 'zeta'), (14, 'alpha')) v(place, name)""",
+    "q_without_zone": "SELECT o_orderkey, o_orderdate::TIMESTAMP AS \"at\", 'timestamp_ntz' AS kind, 'x' AS other FROM orders",
+    "q_unmapped_files": "SELECT DISTINCT 'unmapped_source_file' AS exception_type, source || '-' || lang || '.csv' AS source_file, 'No source mapping matched the workbook filename.' AS detail FROM documents WHERE source || '-' || lang NOT LIKE '%src1%' AND source || '-' || lang NOT LIKE '%src2%'",
+    "q_missing_columns": "SELECT DISTINCT 'missing_required_columns' AS exception_type, source || '-' || lang || '.csv' AS source_file, 'Business Name, Origination Date' AS detail FROM documents WHERE (source LIKE '%src1%' OR source LIKE '%src2%') AND lang LIKE 'en%'",
+    "q_bands": """WITH b AS (SELECT event_id, event_id % 101 AS s, event_id % 12 AS g, event_id % 101 - event_id % 4 AS n FROM events)
+SELECT event_id, CASE WHEN s >= 94 AND n >= 92 AND g >= 5 THEN 'auto_accept' WHEN s >= 60 THEN 'review' WHEN s >= 58 THEN 'possible_match' ELSE 'discard' END AS band FROM b""",
+    "q_band_split": f"WITH {HISTORY} SELECT decision_band, count(*) AS n, max(match_score) AS best FROM hist WHERE status = 'new' GROUP BY 1",
+    "q_deferred": f"WITH {HISTORY} SELECT match_key, decision_band FROM hist WHERE decision_band <> 'auto_accept'",
+    "q_match_key": "SELECT o_orderkey, sha1(o_orderpriority || '||' || CASE WHEN o_custkey = 7 THEN '' ELSE o_custkey::VARCHAR END) AS match_key FROM orders",
+    "q_quarter_windows": """WITH d AS (SELECT DISTINCT o_orderdate::DATE AS day FROM orders), p AS (SELECT day, date_trunc('quarter', day)::DATE AS q FROM d)
+SELECT day, year(q - 1) || 'Q' || quarter(q - 1) AS previous, date_trunc('quarter', q - 1)::DATE AS starts, q - 1 AS ends,
+  CASE WHEN day >= make_date(year(day), 10, 30) THEN year(day) || 'Q3' WHEN day >= make_date(year(day), 7, 30) THEN year(day) || 'Q2' WHEN day >= make_date(year(day), 4, 30) THEN year(day) || 'Q1'
+    WHEN day >= make_date(year(day), 1, 30) THEN (year(day) - 1) || 'Q4' ELSE (year(day) - 1) || 'Q3' END AS due FROM p""",
+    "q_coerce_candidates": """SELECT o_orderkey AS application_id, upper(o_orderstatus) AS candidate_source, CASE WHEN o_orderkey % 4 <> 0 THEN upper(o_orderpriority) ELSE '' END AS business_state,
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate::DATE END AS lead_start_date, '' AS prescreen_state FROM orders""",
+    "q_truth_rows": "SELECT doc_id::VARCHAR AS source_code, 'name' AS live_business_name, 'VA' AS state, CASE WHEN doc_id % 5 IN (2, 3) THEN doc_id END::BIGINT AS expected, 'clean' AS \"case\" FROM labels",
+    "q_outcome_counts": f"WITH {OUT} SELECT label AS outcome, count(*) AS n FROM o GROUP BY 1",
+    "q_decision_changes": f"WITH {HISTORY} SELECT count(*) AS known, (count(*) FILTER (match_key < '8'))::INTEGER AS changed FROM hist",
     "q_outcome_labels": f"WITH {OUT} SELECT key, label FROM o",
     "q_eval_metrics": _metrics(OUT),
     "q_eval_overlay": _metrics(
@@ -324,29 +363,26 @@ o AS (SELECT truth.key, expected, kase, {LABEL} AS label FROM truth LEFT JOIN l
     "q_by_case_pivot": f"WITH {OUT} SELECT kase AS \"case\", " + ", ".join(f"count(*) FILTER (label = '{x}') AS {x}" for x in _LABELS) + " FROM o GROUP BY kase",
     "q_best_prediction": "SELECT user_id AS key, arg_min(event_id, (-coalesce(CASE WHEN event_id % 10 <> 0 THEN value END, 0), event_id)) AS ordinal FROM events GROUP BY user_id",
     "q_duplicate_truth_keys": "SELECT o_custkey, o_orderstatus, o_orderpriority, count(*) AS rows FROM orders GROUP BY ALL HAVING count(*) > 1",
-    "q_adjudication_pool": f"""WITH {ITEMS}, {CANDIDATES}, few AS (FROM cand WHERE application_id % 16 = 0), near AS (SELECT i.source_code, i.state, dedupe_name_key, application_id FROM items i JOIN few f ON f.source_code = i.source_code AND f.state = i.state),
-far AS (SELECT i.source_code, i.state, dedupe_name_key, application_id FROM items i JOIN few f ON f.source_code = i.source_code WHERE NOT EXISTS (SELECT 1 FROM near n WHERE n.source_code = i.source_code AND n.state = i.state AND n.dedupe_name_key = i.dedupe_name_key))
-SELECT source_code, state, dedupe_name_key, count(*) AS n, max(application_id) AS last_id FROM (FROM near UNION ALL FROM far) GROUP BY ALL""",
-    "q_adjudication_topn": f"""WITH {ITEMS}, {CANDIDATES}, near AS (SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.vs AS cvs FROM items i JOIN cand c ON c.source_code = i.source_code AND c.state = i.state),
-pool AS (FROM near UNION ALL SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.vs FROM items i JOIN cand c ON c.source_code = i.source_code WHERE (i.source_code, i.state) NOT IN (SELECT (source_code, state) FROM cand)),
-vp AS (SELECT source_code, state, dedupe_name_key, application_id, a, b FROM (SELECT *, unnest(vs) AS a FROM pool), LATERAL (SELECT unnest(cvs) AS b)),
-{compared('vp')}, s AS (SELECT source_code, state, dedupe_name_key, application_id, {r2('max(tset)')} AS m FROM vp JOIN scored USING (a, b) GROUP BY ALL),
-t AS (SELECT *, row_number() OVER (PARTITION BY source_code, state, dedupe_name_key ORDER BY m DESC, application_id) AS nth FROM s)
+    "q_adjudication_pool": f"""WITH {ITEMS}, {CANDIDATES}, {FAR}, near AS (SELECT i.source_code, i.state, dedupe_name_key, application_id FROM items i JOIN far_cand f ON f.source_code = i.source_code AND f.state = i.state),
+alone AS (SELECT i.source_code, i.state, dedupe_name_key, application_id FROM items i JOIN far_cand f ON f.source_code = i.source_code WHERE NOT EXISTS (SELECT 1 FROM near n WHERE n.source_code = i.source_code AND n.state = i.state AND n.dedupe_name_key = i.dedupe_name_key))
+SELECT source_code, state, dedupe_name_key, count(*) AS n, max(application_id) AS last_id FROM (FROM near UNION ALL FROM alone) GROUP BY ALL""",
+    "q_adjudication_topn": f"""WITH {OFFERED}, t AS (SELECT *, row_number() OVER (PARTITION BY source_code, state, dedupe_name_key ORDER BY m DESC, application_id) AS nth FROM s)
 SELECT source_code, state, dedupe_name_key, string_agg(application_id::VARCHAR, ',' ORDER BY nth) AS ids, count(*)::INTEGER AS n FROM t WHERE nth <= 5 GROUP BY ALL""",
-    "q_extract_candidates": """WITH l AS (SELECT o_orderkey AS lead_id, o_custkey, o_orderkey % 30 AS s, o_orderkey % 120 AS p FROM orders WHERE o_orderstatus = 'F'),
-loc AS (SELECT event_id % 900 AS org, max(event_id) AS location_id FROM events WHERE event_type = 'click' AND event_id % 4 <> 0 GROUP BY 1), scr AS (SELECT event_id % 2000 AS lead_id, max(event_id) AS screening_id FROM events WHERE event_id % 2 = 0 GROUP BY 1)
-SELECT l.lead_id, c_name AS name, n_name AS code, s_name AS person, location_id, screening_id FROM l JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = s LEFT JOIN supplier ON s_suppkey = p
-LEFT JOIN loc ON org = o_custkey LEFT JOIN scr ON scr.lead_id = l.lead_id""",
+    "q_extract_candidates": """WITH l AS (SELECT o_orderkey AS lead_id, 'S' || (o_orderkey % 30) AS code, o_orderpriority AS status, o_orderdate::DATE AS made, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate::DATE + 2 END AS opened FROM orders WHERE o_orderstatus = 'F'),
+org AS (SELECT o_orderkey * 2 AS org, o_orderkey AS lead_id, 'Org ' || o_custkey AS name, o_orderkey % 120 AS pid FROM orders WHERE o_orderkey % 7 <> 0 UNION ALL SELECT o_orderkey * 2 + 1, o_orderkey, 'Second', o_orderkey % 120 FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0),
+loc AS (SELECT event_id % 900 AS org, 'R' || event_id AS region, (event_id % 1000)::VARCHAR AS zip, CASE WHEN event_id % 4 <> 0 THEN DATE '2024-01-01' + (event_id % 40)::INTEGER END AS made FROM events WHERE event_type = 'click'),
+scr AS (SELECT event_id % 2000 AS lead_id, CASE WHEN event_id % 3 <> 0 THEN DATE '2024-03-01' + (event_id % 30)::INTEGER END AS made, 'F' || event_id AS f, (event_id % 77)::VARCHAR AS zip FROM events WHERE event_id % 2 = 0)
+SELECT DISTINCT ON (l.lead_id) l.lead_id AS application_id, org.org AS business_id, org.pid AS customer_id, l.code AS candidate_source, n_name AS candidate_source_name, l.status AS application_status, '10k' AS loan_range,
+  l.made AS application_created_date, coalesce(scr.made, opened, l.made) AS lead_start_date, scr.made AS prescreen_created_date, org.name AS crm_business_name, s_name AS customer_first_name, CASE WHEN s_name IS NOT NULL THEN 'P' END AS customer_last_name,
+  loc.region AS business_state, loc.zip AS business_zip_code, scr.f AS prescreen_first_name, CASE WHEN scr.f IS NOT NULL THEN 'L' END AS prescreen_last_name, CASE WHEN scr.f IS NOT NULL THEN 'VA' END AS prescreen_state, scr.zip AS prescreen_zip_code, CASE WHEN scr.f IS NOT NULL THEN '1' END AS prescreen_business_zip_code
+FROM l JOIN org ON org.lead_id = l.lead_id LEFT JOIN nation ON 'S' || n_nationkey = l.code LEFT JOIN supplier ON s_suppkey = org.pid LEFT JOIN loc ON loc.org = org.org LEFT JOIN scr ON scr.lead_id = l.lead_id
+ORDER BY l.lead_id, loc.made DESC NULLS LAST, scr.made DESC NULLS LAST, org.org, loc.region NULLS LAST, loc.zip NULLS LAST, scr.f NULLS LAST, scr.zip NULLS LAST""",
     "q_coerce_rows": """SELECT o_orderkey AS source_row_number, o_orderpriority AS live_business_name, upper(o_orderstatus) AS state, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate::DATE END AS origination_date,
   CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey::DOUBLE END AS disbursed_amount, o_custkey::VARCHAR AS live_zip_code FROM orders""",
     "q_person_names": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN 'Ann ' ELSE '' END || c_mktsegment AS person FROM customer",
     "q_review_cap": f"""WITH {HISTORY} SELECT match_key, row_number() OVER (ORDER BY ('0x' || left(match_key, 8))::BIGINT DESC) <= 20 AS shown FROM hist WHERE decision_band = 'review'""",
     "q_legacy_history": """SELECT event_id::VARCHAR AS match_key, json_extract_string(props, '$.k') AS k, 'new' AS status, coalesce(CASE WHEN event_id % 3 = 0 THEN user_id END, 1)::BIGINT AS times_seen, 1.5::DOUBLE AS match_score FROM events""",
-    "q_stub_adjudication": f"""WITH {ITEMS}, {CANDIDATES}, i1 AS (FROM items WHERE source_code = 'Brand#1'), near AS (SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.vs AS cvs FROM i1 i JOIN cand c ON c.source_code = i.source_code AND c.state = i.state),
-pool AS (FROM near UNION ALL SELECT i.source_code, i.state, dedupe_name_key, i.vs, application_id, c.vs FROM i1 i JOIN cand c ON c.source_code = i.source_code WHERE (i.source_code, i.state) NOT IN (SELECT (source_code, state) FROM cand)),
-vp AS (SELECT source_code, state, dedupe_name_key, application_id, a, b FROM (SELECT *, unnest(vs) AS a FROM pool), LATERAL (SELECT unnest(cvs) AS b)),
-{compared('vp')}, s AS (SELECT source_code, state, dedupe_name_key, application_id, {r2('max(tset)')} AS m FROM vp JOIN scored USING (a, b) GROUP BY ALL)
-SELECT source_code, state, dedupe_name_key, arg_min(application_id, (-m, application_id)) AS application_id FROM s GROUP BY ALL""",
+    "q_stub_adjudication": f"WITH {OFFERED} SELECT source_code, state, dedupe_name_key, arg_min(application_id, (-m, application_id)) AS application_id FROM s GROUP BY ALL",
     "q_payload_guardrails": f"WITH {_ANSWER} SELECT * FROM dec",
     "q_adjudication_totals": f"WITH {_ANSWER} SELECT count(*) AS requests, count(*) FILTER (resolved) AS resolved, count(refused_reason) AS refused, count(error) AS errors FROM dec",
     "q_scrub_text": "SELECT conv_id, turn, left('Bearer [redacted] x-api-key: [redacted] [redacted-api-key] ' || text, 600) AS scrubbed FROM conversations",

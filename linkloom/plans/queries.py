@@ -26,7 +26,8 @@ def _names(spark, d):
 
 
 def q_ascii_fold(spark, d):
-    return _docs(spark, d).select("doc_id", t.ascii_fold(F.col("text")).alias("folded"))
+    odd = F.get(F.split(F.lit("Ⅺ ⅕ ǳ ₨ ﬃ é ㎧ 🄀 ﷲ"), " "), (F.col("doc_id") % 9).cast("int"))
+    return _docs(spark, d).select("doc_id", t.ascii_fold(F.concat("text", odd)).alias("folded"))
 
 
 def q_normalize_text(spark, d):
@@ -107,8 +108,9 @@ def q_duplicates(spark, d):
 
 
 def _pairs(spark, d):
-    names = table(spark, d, "part").select("p_name").distinct()
-    return names.select(F.col("p_name").alias("a")).crossJoin(names.select(F.concat("p_name", F.lit(" llc")).alias("b")))
+    """The distinct pairs of variants that the blocks of source and state bring together."""
+    met = _blocked(spark, d).select("live_name_variants", "candidate_name_variants").distinct()
+    return met.select(F.explode("live_name_variants").alias("a"), "candidate_name_variants").select("a", F.explode("candidate_name_variants").alias("b")).distinct()
 
 
 def q_token_jaccard(spark, d):
@@ -155,7 +157,7 @@ def q_block_join_counts(spark, d):
 
 
 def q_no_block_anti(spark, d):
-    side = roles.candidates(spark, d).where("application_id % 16 = 0").select(F.col("candidate_source").alias("source_code"), F.col("candidate_state").alias("state"))
+    side = match.candidate_side(roles.far_candidates(spark, d)).select(*match.BLOCK)
     return roles.items(spark, d).join(side, match.BLOCK, "left_anti").select(*ITEM, F.lit(match.NO_BLOCK).alias("reason"))
 
 
@@ -199,7 +201,91 @@ def q_drop_sensitive(spark, d):
 
 def q_run_summary(spark, d):
     live, items, candidates = roles.live(spark, d), roles.items(spark, d), roles.candidates(spark, d)
-    return report.run_summary(live, items, candidates, roles.matches(spark, d), history.queue(roles.history(spark, d)), quarter="2024Q1")
+    shown, over = match.with_review_cap(history.queue(roles.history(spark, d)).withColumn("name_score", F.lit(0.0)), 20)
+    return report.run_summary(live, items, candidates, roles.matches(spark, d), shown, q_row_rejects(spark, d), q_no_block_anti(spark, d), over, quarter="2024Q1")
+
+
+def q_report_order(spark, d):
+    k = table(spark, d, "nation").select("n_nationkey")
+    names = ["zeta", "match_key", "source_name", "status_note", "application_created_date", "match_score", "crm_business_name", "alpha", "status", "origination_amounts", "live_business_name"]
+    names += ["primary_origination_amount", "candidate_application_id", "crm_source_name", "primary_origination_date", "home_phone"]
+    ordered = report.in_report_order(report.without_sensitive(k.select(*[F.lit("").alias(c) for c in names])))
+    return k.select(F.col("n_nationkey").alias("place"), F.get(F.array(*map(F.lit, ordered.columns)), F.col("n_nationkey").cast("int")).alias("name")).where("name is not null")
+
+
+def q_without_zone(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("at"), F.lit("x").alias("other"))
+    return report.without_zone(o).select("o_orderkey", "at", F.typeof("at").alias("kind"), "other")
+
+
+def _files(spark, d):
+    names = table(spark, d, "documents").select(F.concat("source", F.lit("-"), "lang", F.lit(".csv")).alias("source_file")).distinct()
+    mappings = spark.createDataFrame([(0, "FIRST", "SRC1"), (1, "SECOND", "src2")], "place int, source_code string, marker string")
+    missing = F.when(F.contains("source_file", F.lit("-en")), F.lit(", ".join(tables.missing_columns(["State", "$ disbursed"])))).otherwise("")
+    return tables.mapped_sources(names, mappings).withColumn("missing", missing)
+
+
+def q_unmapped_files(spark, d):
+    return ingest.file_exceptions(_files(spark, d))[0]
+
+
+def q_missing_columns(spark, d):
+    return ingest.file_exceptions(_files(spark, d))[1]
+
+
+def q_bands(spark, d):
+    e = table(spark, d, "events")
+    score, gap = F.col("event_id") % 101, F.col("event_id") % 12
+    return e.select("event_id", match.band(score, gap, score - F.col("event_id") % 4, LIMITS).alias("band"))
+
+
+def q_band_split(spark, d):
+    queue = history.queue(roles.history(spark, d))
+    return queue.groupBy("decision_band").agg(F.count("*").alias("n"), F.max("match_score").alias("best"))
+
+
+def q_deferred(spark, d):
+    return adjudicate.deferred(roles.history(spark, d)).select("match_key", "decision_band")
+
+
+def q_match_key(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey", history.match_key(F.col("o_orderpriority"), F.nullif("o_custkey", F.lit(7))).alias("match_key"))
+
+
+def q_quarter_windows(spark, d):
+    from linkloom.functions.dates import latest_due_quarter, previous_quarter
+
+    days = [r.day for r in table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct().collect()]
+    rows = [(day, p.label, p.start, p.end, latest_due_quarter(day).label) for day in days for p in [previous_quarter(day)]]
+    return spark.createDataFrame(rows, "day date, previous string, starts date, ends date, due string")
+
+
+def q_coerce_candidates(spark, d):
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    raw = o.select(
+        k.alias("application_id"), F.concat(F.lit(" "), F.lower("o_orderstatus")).alias("candidate_source"), F.when(k % 4 != 0, F.lower("o_orderpriority")).alias("business_state"),
+        F.when(k % 3 == 0, "not a day").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("lead_start_date"), F.lit(None).cast("string").alias("prescreen_state"),
+    )
+    return tables.coerced_candidates(raw)
+
+
+def q_truth_rows(spark, d):
+    k = F.col("doc_id")
+    expected = F.when(k % 5 == 0, "").when(k % 5 == 1, " ").when(k % 5 == 2, F.concat(k.cast("string"), F.lit(".0"))).when(k % 5 == 3, k.cast("string"))
+    raw = table(spark, d, "labels").select(k.cast("string").alias("source_code"), F.lit("name").alias("live_business_name"), F.lit("VA").alias("state"), expected.alias("expected_application_id"), F.lit("clean").alias("case"))
+    return tables.truth_rows(raw)
+
+
+def q_outcome_counts(spark, d):
+    return evaluate.counts_of(evaluate.outcomes(*roles.truth(spark, d), key=["key"]))
+
+
+def q_decision_changes(spark, d):
+    known = roles.history(spark, d)
+    said = tables.decisions_of(known.select("match_key", F.when(F.col("match_key") < "8", " Billed").otherwise("new").alias("status")))
+    n = history.decision_changes(known, said.withColumn("ordinal", F.col("match_key")))
+    return known.agg(F.count("*").alias("known"), F.lit(n).alias("changed"))
 
 
 def q_outcome_labels(spark, d):
@@ -230,27 +316,23 @@ def q_duplicate_truth_keys(spark, d):
 
 
 def q_adjudication_pool(spark, d):
-    few = roles.candidates(spark, d).where("application_id % 16 = 0")
-    return adjudicate.pool(roles.items(spark, d), few, ITEM).groupBy(*ITEM).agg(F.count("*").alias("n"), F.max("application_id").alias("last_id"))
+    return adjudicate.pool(roles.items(spark, d), roles.far_candidates(spark, d), ITEM).groupBy(*ITEM).agg(F.count("*").alias("n"), F.max("application_id").alias("last_id"))
 
 
 def q_adjudication_topn(spark, d):
-    found = adjudicate.offers(adjudicate.pool(roles.items(spark, d), roles.candidates(spark, d), ITEM), ITEM)
+    found = adjudicate.offers(roles.items(spark, d), roles.candidates(spark, d), ITEM)
     return found.select(*ITEM, F.array_join(F.transform("candidates", lambda c: c["application_id"].cast("string")), ",").alias("ids"), F.size("candidates").alias("n"))
 
 
 def _answers(spark, d):
-    k = F.col("o_orderkey")
-    payload = (
-        F.when(k % 7 == 0, '{"confidence":"high"}')
-        .when(k % 7 == 1, '{"matched_candidate_id":"x1","confidence":"high"}')
-        .when(k % 7 == 2, '{"matched_candidate_id":0,"confidence":"high"}')
-        .when(k % 7 == 3, '{"matched_candidate_id":99,"confidence":"high"}')
-        .when(k % 7 == 4, '{"matched_candidate_id":2,"confidence":"Low"}')
-        .when(k % 7 == 5, '{"matched_candidate_id":2,"confidence":"odd"}')
-        .otherwise('{"matched_candidate_id":1,"confidence":"medium","reasoning":"same name"}')
-    )
-    return table(spark, d, "orders").select("o_orderkey", payload.alias("payload"), F.array(F.lit(1), F.lit(2)).cast("array<bigint>").alias("offered"))
+    k = F.col("o_orderkey") % 14
+    said = [
+        '{"confidence":"high"}', '{"matched_candidate_id":"x1","confidence":"high"}', '{"matched_candidate_id":0,"confidence":"high"}', '{"matched_candidate_id":99,"confidence":"high"}',
+        '{"matched_candidate_id":2,"confidence":"Low"}', '{"matched_candidate_id":2,"confidence":"odd"}', '{"matched_candidate_id":1,"confidence":"medium","reasoning":"same name"}',
+        '{"matched_candidate_id":null,"confidence":"high"}', '{"matched_candidate_id":2.0,"confidence":"high"}', '{"matched_candidate_id":" 1 ","confidence":"high"}',
+        '{"matched_candidate_id":"2.0","confidence":"high"}', '{"matched_candidate_id":true,"confidence":"high"}', "no tool call", '{"matched_candidate_id":"it\'s","confidence":null}',
+    ]
+    return table(spark, d, "orders").select("o_orderkey", F.get(F.array(*map(F.lit, said)), k.cast("int")).alias("payload"), F.array(F.lit(1), F.lit(2)).cast("array<bigint>").alias("offered"))
 
 
 def q_payload_guardrails(spark, d):
@@ -284,14 +366,23 @@ def q_exceptions_union(spark, d):
 
 def q_extract_candidates(spark, d):
     o, e = table(spark, d, "orders"), table(spark, d, "events")
-    lead = o.select(F.col("o_orderkey").alias("lead_id"), F.col("o_custkey").alias("organization_id"), (F.col("o_orderkey") % 30).cast("int").alias("source_id"), (F.col("o_orderkey") % 120).alias("person_id"), F.when(F.col("o_orderstatus") == "F", "SCREENED").otherwise("OPEN").alias("stage"))
-    organization = table(spark, d, "customer").select(F.col("c_custkey").alias("organization_id"), F.col("c_name").alias("name"))
-    source = table(spark, d, "nation").select(F.col("n_nationkey").alias("source_id"), F.col("n_name").alias("code"))
-    person = table(spark, d, "supplier").select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("person"))
-    location = e.select((F.col("event_id") % 900).alias("organization_id"), F.when(F.col("event_type") == "click", "BUSINESS").otherwise("HOME").alias("location_type"), F.col("event_id").alias("location_id"), F.when(F.col("event_id") % 4 != 0, F.col("event_id")).alias("location_created_at"))
-    screening = e.where("event_id % 2 = 0").select((F.col("event_id") % 2000).alias("lead_id"), F.col("event_id").alias("screening_id"), F.col("event_id").alias("screening_created_at"))
-    found = tables.extract_candidates(lead, organization, source, person, location.where("location_created_at is not null"), screening)
-    return found.select("lead_id", "name", "code", "person", "location_id", "screening_id")
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    lead = o.select(
+        k.alias("lead_id"), F.concat(F.lit("S"), (k % 30).cast("string")).alias("source_code"), F.col("o_orderpriority").alias("status"), F.lit("10k").alias("size_band"),
+        day.alias("created_at"), F.when(k % 3 != 0, F.date_add(day, 2)).alias("opened_at"), F.when(F.col("o_orderstatus") == "F", "SCREENED").otherwise("OPEN").alias("stage"),
+    )
+    own = o.where("o_orderkey % 7 <> 0").select((k * 2).alias("organization_id"), k.alias("lead_id"), F.concat(F.lit("Org "), F.col("o_custkey").cast("string")).alias("name"), (k % 120).alias("person_id"))
+    second = own.where("lead_id % 5 = 0").select((F.col("organization_id") + 1).alias("organization_id"), "lead_id", F.lit("Second").alias("name"), "person_id")
+    source = table(spark, d, "nation").select(F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("display_name"))
+    person = table(spark, d, "supplier").select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("first_name"), F.lit("P").alias("last_name"))
+    n = F.col("event_id")
+    place = F.when(F.col("event_type") == "click", "BUSINESS").otherwise("HOME").alias("location_type")
+    location = e.select((n % 900).alias("organization_id"), place, F.concat(F.lit("R"), n.cast("string")).alias("region"), (n % 1000).cast("string").alias("postal_code"), F.when(n % 4 != 0, F.date_add(F.lit("2024-01-01").cast("date"), (n % 40).cast("int"))).alias("created_at"))
+    screening = e.where("event_id % 2 = 0").select(
+        (n % 2000).alias("lead_id"), F.when(n % 3 != 0, F.date_add(F.lit("2024-03-01").cast("date"), (n % 30).cast("int"))).alias("created_at"), F.concat(F.lit("F"), n.cast("string")).alias("first_name"),
+        F.lit("L").alias("last_name"), F.lit("VA").alias("region"), (n % 77).cast("string").alias("postal_code"), F.lit("1").alias("org_postal_code"),
+    )
+    return tables.extract_candidates(lead, own.unionByName(second), source, person, location, screening)
 
 
 def q_coerce_rows(spark, d):
@@ -321,8 +412,8 @@ def q_legacy_history(spark, d):
 
 
 def q_stub_adjudication(spark, d):
-    found = adjudicate.offers(adjudicate.pool(roles.items(spark, d), roles.candidates(spark, d), ITEM), ITEM)
-    requests = found.select(*ITEM, F.lit("which?").alias("prompt"), F.transform("candidates", lambda c: c["application_id"]).alias("offered"))
+    found = adjudicate.offers(roles.items(spark, d), roles.candidates(spark, d), ITEM)
+    requests = adjudicate.requests_of(roles.items(spark, d), found, ITEM)
     return adjudicate.overlay(adjudicate.decided(adjudicate.asked(requests, adjudicate.Stub("top"), ITEM, most=None)), ITEM)
 
 

@@ -60,6 +60,12 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared_candidates(frame)
 
 
+def far_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidates, where those of the types that begin with S have moved to a state without items."""
+    moved = F.col("candidate_state").startswith("S")
+    return candidates(spark, sf_dir).withColumn("candidate_state", F.when(moved, F.lit("ELSEWHERE")).otherwise(F.col("candidate_state")))
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapsed(prepared(live(spark, sf_dir)))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,11 +58,88 @@ def live_rows(export: DataFrame) -> DataFrame:
     )
 
 
-def read_exports(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
-    """Exports as CSV or Parquet files; the file's name is source_file and rows carry their number in the sheet."""
-    reader = spark.read.option("header", True) if format == "csv" else spark.read
-    rows = reader.format(format).load(path)
-    return rows if "source_file" in rows.columns else rows.withColumn("source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+@dataclass(frozen=True)
+class ExportFile:
+    """A sheet's file: its path, workbook, sheet and header."""
+
+    path: str
+    source_file: str
+    source_sheet: str
+    header: tuple[str, ...]
+
+
+def _listed(spark: SparkSession, path: str):
+    """(filesystem, statuses below `path` in order of their names, hidden ones aside)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [x for x in files.listStatus(at) if not x.getPath().getName().startswith(("_", "."))] if files.exists(at) else []
+    return files, sorted(found, key=lambda x: x.getPath().getName())
+
+
+def _header(spark: SparkSession, files, path) -> tuple[str, ...]:
+    """The first record of a CSV file; a null file has no columns."""
+    stream = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(files.open(path), "UTF-8"))
+    try:
+        first = stream.readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([first.lstrip("\ufeff")]))) if first else ()
+
+
+def export_files(spark: SparkSession, path: str) -> list[ExportFile]:
+    """The CSV files of a folder of exports: `<workbook>.csv`, or `<workbook>/<sheet>.csv`, of which the origination sheet counts."""
+    files, found = _listed(spark, path)
+    out = []
+    for x in found:
+        name = x.getPath().getName()
+        if x.isDirectory():
+            sheets = {y.getPath().getName().removesuffix(".csv"): y.getPath() for y in _listed(spark, x.getPath().toString())[1]}
+            sheet = origination_sheet(sorted(sheets))
+            out.append(ExportFile(sheets[sheet].toString(), name, sheet, _header(spark, files, sheets[sheet])))
+        elif name.endswith(".csv"):
+            out.append(ExportFile(x.getPath().toString(), name, name.removesuffix(".csv"), _header(spark, files, x.getPath())))
+    return out
+
+
+def numbered(rows: DataFrame, first: int = 2) -> DataFrame:
+    """`rows` as read from files, with source_row_number, the place in the file; the header is row 1.
+
+    Rows are numbered within each split of a file as they are read, and the rows of the splits before are added.
+    """
+    names = [f.name for f in rows.schema]
+    marked = rows.select(*[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"))
+    splits = marked.groupBy("__path", "__block").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    starts = splits.select("__path", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    number = F.col("__id") - F.col("__first") + F.col("__before") + first
+    return marked.join(starts, ["__path", "__block"]).select(*[F.col(f"`{c}`") for c in names], "__path", number.alias("source_row_number"))
+
+
+def read_exports(spark: SparkSession, files: list[ExportFile]) -> DataFrame:
+    """The rows of exports with source_file, source_sheet and source_row_number.
+
+    Files with the same header are read together, each by its own header, and their columns meet by name; those
+    that a file lacks are null there.
+    """
+    groups: dict[tuple[str, ...], list[ExportFile]] = defaultdict(list)
+    for f in files:
+        groups[f.header].append(f)
+    parts = []
+    for header, own in groups.items():
+        if not header:
+            continue
+        kinds = T.StructType([T.StructField(c or f"_c{i}", _S) for i, c in enumerate(header)])
+        rows = numbered(spark.read.schema(kinds).option("header", True).option("enforceSchema", True).csv([f.path for f in own]))
+        known = {f.path.rpartition(":")[2].lstrip("/"): f for f in own}
+        entries = [F.struct(F.lit(k).alias("k"), F.lit(f.source_file).alias("f"), F.lit(f.source_sheet).alias("s")) for k, f in known.items()]
+        at = F.filter(F.array(*entries), lambda e: F.endswith(F.url_decode(F.replace(F.col("__path"), F.lit("+"), F.lit("%2B"))), e["k"]))[0]
+        parts.append(rows.withColumns({"source_file": at["f"], "source_sheet": at["s"]}).drop("__path"))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*REQUIRED, "source_file", "source_sheet"]) + ", source_row_number bigint")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
@@ -84,25 +164,38 @@ def identifier(name: str) -> str:
     return name
 
 
-def read_database(spark: SparkSession, url: str, schema: str, table: str, **options: str) -> DataFrame:
-    return spark.read.format("jdbc").options(url=url, dbtable=f"{identifier(schema)}.{identifier(table)}", **options).load()
+TABLES = ("lead", "organization", "source", "person", "location", "screening")
+
+
+def database_tables(spark: SparkSession, url: str, schema: str, **options: str) -> dict[str, DataFrame]:
+    """The tables that candidates come from, over JDBC."""
+    schema = identifier(schema)
+    return {t: spark.read.format("jdbc").options(url=url, dbtable=f'"{schema}".{t}', **options).load() for t in TABLES}
 
 
 def extract_candidates(lead: DataFrame, organization: DataFrame, source: DataFrame, person: DataFrame, location: DataFrame, screening: DataFrame) -> DataFrame:
-    """One row for each screened lead: its organization, and where there are any the source, person, business location and screening.
+    """One row of CANDIDATE columns for each screened lead with an organization.
 
-    Of several locations and screenings the newest count.
+    Where there are several business locations or screenings the newest count, nulls last; ties go to the
+    smallest organization, then to the first region and names.
     """
-    place = location.where("location_type = 'BUSINESS'")
+    place = location.where("location_type = 'BUSINESS'").select("organization_id", F.col("region").alias("business_state"), F.col("postal_code").alias("business_zip_code"), F.col("created_at").alias("location_created_at"))
+    seen = screening.select(
+        "lead_id", F.col("created_at").alias("prescreen_created_date"), F.col("first_name").alias("prescreen_first_name"), F.col("last_name").alias("prescreen_last_name"),
+        F.col("region").alias("prescreen_state"), F.col("postal_code").alias("prescreen_zip_code"), F.col("org_postal_code").alias("prescreen_business_zip_code"),
+    )
+    leads = lead.where("stage = 'SCREENED'").select("lead_id", "source_code", F.col("status").alias("application_status"), F.col("size_band").alias("loan_range"), F.col("created_at").alias("application_created_date"), "opened_at")
     joined = (
-        lead.where("stage = 'SCREENED'")
-        .join(organization, "organization_id")
-        .join(source, "source_id", "left")
-        .join(person, "person_id", "left")
+        leads.join(organization.select("organization_id", "lead_id", F.col("name").alias("crm_business_name"), "person_id"), "lead_id")
+        .join(source.select(F.col("code").alias("source_code"), F.col("display_name").alias("candidate_source_name")), "source_code", "left")
+        .join(person.select("person_id", F.col("first_name").alias("customer_first_name"), F.col("last_name").alias("customer_last_name")), "person_id", "left")
         .join(place, "organization_id", "left")
-        .join(screening, "lead_id", "left")
+        .join(seen, "lead_id", "left")
     )
-    return latest(joined, ["lead_id"], ["location_created_at", "screening_created_at"])
+    named = joined.withColumnsRenamed({"lead_id": "application_id", "organization_id": "business_id", "person_id": "customer_id", "source_code": "candidate_source"})
+    dated = named.withColumn("lead_start_date", F.coalesce("prescreen_created_date", "opened_at", "application_created_date"))
+    ties = ["business_id", "business_state", "business_zip_code", "prescreen_first_name", "prescreen_last_name", "prescreen_zip_code"]
+    return latest(dated, ["application_id"], ["location_created_at", "prescreen_created_date"], ties).select(*[f.name for f in CANDIDATE])
 
 
 def latest(frame: DataFrame, key: list[str], newest: list[str], ties: list[str] | None = None) -> DataFrame:
@@ -121,6 +214,25 @@ def mapped_sources(files: DataFrame, mappings: DataFrame) -> DataFrame:
     return both.groupBy("source_file").agg(F.min_by("source_code", "place").alias("source_code"))
 
 
+def decisions_of(report: DataFrame) -> DataFrame:
+    """(match_key, status, status_note) of a report's section; none if it lacks a key or a status."""
+    if not {"match_key", "status"} <= set(report.columns):
+        return report.sparkSession.createDataFrame([], "match_key string, status string, status_note string")
+    note = F.col("status_note").cast("string") if "status_note" in report.columns else F.lit("")
+    return report.select(F.col("match_key").cast("string").alias("match_key"), F.col("status").cast("string").alias("status"), note.alias("status_note"))
+
+
+def read_truth(spark: SparkSession, path: str) -> DataFrame:
+    """Labelled truth of a CSV file; a blank expected_application_id says that no match is right."""
+    raw = spark.read.csv(path, header=True)
+    return truth_rows(raw)
+
+
+def truth_rows(raw: DataFrame) -> DataFrame:
+    expected = F.col("expected_application_id").cast("string").try_cast("double").cast("bigint")
+    return raw.select("source_code", "live_business_name", "state", expected.alias("expected"), "case")
+
+
 def discovered_quarters(rows: DataFrame, most: str | None = None) -> DataFrame:
     from linkloom.functions.dates import quarter_label
 

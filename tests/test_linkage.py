@@ -57,14 +57,16 @@ def test_sheet_and_identifier_checks():
 
 
 def test_extract_takes_the_newest(spark):
-    lead = spark.createDataFrame([(1, 10, 5, 7, "SCREENED"), (2, 10, 5, 7, "OPEN"), (3, 11, 6, 8, "SCREENED")], "lead_id int, organization_id int, source_id int, person_id int, stage string")
-    org = spark.createDataFrame([(10, "A"), (11, "B")], "organization_id int, name string")
-    source = spark.createDataFrame([(5, "S")], "source_id int, code string")
-    person = spark.createDataFrame([(7, "P")], "person_id int, first string")
-    place = spark.createDataFrame([(10, "BUSINESS", "1", "2026-01-01"), (10, "BUSINESS", "2", "2026-02-01"), (10, "HOME", "3", "2026-03-01"), (11, "HOME", "4", "2026-01-01")], "organization_id int, location_type string, zip string, location_created_at string")
-    screening = spark.createDataFrame([(1, "x", None), (1, "y", "2026-01-01")], "lead_id int, result string, screening_created_at string")
-    out = {r.lead_id: (r.zip, r.result, r.code) for r in tables.extract_candidates(lead, org, source, person, place, screening).collect()}
-    assert out == {1: ("2", "y", "S"), 3: (None, None, None)}
+    lead = spark.createDataFrame([(1, "S", "OPEN", "10k", "2026-01-01", None, "SCREENED"), (2, "S", "OPEN", "10k", "2026-01-01", None, "OPEN"), (3, "T", "OPEN", "10k", "2026-01-01", "2026-01-09", "SCREENED")], "lead_id int, source_code string, status string, size_band string, created_at string, opened_at string, stage string")
+    org = spark.createDataFrame([(10, 1, "A", 7), (11, 3, "B", 8)], "organization_id int, lead_id int, name string, person_id int")
+    source = spark.createDataFrame([("S", "Source")], "code string, display_name string")
+    person = spark.createDataFrame([(7, "P", "Q")], "person_id int, first_name string, last_name string")
+    place = spark.createDataFrame([(10, "BUSINESS", "OR", "0", None), (10, "BUSINESS", "OR", "1", "2026-01-01"), (10, "BUSINESS", "OR", "2", "2026-02-01"), (10, "HOME", "OR", "3", "2026-03-01"), (11, "HOME", "OR", "4", "2026-01-01")], "organization_id int, location_type string, region string, postal_code string, created_at string")
+    screening = spark.createDataFrame([(1, None, "x", "", "", "", ""), (1, "2026-01-05", "y", "", "", "", "")], "lead_id int, created_at string, first_name string, last_name string, region string, postal_code string, org_postal_code string")
+    rows = tables.extract_candidates(lead, org, source, person, place, screening)
+    assert rows.columns == [f.name for f in tables.CANDIDATE]
+    out = {r.application_id: (r.business_zip_code, r.prescreen_first_name, r.candidate_source_name, r.customer_first_name, r.lead_start_date) for r in rows.collect()}
+    assert out == {1: ("2", "y", "Source", "P", "2026-01-05"), 3: (None, None, None, None, "2026-01-09")}
 
 
 SETTINGS = Settings("", "", "", (Source("Northwest", "NWP", ("northwest",)), Source("Lakes", "GLC", ("great-lakes",))))
@@ -88,8 +90,7 @@ def exports(spark):
 def crm(spark):
     rows = [(1001, "NWP", "Ironwood Bakery", "OR", "78560", "$72,000 - $192,000", date(2026, 1, 30), "APPROVED"), (1002, "NWP", "Ironwood Bakehouse", "OR", "20305", "$1 - $2", date(2026, 3, 20), "OPEN")]
     df = spark.createDataFrame(rows, "application_id long, candidate_source string, crm_business_name string, business_state string, business_zip_code string, loan_range string, lead_start_date date, application_status string")
-    blank = [c for c in ("customer_first_name", "customer_last_name", "prescreen_first_name", "prescreen_last_name", "prescreen_state")]
-    return run.with_candidates(df.withColumns({c: F.lit(None).cast("string") for c in blank}))
+    return run.with_candidates(df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in tables.CANDIDATE if f.name not in df.columns}))
 
 
 def test_run_twice(spark, tmp_path):
@@ -97,16 +98,17 @@ def test_run_twice(spark, tmp_path):
     q = dates.quarter(2026, 2)
     first = run.run_quarter(spark, exports(spark), crm(spark), settings, q, "run-1", datetime(2026, 7, 30))
     summary = first["summary"].first()
-    assert (summary.live_rows, summary.collapsed_items, summary.duplicates_collapsed, summary.crm_candidates) == (4, 3, 1, 2)
+    assert (summary.live_rows_in_quarter, summary.collapsed_review_items, summary.duplicates_collapsed, summary.crm_candidates, summary.exceptions, summary.not_surfaced) == (4, 3, 1, 2, 4, 1)
     kinds = {r.exception_type: r.n for r in first["exceptions"].groupBy("exception_type").agg(F.count("*").alias("n")).collect()}
     assert kinds == {"missing_business_name": 1, "missing_state": 1, "identifier_only_name": 1, "unmapped_source_file": 1}
     row = first["auto_accept"].first() or first["review"].first()
-    assert row.application_id == 1001 and row.source_row_numbers == "2, 3" and row.primary_origination_amount == 180000.0
+    assert row.candidate_application_id == 1001 and row.source_row_numbers == "2, 3" and row.primary_origination_amount == 180000.0
     assert [r.reason for r in first["not_surfaced"].collect()] == [match.NO_BLOCK]
     run.run_quarter(spark, exports(spark), crm(spark), settings, q, "run-2", datetime(2026, 8, 30))
     kept = history.loaded(spark, settings.history_path).collect()
     assert [(r.times_seen, r.first_run_label, r.last_run_label, r.first_seen_at) for r in kept] == [(2, "run-1", "run-2", datetime(2026, 7, 30))]
-    assert Path(settings.output_path, "summary").exists()
+    assert Path(settings.output_path, "match_review_current", "summary").exists()
+    assert set(history.COLUMNS) == set(kept[0].asDict()) and (kept[0].crm_source_code, kept[0].candidate_business_state, kept[0].source_name) == ("NWP", "OR", "Northwest")
 
 
 def test_missing_columns(spark):
@@ -159,7 +161,6 @@ def test_streamed_upsert(spark, tmp_path):
     from linkloom.streaming.incremental import follow
 
     path = str(tmp_path / "history")
-    history.saved(run.empty_history(spark), path)
     rows = spark.createDataFrame([("k1", 90.0), ("k2", 80.0)], "match_key string, match_score double")
     rows.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
@@ -214,7 +215,7 @@ def test_labelled_cases(spark):
     parts = run.link_quarter(rows, run.with_candidates(tables.read_candidates(spark, str(FIXTURES / "candidates.csv"))), SETTINGS)
     want = spark.createDataFrame([(r["source_code"], r["live_business_name"], r["state"], int(r["expected_application_id"]) if r["expected_application_id"] else None, r["case"]) for r in truth], "source_code string, live_business_name string, state string, expected long, case string")
     evaluate.require_unique(want)
-    labelled = evaluate.outcomes(want, parts["matches"])
+    labelled = evaluate.outcomes(want, evaluate.predictions_of(parts["matches"]))
     m = evaluate.metrics(labelled).first()
     assert (m.resolved_correct, m.deferred_correct, m.deferred_trap, m.correctly_abstained) == (80, 4, 4, 4)
     assert (m.automation_precision, m.automation_rate, m.error_rate, m.trap_survival) == (100.0, 95.2, 0.0, 100.0)
