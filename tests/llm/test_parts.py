@@ -149,18 +149,34 @@ def test_chain_is_one_component(spark):
     assert {out[i] for i in range(61)} == {0} and out[101] == out[100] == 100
 
 
-def test_anchors_are_consistent():
+def test_equal_windows_go_by_equal_cores():
     r = random.Random(2)
-    vocabulary = [b"w%d" % i for i in range(5)]
-    for _ in range(150):
-        shared = r.choices(vocabulary, k=13)
-        s = substrings.Stretch([b" ".join(r.choices(vocabulary, k=r.randint(0, 15)) + shared + r.choices(vocabulary, k=r.randint(0, 15))) for _ in range(3)] + [None, b"a"])
-        spots, key, owner = s.anchors()
-        keys, seen = dict(zip(spots.tolist(), key.tolist(), strict=True)), {}
-        for b in s.windows():
-            assert owner[b] >= 0
-            seen.setdefault(tuple(s.name[b : b + 13].tolist()), set()).add((keys[owner[b]], owner[b] - b))
-        assert all(len(v) == 1 for v in seen.values())
+    for size in (2, 3, 5, 40):
+        vocabulary = [b"w%d" % i for i in range(size)]
+        for _ in range(60):
+            shared = r.choices(vocabulary, k=13)
+            s = substrings.Stretch([b" ".join(r.choices(vocabulary, k=r.randint(0, 15)) + shared + r.choices(vocabulary, k=r.randint(0, 15))) for _ in range(3)] + [None, b"a", b"x " * 40])
+            at, core, closed, begin, by_closed = s.owners()
+            cores, seen = {p: (k, c) for p, k, c in zip(at.tolist(), core.tolist(), closed.tolist(), strict=True)}, {}
+            for b, only in zip(begin.tolist(), by_closed.tolist(), strict=True):
+                own = [(p - b, cores[p][0]) for p in range(b + 4, b + 10) if p in cores and (cores[p][1] or not only)]
+                assert own
+                seen.setdefault(tuple(s.name[b : b + 13].tolist()), set()).add(tuple(own))
+            assert all(len(v) == 1 for v in seen.values())
+
+
+def test_names_do_not_depend_on_blocks(monkeypatch):
+    r = random.Random(4)
+    texts = [b" ".join(b"w%d" % r.randrange(50) for _ in range(r.choice([0, 5, 200]))) for _ in range(30)] + [None, b"", b"\t\n", b"x" * 3000, "é ß\x1cz\x85 \u3000".encode()]
+    whole = substrings.Stretch(texts)
+    assert whole.words() == [w for t in texts for w in (t or b"").split()] and whole.size.tolist() == [len((t or b"").split()) for t in texts]
+    names = whole.window_names()[1]
+    monkeypatch.setattr(substrings, "_BLOCK", 64)
+    parts = substrings.Stretch(texts)
+    assert np.array_equal(parts.name, whole.name) and np.array_equal(parts.window_names()[1], names)
+    by_name = {}
+    for w, k in zip(whole.words(), whole.name.tolist(), strict=True):
+        assert by_name.setdefault(k, w) == w
 
 
 def test_repeats_are_removed_from_text(spark):

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,7 @@ from collections import Counter, defaultdict
 import pytest
 import xxhash
 
-from linkloom.llm import bpe, registry, secrets
+from linkloom.llm import bpe, registry, secrets, substrings
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -168,23 +169,53 @@ def test_simhash(results, corpus):
     same(results("op8_simhash"), want, ["doc_id", "fingerprint", "component_id"])
 
 
-def test_substrings(results, corpus):
+def repeats(rows):
+    """doc_id, words, words removed and digest of what is kept, by every window of every text."""
     first = {}
-    for d, t, *_ in corpus[0]:
+    for d, t in rows:
         w = split(t)
         if d is not None:
             for i in range(len(w) - 12):
                 k = tuple(w[i : i + 13])
                 first[k] = min(first.get(k, d), d)
-    want = []
-    for d, t, *_ in corpus[0]:
+    for d, t in rows:
         w = split(t)
         gone = {p for i in range(len(w) - 12) if d is not None and first[tuple(w[i : i + 13])] < d for p in range(i, i + 13)}
-        want.append((d, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
-    same(results("op9_substrings"), want, ["doc_id", "n_words", "n_removed", "kept_sha256"])
+        yield d, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))
+
+
+REPEATS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+
+
+def test_substrings(results, corpus):
+    want = list(repeats([(d, t) for d, t, *_ in corpus[0]]))
+    same(results("op9_substrings"), want, REPEATS)
     assert sum(x[2] for x in want) > 200
 
 
+def repetitive(r):
+    """Texts of few words, so that names clash, windows recur and ids have several texts."""
+    vocabulary = [f"w{i}" for i in range(6)]
+    passage = r.choices(vocabulary, k=40)
+    for i in range(120):
+        own = r.choices(vocabulary, k=r.randint(0, 60))
+        at = r.randint(0, len(own))
+        some = passage[r.randint(0, 10) : r.randint(20, 40)] if i % 3 else r.choice(vocabulary) * 1 and [r.choice(vocabulary)] * r.randint(5, 40)
+        yield (None if i == 50 else r.choice([i, i, 7, 30])), None if i == 60 else " ".join(own[:at] + some + own[at:])
+
+
+@pytest.mark.parametrize("bits", [64, 9])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_substrings_when_names_clash(spark, tmp_path, bits, kind):
+    """Names of nine bits have most windows share theirs with others: words decide."""
+    r = random.Random(bits)
+    rows = [(None if d is None else f"{d:05d}" if kind == "string" else d, t) for d, t in repetitive(r)]
+    spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    found = [x.asDict() for x in substrings.op9_substrings(spark, str(tmp_path), bits).collect()]
+    same(found, list(repeats(rows)), REPEATS)
+    assert sum(x["n_removed"] for x in found) > 200
+
+
 def test_warc(results, corpus):
     payload = lambda h: (h or "").encode()
     last = defaultdict(list)
