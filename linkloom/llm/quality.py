@@ -132,7 +132,9 @@ def gradients(p: dict[str, np.ndarray], samples: list[np.ndarray], labels: np.nd
     features = np.concatenate([mean, most], axis=1)
     error = ((probability(features @ p["out"] + p["bias"]) - labels) / len(samples)).astype(np.float32)
     d_mean, d_most = error[:, None] * p["out"][:FILTERS], error[:, None] * p["out"][FILTERS:]
-    d = ((d_mean[text] / sizes[text, None] + d_most[text] * (own == most[text])) * (own > 0)).astype(np.float32)
+    place = np.where(own == most[text], np.arange(len(c))[:, None], len(c))
+    top = place == np.minimum.reduceat(place, starts)[text]  # the first chunk with the greatest value
+    d = ((d_mean[text] / sizes[text, None] + d_most[text] * top) * (own > 0)).astype(np.float32)
     g = {"out": features.T @ error + 1e-4 * p["out"], "bias": error.sum(keepdims=True), "shift": d.sum(axis=0)}
     g |= {"filters": np.zeros_like(p["filters"]), "embed": np.zeros_like(p["embed"])}
     for a in range(0, len(c), BLOCK):

@@ -11,8 +11,10 @@ of them and its association with the label is `LEAST_Z` or more, or if it is in
 that have some other term, its association with the label is beyond chance (see in_pairs). The bias is corrected for the
 classes' shares among all labelled texts. Scoring reads whole texts.
 
-Edge cases: an empty or null text has no term, so that its score is that of the bias; without labels of both
-classes every score is the share of label 1 among the labels (0 without any); repeated rows are scored alike.
+Edge cases: an empty or null text has no term, so that its score is that of the bias; a long text is read
+whole; without labels of both classes every score is the share of label 1 among the labels (0 without any); an
+empty table gives no rows; repeated rows are scored alike, and count once in the sample. `with_toxicity`
+replaces a column that has the name of its result, as withColumn does; all other columns stay.
 """
 
 from __future__ import annotations
