@@ -100,29 +100,35 @@ def _kept(variant: str) -> tuple[str, frozenset[str]]:
 
 
 @lru_cache(maxsize=_MEMO)
-def variant_score(a: str, b: str) -> float:
-    """How alike two normalised variants are."""
+def variant_score(a: str, b: str, floor: float = 0.0) -> float:
+    """How alike two normalised variants are; below `floor`, a number below it.
+
+    Without a core token in common the cores' ratio is all that can be had, so that it is tried first.
+    """
     (core_a, x), (core_b, y) = _kept(a), _kept(b)
     exact = 100.0 if a == b else 0.0
     overlap = 100.0 * len(x & y) / len(x | y) if x | y else 0.0
-    combo = 0.45 * token_set_ratio(a, b) + 0.20 * token_sort_ratio(a, b) + 0.35 * overlap
     contain = bool(x and y) and (x <= y or y <= x)
+    most = 100.0
+    if overlap == 0 and not contain and exact != 100:
+        most = ratio(core_a, core_b) if core_a or core_b else ratio(a, b)
+        if most < floor:
+            return most
+    combo = 0.45 * token_set_ratio(a, b) + 0.20 * token_sort_ratio(a, b) + 0.35 * overlap
     score = max(exact, ratio(a, b), combo)
     if score < 92 and (overlap >= 50 or contain or exact == 100):  # 92 is all that the partial ratio can give
         score = max(score, 0.92 * partial_ratio(a, b))
-    if overlap == 0 and not contain and exact != 100:
-        score = min(score, ratio(core_a, core_b) if core_a or core_b else ratio(a, b))
-    return score
+    return min(score, most)
 
 
 @lru_cache(maxsize=_MEMO)
-def best_pair(live: tuple[str, ...], candidate: tuple[str, ...]) -> tuple[float, str, str]:
-    """The best score over pairs of variants; the first such pair in order, or blanks if all are 0."""
+def best_pair(live: tuple[str, ...], candidate: tuple[str, ...], floor: float = 0.0) -> tuple[float, str, str]:
+    """The best score over pairs of variants; the first such pair in order, or blanks if all are 0 (or below `floor`)."""
     best, pair = 0.0, ("", "")
     for a in live:
         for b in candidate:
-            score = variant_score(a, b)
-            if score > best:
+            score = variant_score(a, b, floor)
+            if score > best and score >= floor:
                 best, pair = score, (a, b)
             if best >= 100:  # none can be better, and the first of equals counts
                 return best, *pair
@@ -161,25 +167,29 @@ def similarity(kind: str, a: Column, b: Column) -> Column:
     return F.arrow_udf(_pairwise(known[kind]), "double")(a, b)
 
 
-def _score_batches(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for live, candidate in batches:
-        rows = []
-        for a, b in zip(live.to_pylist(), candidate.to_pylist(), strict=True):
-            score, x, y = best_pair(tuple(a or ()), tuple(b or ()))
-            shown = round(score, 2)
-            rows.append((shown, x, y, has_name_signal(x, y, shown)))
-        cols = list(zip(*rows, strict=True)) or [()] * 4
-        kinds = [pa.float64(), pa.string(), pa.string(), pa.bool_()]
-        yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["name_score", "live_variant", "candidate_variant", "signal"])
+def _score_batches(floor: float):
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for live, candidate in batches:
+            rows = []
+            for a, b in zip(live.to_pylist(), candidate.to_pylist(), strict=True):
+                score, x, y = best_pair(tuple(a or ()), tuple(b or ()), floor)
+                shown = round(score, 2)
+                rows.append((shown, x, y, has_name_signal(x, y, shown)))
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [pa.float64(), pa.string(), pa.string(), pa.bool_()]
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["name_score", "live_variant", "candidate_variant", "signal"])
+
+    return run
 
 
-def name_match(live_variants: Column, candidate_variants: Column) -> Column:
-    """struct<name_score, live_variant, candidate_variant, signal> for two arrays of variants.
+def name_match(live_variants: Column, candidate_variants: Column, floor: float = 0.0) -> Column:
+    """struct<name_score, live_variant, candidate_variant, signal> for two arrays of variants; those that can't reach `floor` score 0.
 
-    Marked as not deterministic, so that a filter on it isn't pushed below an exchange and worked out twice.
+    The floor is taken half a hundredth lower, as scores are rounded before they are compared with it. Marked as
+    not deterministic, so that a filter on it isn't pushed below an exchange and worked out twice.
     """
     kind = "struct<name_score:double,live_variant:string,candidate_variant:string,signal:boolean>"
-    return F.arrow_udf(_score_batches, kind).asNondeterministic()(live_variants, candidate_variants)
+    return F.arrow_udf(_score_batches(max(floor - 0.005, 0.0)), kind).asNondeterministic()(live_variants, candidate_variants)
 
 
 @lru_cache(maxsize=_MEMO)

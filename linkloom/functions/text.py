@@ -30,6 +30,8 @@ SHORTHAND = {"4": "for", "u": "you", "&": "and", "+": "and"}
 # What divides a legal name from a trading name.
 TRADING_MARKS = ["dba", "doing business as"]
 
+_INITIALS_THERE = r"\b[a-z]\.[a-z]\."
+_SHORT_THERE = r"(?:^|\s)[4u&+](?:\s|$)"
 _INITIALS = r"(?<=\b[a-z])\.(?:(?=[a-z]\.)|(?<=\b[a-z]\.[a-z]\.))"
 
 
@@ -81,7 +83,7 @@ def ascii_fold(x: Column) -> Column:
 
 
 def strip_notes(x: Column) -> Column:
-    return F.regexp_replace(x, r"\([^)]*\)", " ")
+    return F.when(F.contains(x, F.lit("(")), F.regexp_replace(x, r"\([^)]*\)", " ")).otherwise(x)
 
 
 def squeeze(x: Column) -> Column:
@@ -94,19 +96,22 @@ def tokens(x: Column) -> Column:
 
 
 def expand_shorthand(x: Column) -> Column:
+    """Words joined by single spaces, those written short in full."""
     pairs = constants(SHORTHAND)
     return F.array_join(F.transform(tokens(x), lambda t: F.coalesce(F.try_element_at(pairs, t), t)), " ")
 
 
 def collapse_initials(x: Column) -> Column:
     """`l.l.c.` to `llc`; on lower-case text."""
-    return F.regexp_replace(x, _INITIALS, "")
+    return F.when(x.rlike(_INITIALS_THERE), F.regexp_replace(x, _INITIALS, "")).otherwise(x)
 
 
 def normalize(x: Column) -> Column:
+    """Steps that few texts need are tried only where a cheaper test finds what they look for."""
     low = F.lower(ascii_fold(F.coalesce(x, F.lit(""))))
-    bare = F.replace(collapse_initials(strip_notes(low)), F.lit("/"), F.lit(" "))
-    return squeeze(expand_shorthand(F.regexp_replace(bare, r"[^\w\s&+]", " ")))
+    bare = F.translate(let(let(low, strip_notes), collapse_initials), "/", " ")
+    spelled = lambda s: F.when(s.rlike(_SHORT_THERE), expand_shorthand(s)).otherwise(s)
+    return squeeze(let(F.regexp_replace(bare, r"[^\w\s&+]+", " "), spelled))
 
 
 def without(x: Column, words: list[str]) -> Column:

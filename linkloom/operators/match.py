@@ -99,7 +99,7 @@ def scored(items: DataFrame, candidates: DataFrame, item_key: list[str], limits:
     """Pairs that pass the date guard, the name's floor and guard and the candidate's floor, with their scores."""
     pairs = dealt_pairs(items, candidate_side(candidates), BLOCK, item_key)
     timely = pairs.where(~predates_lead(F.col("primary_origination_date"), F.col("lead_start_date"), limits.max_days_origination_before_lead))
-    named = timely.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants")))
+    named = timely.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants"), limits.min_name_score))
     likely = named.where((F.col("__name.name_score") >= limits.min_name_score) & F.col("__name.signal"))
     flat = likely.select("*", *[F.col(f"__name.{a}").alias(b) for a, b in (("name_score", "name_score"), ("live_variant", "matched_live_variant"), ("candidate_variant", "matched_candidate_variant"))]).drop("__name")
     overall = round2(F.least(F.lit(100.0), F.col("name_score") + F.col("adjustment")))

@@ -60,9 +60,10 @@ def live_rows(export: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ExportFile:
-    """A sheet's file: its path, workbook, sheet and header."""
+    """A sheet's file: its path (as a URI), workbook, sheet and header."""
 
     path: str
+    uri: str
     source_file: str
     source_sheet: str
     header: tuple[str, ...]
@@ -86,6 +87,15 @@ def _header(spark: SparkSession, files, path) -> tuple[str, ...]:
     return tuple(next(csv.reader([first.lstrip("\ufeff")]))) if first else ()
 
 
+def _one_slash(uri):
+    """Spark and Hadoop write `file:///a` and `file:/a` for the same file."""
+    return re.sub("^([^:/]+):/+", r"\1:/", uri) if isinstance(uri, str) else F.regexp_replace(uri, "^([^:/]+):/+", "$1:/")
+
+
+def _export_file(spark: SparkSession, files, at, source_file: str, sheet: str) -> ExportFile:
+    return ExportFile(at.toString(), _one_slash(at.toUri().toString()), source_file, sheet, _header(spark, files, at))
+
+
 def export_files(spark: SparkSession, path: str) -> list[ExportFile]:
     """The CSV files of a folder of exports: `<workbook>.csv`, or `<workbook>/<sheet>.csv`, of which the origination sheet counts."""
     files, found = _listed(spark, path)
@@ -95,9 +105,9 @@ def export_files(spark: SparkSession, path: str) -> list[ExportFile]:
         if x.isDirectory():
             sheets = {y.getPath().getName().removesuffix(".csv"): y.getPath() for y in _listed(spark, x.getPath().toString())[1]}
             sheet = origination_sheet(sorted(sheets))
-            out.append(ExportFile(sheets[sheet].toString(), name, sheet, _header(spark, files, sheets[sheet])))
+            out.append(_export_file(spark, files, sheets[sheet], name, sheet))
         elif name.endswith(".csv"):
-            out.append(ExportFile(x.getPath().toString(), name, name.removesuffix(".csv"), _header(spark, files, x.getPath())))
+            out.append(_export_file(spark, files, x.getPath(), name, name.removesuffix(".csv")))
     return out
 
 
@@ -130,10 +140,8 @@ def read_exports(spark: SparkSession, files: list[ExportFile]) -> DataFrame:
             continue
         kinds = T.StructType([T.StructField(c or f"_c{i}", _S) for i, c in enumerate(header)])
         rows = numbered(spark.read.schema(kinds).option("header", True).option("enforceSchema", True).csv([f.path for f in own]))
-        known = {f.path.rpartition(":")[2].lstrip("/"): f for f in own}
-        entries = [F.struct(F.lit(k).alias("k"), F.lit(f.source_file).alias("f"), F.lit(f.source_sheet).alias("s")) for k, f in known.items()]
-        at = F.filter(F.array(*entries), lambda e: F.endswith(F.url_decode(F.replace(F.col("__path"), F.lit("+"), F.lit("%2B"))), e["k"]))[0]
-        parts.append(rows.withColumns({"source_file": at["f"], "source_sheet": at["s"]}).drop("__path"))
+        places = spark.createDataFrame([(f.uri, f.source_file, f.source_sheet) for f in own], "__uri string, source_file string, source_sheet string")
+        parts.append(rows.join(places, _one_slash(F.col("__path")) == F.col("__uri")).drop("__path", "__uri"))
     if not parts:
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*REQUIRED, "source_file", "source_sheet"]) + ", source_row_number bigint")
     out = parts[0]
