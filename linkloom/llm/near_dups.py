@@ -272,12 +272,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     classes = shelf.put("classes", prints.select("fp", first.alias("first")).groupBy("fp").agg(F.min("first").alias("first")))
     roots = roots_of(classes.select("fp"), shelf)
     least = classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    own, stays, its, nth = spare_names(docs.columns, "own_digest", "stays", "its_digest", "nth")
-    stay = shelf.put("stays", least.select(F.col("first.id").alias(stays), F.col("first.digest").alias(its)))
+    own, nth = spare_names(docs.columns, "own", "nth")
+    # an id and a digest as one text, so that the rows dealt out for the join are where the numbering wants them
+    key = lambda i, d: F.concat(F.when(i.isNull(), "-").otherwise(F.concat(F.lit("+"), i.cast("string"))), F.lit(" "), d)
+    stay = shelf.put("stays", least.select(key(F.col("first.id"), F.col("first.digest")).alias(own)))
     shelf.clear("stays")
-    found = docs.withColumn(own, digest).join(stay, docs[doc_id].eqNullSafe(F.col(stays)) & (F.col(own) == F.col(its)))
+    found = docs.withColumn(own, key(F.col(doc_id), digest)).join(stay, own)
     rest = [F.col(text).isNull().alias("c"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text]]
-    order = Window.partitionBy(stays, its).orderBy(F.to_json(F.struct(*rest)))
+    order = Window.partitionBy(own).orderBy(F.to_json(F.struct(*rest)))
     return found.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*docs.columns)
 
 
