@@ -225,7 +225,7 @@ def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text
     @F.arrow_udf("struct<n_words:bigint,hits:array<struct<start:int,end:int>>,n_hit:bigint,items:array<string>>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            n_words, hits, items = [0] * len(batch), [[] for _ in batch], [set() for _ in batch]
+            n_words, hits, items = [0] * len(batch), [[] for _ in range(len(batch))], [set() for _ in range(len(batch))]
             for path in paths:
                 searcher, row = _searcher(path, size), 0
                 for texts in slices(batch):

@@ -37,6 +37,7 @@ PER_CLASS = 5000
 LEAST_TEXTS = 3
 LEAST_Z = 5.0
 LEAST_PAIRED = 10
+LEAST_TOGETHER = 4
 #: The chance that any pair at all seems associated where none is.
 PAIR_CHANCE = 0.01
 EPOCHS = 40
@@ -81,28 +82,32 @@ def in_pairs(hashes: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 
     Let a share q of the texts with one term have label 1, and of the m texts with both a share r. A share so far
     from q comes about with a chance under exp(-m * KL(r, q)) (Chernoff's bound), and both terms are taken if that
-    is under `PAIR_CHANCE` over the number of pairs for the q of either. Pairs are counted term by term, so that memory
+    is under `PAIR_CHANCE` over the number of pairs for the q of either; with under `LEAST_TOGETHER` texts it hardly can be. Pairs are counted term by term, so that memory
     grows with the terms and not with their square.
     """
     known = np.flatnonzero(np.bincount(np.concatenate(hashes).astype(np.int64), minlength=1 << BITS) >= LEAST_PAIRED)
     place, v = np.full(1 << BITS, -1, np.int32), len(known)
     place[known] = np.arange(v)
-    kept = [place[h][place[h] >= 0] for h in hashes]
+    kept = [np.sort(place[h][place[h] >= 0]) for h in hashes]
+    starts = np.cumsum([0, *map(len, kept)])
     flat, text = np.concatenate(kept), np.repeat(np.arange(len(kept)), [len(k) for k in kept])
     order, ends = np.argsort(flat, kind="stable"), np.cumsum(np.bincount(flat, minlength=v))
     coded = [k + np.int32(v * y) for k, y in zip(kept, labels.astype(int), strict=True)]
     bound, taken = 2 * np.log(max(v, 2)) - np.log(PAIR_CHANCE), np.zeros(v, bool)
     alone = np.bincount(flat, labels[text], v) / np.maximum(np.bincount(flat, minlength=v), 1)
     alone = np.clip(alone, 1e-9, 1 - 1e-9)
+    log_one, log_zero = np.log(alone), np.log(1 - alone)
     for s in range(v):
-        own = text[order[ends[s - 1] if s else 0 : ends[s]]]
-        zeros, ones = np.bincount(np.concatenate([coded[i] for i in own]), minlength=2 * v).reshape(2, v)
-        m = np.maximum(zeros + ones, 1)
+        spots = order[ends[s - 1] if s else 0 : ends[s]]
+        after = [coded[i][k:] for i, k in zip(text[spots].tolist(), (spots + 1 - starts[text[spots]]).tolist(), strict=True)]  # each pair once
+        zeros, ones = np.bincount(np.concatenate(after), minlength=2 * v).reshape(2, v)
+        often = np.flatnonzero(zeros + ones >= LEAST_TOGETHER)
+        zeros, ones = zeros[often], ones[often]
+        m = zeros + ones
         plain = ones * np.log(np.maximum(ones, 1) / m) + zeros * np.log(np.maximum(zeros, 1) / m)
-        far = plain - np.maximum(*(ones * np.log(q) + zeros * np.log(1 - q) for q in (alone[s], alone)))
-        far[s] = 0.0
-        taken |= far > bound
-        taken[s] |= bool((far > bound).any())
+        far = plain - np.maximum(ones * log_one[s] + zeros * log_zero[s], ones * log_one[often] + zeros * log_zero[often]) > bound
+        taken[often[far]] = True
+        taken[s] |= bool(far.any())
     return known[taken]
 
 
