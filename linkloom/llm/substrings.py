@@ -10,9 +10,9 @@ Whether there is a boundary between two words after a round thus depends on few
 four on either side after the first, second and third round. Every window of 13 words has six places that have
 four words of its own on either side, and one of them at least is a boundary of the third round, as no symbol
 is longer. A boundary's core is the two symbols that meet there and what is missing of the four words on
-either side; its name is made of theirs. Where a symbol of the right side meets one of the left, the boundary
-is closed: the round could not have joined anything there. A window goes by its closed boundaries, or by all
-of them if it has none; equal windows have equal cores at equal places.
+either side; its name is made of theirs. Its level says in how many further rounds the two symbols, as they
+are, would not join. A window goes by its boundaries of the highest level; equal windows have equal cores and
+levels at equal places.
 
 Spark's rounds find what is shared:
 
@@ -53,6 +53,7 @@ WINDOW = 13
 AROUND = 4  # words on either side that decide on a boundary of the third round
 ROUNDS = 3
 LONGEST = WINDOW - 2 * AROUND + 1  # words of a symbol of the third round: as many as a window has places
+LEVELS = 8
 #: Passages of one document that are fetched at once.
 FETCHED = 50_000
 #: Windows of a smaller document that are chained in one task.
@@ -107,10 +108,14 @@ def word_names(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(names)
 
 
-def within(marks: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """How many marks there are at places low to high - 1."""
-    total = np.concatenate([[0], np.cumsum(marks, dtype=np.int64)])
-    return total[high] - total[low]
+def sliding(x: np.ndarray, width: int, most: np.ufunc) -> np.ndarray:
+    """The greatest (or least) of `width` values from each place on."""
+    out, step = x.copy(), 1
+    while step < width:
+        more = min(step, width - step)
+        out[:-more] = most(out[:-more], out[more:])
+        step += more
+    return out
 
 
 class Stretch:
@@ -128,7 +133,7 @@ class Stretch:
         return self.buffer.split()  # on bytes: white space as \x20\x09-\x0D
 
     def boundaries(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(places, names of cores, whether closed) of the third round's boundaries with AROUND words of their text on either side.
+        """(places, names of cores, levels) of the third round's boundaries with AROUND words of their text on either side.
 
         A place is the word after the boundary.
         """
@@ -155,7 +160,13 @@ class Stretch:
         for j in range(1, AROUND):  # what the two symbols leave of the words around
             core += np.where(size[before] <= j, self.name[at - 1 - j], np.uint64(0)) * _ODD[5 + j]
             core += np.where(size[before + 1] <= j, self.name[at + j], np.uint64(0)) * _ODD[5 + AROUND + j]
-        return at, mixed(core), ~left[before] & left[before + 1]
+        stays, level = np.ones(len(at), bool), np.ones(len(at), np.int16)
+        sides = mixed(name + _ODD[0])
+        for k in range(LEVELS):
+            left = (sides >> np.uint64(k)) & np.uint64(1) == 0
+            stays &= ~(left[before] & ~left[before + 1])
+            level += stays
+        return at, mixed(core), level
 
     def windows(self) -> np.ndarray:
         """The places where windows start."""
@@ -183,27 +194,26 @@ class Stretch:
             out[out] = [words[b - 1 : b + WINDOW - 1] == words[b : b + WINDOW] for b in begin[out].tolist()]
         return out
 
-    def owners(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(places, names of cores and whether closed, of the boundaries that some window goes by; starts of windows, whether each goes by closed ones)."""
-        at, core, closed = self.boundaries()
-        begin, n = self.windows(), len(self.name)
-        shut, need = np.zeros(n, bool), np.zeros(n + 1, np.int64)
-        shut[at[closed]] = True
-        by_closed = within(shut, begin + AROUND, begin + AROUND + LONGEST) > 0
-        need[begin[~by_closed] + AROUND] += 1  # these windows need all of their boundaries
-        np.add.at(need, begin[~by_closed] + AROUND + LONGEST, -1)
-        used = closed | (np.cumsum(need)[at] > 0)
-        return at[used], core[used], closed[used], begin, by_closed
+    def highest(self, at: np.ndarray, level: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """For windows that start at `begin`: the highest level of the boundaries that they have."""
+        levels = np.zeros(len(self.name), np.int16)
+        levels[at] = level
+        return sliding(levels, LONGEST, np.maximum)[begin + AROUND]
+
+    def owners(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(places, names of cores, levels) of the boundaries that some window goes by, and where windows start."""
+        at, core, level = self.boundaries()
+        begin = self.windows()
+        least = np.full(len(self.name), LEVELS + 2, np.int16)  # of the windows whose places begin here
+        least[begin + AROUND] = self.highest(at, level, begin)
+        used = level >= sliding(least[::-1], LONGEST, np.minimum)[::-1][at]
+        return at[used], core[used], level[used], begin
 
     def shared_windows(self, shared: Callable[[np.ndarray, np.ndarray], np.ndarray], bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
         """(starts, names) of the windows all of whose cores are shared; shared: for (texts, cores) whether each is."""
-        at, core, closed, begin, by_closed = self.owners()
+        at, core, level, begin = self.owners()
         amiss = ~shared(self.doc[at], core)
-        all_amiss, closed_amiss = np.zeros(len(self.name), bool), np.zeros(len(self.name), bool)
-        all_amiss[at[amiss]] = True
-        closed_amiss[at[amiss & closed]] = True
-        low, high = begin + AROUND, begin + AROUND + LONGEST
-        fine = np.where(by_closed, within(closed_amiss, low, high), within(all_amiss, low, high)) == 0
+        fine = self.highest(at, 2 * level + amiss, begin) % 2 == 0  # odd where one of the highest level is not shared
         starts, names = self.window_names(bits)
         return starts[fine], names[fine]
 
@@ -463,6 +473,7 @@ def deduplicated(docs: DataFrame, shown: Shown, kind: str, out: str, keep: list[
     digests = shelf.put("digests", own.select("doc_id", _mark(F.col("text")).alias("mark"), F.sha2(F.col("text").cast("binary"), 256).alias("digest")).distinct())
     least = shelf.put("firsts", digests.groupBy("digest").agg(F.min("doc_id").alias("low")))
     judged = shelf.put("judged", digests.join(least, "digest").select("doc_id", "mark", "digest", (F.col("doc_id") > F.col("low")).alias("copy")))
+    shelf.drop("digests", "firsts", sweep=True)
     status = shelf.put("status", judged.groupBy("doc_id").agg(F.count("*").alias("texts"), F.bool_or(~F.col("copy")).alias("first")))
     copies = judged.where("copy").groupBy("doc_id", "mark").agg(F.collect_list("digest").alias("copied"))
     found, stretches = _stretches(own, _shared_keys(own, status, shelf), bits, shelf)

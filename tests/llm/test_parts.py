@@ -156,11 +156,12 @@ def test_equal_windows_go_by_equal_cores():
         for _ in range(60):
             shared = r.choices(vocabulary, k=13)
             s = substrings.Stretch([b" ".join(r.choices(vocabulary, k=r.randint(0, 15)) + shared + r.choices(vocabulary, k=r.randint(0, 15))) for _ in range(3)] + [None, b"a", b"x " * 40])
-            at, core, closed, begin, by_closed = s.owners()
-            cores, seen = {p: (k, c) for p, k, c in zip(at.tolist(), core.tolist(), closed.tolist(), strict=True)}, {}
-            for b, only in zip(begin.tolist(), by_closed.tolist(), strict=True):
-                own = [(p - b, cores[p][0]) for p in range(b + 4, b + 10) if p in cores and (cores[p][1] or not only)]
+            at, core, level, begin = s.owners()
+            cores, seen = {p: (k, c) for p, k, c in zip(at.tolist(), core.tolist(), level.tolist(), strict=True)}, {}
+            for b in begin.tolist():
+                own = [(p - b, *cores[p]) for p in range(b + 4, b + 10) if p in cores]
                 assert own
+                own = [x for x in own if x[2] == max(y[2] for y in own)]
                 seen.setdefault(tuple(s.name[b : b + 13].tolist()), set()).add(tuple(own))
             assert all(len(v) == 1 for v in seen.values())
 
@@ -272,3 +273,17 @@ def test_bounded_sample(spark):
     sizes = dict(map(tuple, common.bounded_sample(rows, "label", 300, common.stratum_sizes(rows, "label")).groupBy("label").count().collect()))
     assert all(200 < n < 400 for n in sizes.values())
     assert common.bounded_sample(rows, "label", 10_000, {0: 2500, 1: 2500}).count() == 5000
+
+
+def test_commonest_words_fit_the_bound(spark):
+    rows = [(b"a", 100), (b"b", 90), *[(b"c%d" % i, 40) for i in range(10)], (b"d", 3), (b"e", 1)]
+    counts = spark.createDataFrame(rows, "word binary, n bigint")
+    assert [w for w, _ in common.frequent(counts, 100, 2)] == [b"a", b"b", *(b"c%d" % i for i in range(10)), b"d"]
+    assert [w for w, _ in common.frequent(counts, 5, 2)] == [b"a", b"b"] and common.frequent(counts.limit(0), 5, 2) == []
+    assert common.frequent(counts.where("n = 40"), 5, 2) == []
+
+
+def test_words_are_counted_over_all_texts(spark):
+    docs = spark.createDataFrame([("x y x",), (None,), ("",), ("y zz é",)] * 50, "text string").repartition(7)
+    found = common.word_counts(docs, lambda t: (t or b"").split(), lambda w: len(w) < 3).collect()
+    assert {bytes(r.word): r.n for r in found} == {b"x": 100, b"y": 100, b"zz": 50, "é".encode(): 50}
