@@ -373,11 +373,12 @@ def frequent_words(docs: DataFrame, vocabulary_path: str, text: str = "text", mo
     """The commonest words of all texts of `docs`; special tokens aside."""
     special = _vocabulary(vocabulary_path)[0].special
 
-    def words(texts: list[bytes | None]) -> Iterator[str]:
-        split = Splitter(special).words
-        return (w for t in texts for w in split(_decoded(t)) if w not in special)
+    splitter = Splitter(special)
 
-    return [w for w, _ in frequent(word_counts(docs, words, text), most, least)]
+    def words(raw: bytes | None) -> list[str]:
+        return splitter.words(_decoded(raw))
+
+    return [w for w, _ in frequent(word_counts(docs, words, lambda w: w not in special, text), most, least)]
 
 
 _SHIPPED: dict[tuple, str] = {}

@@ -165,14 +165,17 @@ def dropped(spark: SparkSession, *paths: str, sweep: bool = True) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
-def word_counts(docs: DataFrame, find: Callable[[list[bytes | None]], Iterable[bytes]], text: str = "text") -> DataFrame:
-    """(word, n): how often `find` gives each word over all texts; each slice of texts is counted before the shuffle."""
+def word_counts(docs: DataFrame, find: Callable[[bytes | None], list], wanted: Callable[[str | bytes], bool], text: str = "text") -> DataFrame:
+    """(word, n): how often `find` gives each word that is wanted over all texts; each slice of texts is counted before the shuffle."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column(0)):
-                own = Counter(find(texts))
-                yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array(list(own.values()), pa.int64())], ["word", "n"])
+                own: Counter = Counter()
+                for t in texts:
+                    own.update(find(t))
+                words = [w for w in own if wanted(w)]
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([own[w] for w in words], pa.int64())], ["word", "n"])
 
     return docs.select(F.col(text)).mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 

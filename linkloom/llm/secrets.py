@@ -78,14 +78,15 @@ def _alphabet(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
-def words_of(texts: list[bytes | None]) -> Iterator[bytes]:
-    """Lower-case words of letters of a lexicon's lengths; values in a credential's context are left out."""
-    for raw in texts:
-        if raw and any(k in raw.lower() for k in _CONTEXT_WORDS):
-            raw = _CONTEXT.sub(" ", raw.decode("utf-8", "replace")).encode()
-        for w in (raw or b"").translate(_LETTERS).split():
-            if SHORTEST <= len(w) <= LONGEST:
-                yield w
+def words_of(raw: bytes | None) -> list[bytes]:
+    """Lower-case words of letters; values in a credential's context are left out."""
+    if raw and any(k in raw.lower() for k in _CONTEXT_WORDS):
+        raw = _CONTEXT.sub(" ", raw.decode("utf-8", "replace")).encode()
+    return (raw or b"").translate(_LETTERS).split()
+
+
+def may_be_listed(word: bytes) -> bool:
+    return SHORTEST <= len(word) <= LONGEST
 
 
 def ranked(words: list[str]) -> dict[str, int]:
@@ -95,7 +96,7 @@ def ranked(words: list[str]) -> dict[str, int]:
 
 def learned_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS, least: int = LEAST_COUNT) -> dict[str, int]:
     """The ranked lexicon of all texts of `docs`."""
-    return ranked([w.decode() for w, _ in frequent(word_counts(docs, words_of, text), most, least)])
+    return ranked([w.decode() for w, _ in frequent(word_counts(docs, words_of, may_be_listed, text), most, least)])
 
 
 def _short_segments(s: str, rank: dict[str, int] = _RANK) -> Iterator[tuple[int, int, float]]:

@@ -265,7 +265,7 @@ def test_pipeline_against_brute_force(spark, folder, corpus, results):
             least[p].append(d)
     stays = {min(ids) for ids in least.values()}
     clean = [(d, t) for d, t in {x for x in kept if x[0] in stays} - leaky]
-    counts = Counter(secrets.words_of([None if t is None else t.encode() for _, t in clean]))
+    counts = Counter(w for _, t in clean for w in secrets.words_of(None if t is None else t.encode()) if secrets.may_be_listed(w))
     rank = secrets.ranked([w.decode() for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= secrets.LEAST_COUNT])
     want = []
     for d, t in clean:
