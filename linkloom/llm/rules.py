@@ -73,13 +73,13 @@ def let(value: Column, of: Callable[[Column], Column]) -> Column:
 
 
 def window_hashes(words: Column, size: int = REPEAT_WINDOW) -> Column:
-    """Hashes of all windows of `size` words, in order; each runs through its words one by one, so that their bounds count."""
+    """Hashes of all windows of `size` words, in order, made of the words' hashes."""
 
-    def hashes(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, size)))
-        return F.when(F.size(w) >= size, each).otherwise(F.array().cast("array<bigint>"))
+    def hashes(h: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
+        return F.when(F.size(h) >= size, each).otherwise(F.array().cast("array<bigint>"))
 
-    return let(words, hashes)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), hashes)
 
 
 def covered_words(words: Column, size: int = REPEAT_WINDOW) -> Column:
@@ -94,9 +94,12 @@ def covered_words(words: Column, size: int = REPEAT_WINDOW) -> Column:
         gaps = F.transform(places, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(places, k + 1) - p, F.lit(size))))
         return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda n, g: n + g)
 
-    windows = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), F.slice(words, i + 1, size).alias("w"), i.alias("i"))))
-    some = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(let(windows(h), repeated), total)).otherwise(F.lit(0).cast("bigint"))
-    return let(window_hashes(words, size), some)
+    def of(w: Column) -> Column:
+        windows = lambda h: F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), F.slice(w, i + 1, size).alias("w"), i.alias("i"))))
+        some = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(let(windows(h), repeated), total)).otherwise(F.lit(0).cast("bigint"))
+        return let(window_hashes(w, size), some)
+
+    return let(words, of)
 
 
 def measured(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, Column], list[str]]:
