@@ -167,14 +167,30 @@ def similarity(kind: str, a: Column, b: Column) -> Column:
     return F.arrow_udf(_pairwise(known[kind]), "double")(a, b)
 
 
+_MARK = "\x1f"  # between the variants of a list; normalised names don't have it
+
+
+def _listed(joined: str | None) -> tuple[str, ...]:
+    return tuple(joined.split(_MARK)) if joined else ()
+
+
+def _joined(variants: Column) -> Column:
+    """Variants as one text, which goes to Python and back to mind faster than a list."""
+    return F.array_join(variants, _MARK)
+
+
+@lru_cache(maxsize=_MEMO)
+def matched(live: str | None, candidate: str | None, floor: float) -> tuple[float, str, str, bool]:
+    """name_score, the winning variants and the guard for two joined lists of variants."""
+    score, x, y = best_pair(_listed(live), _listed(candidate), floor)
+    shown = round(score, 2)
+    return shown, x, y, has_name_signal(x, y, shown)
+
+
 def _score_batches(floor: float):
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for live, candidate in batches:
-            rows = []
-            for a, b in zip(live.to_pylist(), candidate.to_pylist(), strict=True):
-                score, x, y = best_pair(tuple(a or ()), tuple(b or ()), floor)
-                shown = round(score, 2)
-                rows.append((shown, x, y, has_name_signal(x, y, shown)))
+            rows = [matched(a, b, floor) for a, b in zip(live.to_pylist(), candidate.to_pylist(), strict=True)]
             cols = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [pa.float64(), pa.string(), pa.string(), pa.bool_()]
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["name_score", "live_variant", "candidate_variant", "signal"])
@@ -189,23 +205,27 @@ def name_match(live_variants: Column, candidate_variants: Column, floor: float =
     not deterministic, so that a filter on it isn't pushed below an exchange and worked out twice.
     """
     kind = "struct<name_score:double,live_variant:string,candidate_variant:string,signal:boolean>"
-    return F.arrow_udf(_score_batches(max(floor - 0.005, 0.0)), kind).asNondeterministic()(live_variants, candidate_variants)
+    return F.arrow_udf(_score_batches(max(floor - 0.005, 0.0)), kind).asNondeterministic()(_joined(live_variants), _joined(candidate_variants))
+
+
+@lru_cache(maxsize=_MEMO)
+def _token_set(a: str, b: str) -> float:
+    return token_set_ratio(a, b)
 
 
 @lru_cache(maxsize=_MEMO)
-def _best_token_set(live: tuple[str, ...], candidate: tuple[str, ...]) -> float:
-    return max((token_set_ratio(a, b) for a in live for b in candidate), default=0.0)
+def _best_token_set(live: str | None, candidate: str | None) -> float:
+    return max((_token_set(a, b) for a in _listed(live) for b in _listed(candidate)), default=0.0)
 
 
 def _best_token_sets(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for live, candidate in batches:
-        pairs = zip(live.to_pylist(), candidate.to_pylist(), strict=True)
-        yield pa.array([_best_token_set(tuple(x or ()), tuple(y or ())) for x, y in pairs], pa.float64())
+        yield pa.array([_best_token_set(x, y) for x, y in zip(live.to_pylist(), candidate.to_pylist(), strict=True)], pa.float64())
 
 
 def best_token_set(live_variants: Column, candidate_variants: Column) -> Column:
     """The greatest token set ratio over pairs of variants."""
-    return F.arrow_udf(_best_token_sets, "double")(live_variants, candidate_variants)
+    return F.arrow_udf(_best_token_sets, "double")(_joined(live_variants), _joined(candidate_variants))
 
 
 def lcs_native(a: Column, b: Column) -> Column:

@@ -108,7 +108,7 @@ def deferred(history: DataFrame) -> DataFrame:
 
 def _or_raw(variants: Column, raw: Column) -> Column:
     """A name's variants, or the name as it is where it has none."""
-    return F.when(F.size(variants) > 0, variants).otherwise(F.array(F.coalesce(raw, F.lit(""))))
+    return F.when(F.size(variants) > 0, variants).otherwise(F.array(F.translate(F.coalesce(raw, F.lit("")), "\x1f", " ")))
 
 
 def pool(items: DataFrame, candidates: DataFrame, item_key: list[str]) -> DataFrame:

@@ -108,9 +108,9 @@ def q_duplicates(spark, d):
 
 
 def _pairs(spark, d):
-    """The distinct pairs of variants that the blocks of source and state bring together."""
+    """The distinct pairs of variants that the blocks of source and state bring together, dealt out as their bytes alone would not be."""
     met = _blocked(spark, d).select("live_name_variants", "candidate_name_variants").distinct()
-    return met.select(F.explode("live_name_variants").alias("a"), "candidate_name_variants").select("a", F.explode("candidate_name_variants").alias("b")).distinct()
+    return met.select(F.explode("live_name_variants").alias("a"), "candidate_name_variants").select("a", F.explode("candidate_name_variants").alias("b")).distinct().repartition(spark.sparkContext.defaultParallelism, "a", "b")
 
 
 def q_token_jaccard(spark, d):

@@ -3,7 +3,6 @@
 import json
 import random
 from datetime import date
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
