@@ -35,7 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import frequent, fresh_folder, opened, slices, table, word_counts
+from linkloom.llm.common import frequent, fresh_folder, put_bytes, slices, table, word_counts
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -390,9 +390,7 @@ def _shipped(spark, vocabulary_path: str, words: list[bytes]) -> str:
     if key not in _SHIPPED:
         folder = fresh_folder(spark, "lexicon")
         name = folder.rpartition("/")[2] + ".bin"
-        place, path = opened(folder)
-        with place.open_output_stream(f"{path}/{name}", compression=None) as f:
-            f.write(compiled(vocabulary_path, words))
+        put_bytes(spark, f"{folder}/{name}", compiled(vocabulary_path, words))
         spark.sparkContext.addFile(f"{folder}/{name}")
         _SHIPPED[key] = name
     return _SHIPPED[key]

@@ -61,6 +61,14 @@ def fresh_folder(spark: SparkSession, what: str) -> str:
     return path
 
 
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes a file of the driver's to the shared folder, by whatever file system Spark has for it."""
+    place, store = _place(spark, path)
+    stream = store.create(place)
+    stream.write(data)
+    stream.close()
+
+
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path in the shared folder, and the path there; for executors as for the driver."""
     return fs.FileSystem.from_uri(path)
