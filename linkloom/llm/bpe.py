@@ -46,6 +46,8 @@ _FULL = regex.compile(PATTERN)
 _ODD = re.compile("[^\x00-\x1b\x20-\x7f¡-±´-¸º»¿-ɏ‐-‧‰-⁞₠-₿]")
 LEXICON_WORDS = 100_000
 LEAST_COUNT = 2
+#: Words of the lexicon that the driver merges at a time.
+MERGED = 10_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -290,7 +292,7 @@ def compiled(vocabulary_path: str, words: list[bytes]) -> bytes:
     vocabulary, merger = _vocabulary(vocabulary_path)
     words = sorted(words)
     arrays = compile_automaton(words)
-    coded = merger.merge(words)
+    coded = [c for k in range(0, len(words), MERGED) for c in merger.merge(words[k : k + MERGED])]
     arrays |= {"moves": np.repeat(np.arange(len(arrays["final"]), dtype=np.int64), np.diff(arrays["first"])) << 8 | arrays["label"]}
     arrays |= {"ids": np.frombuffer(b"".join(coded), "<u4"), "ends": np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int64)}
     spelled = [b or b"" for b in vocabulary.bytes]

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SPACES = "[\\x20\\x09-\\x0D]+"
 #: Bytes of text that an executor's Python handles at a time.
 SLICE_BYTES = 2 << 20
+#: Bytes that the driver's Python gives the JVM at a time.
+PIECE_BYTES = 1 << 18
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[bytes | None]]:
@@ -65,7 +67,8 @@ def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """Writes a file of the driver's to the shared folder, by whatever file system Spark has for it."""
     place, store = _place(spark, path)
     stream = store.create(place)
-    stream.write(data)
+    for at in range(0, len(data), PIECE_BYTES):  # each goes as one line of text, of which the JVM makes several copies
+        stream.write(data[at : at + PIECE_BYTES])
     stream.close()
 
 
@@ -206,6 +209,6 @@ def frequent(counts: DataFrame, most: int, least: int) -> list[tuple[bytes, int]
         if total > most:
             break
         lowest = r["class"]
-    top = own.where(F.col("class") >= lowest).collect() if lowest is not None else []
+    top = own.where(F.col("class") >= lowest).select("word", "n").toArrow().to_pydict() if lowest is not None else {"word": [], "n": []}
     shelf.clear()
-    return sorted(((bytes(r.word), r.n) for r in top), key=lambda x: (-x[1], x[0]))
+    return sorted(zip(top["word"], top["n"], strict=True), key=lambda x: (-x[1], x[0]))

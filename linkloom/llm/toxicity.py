@@ -40,6 +40,8 @@ LEAST_PAIRED = 10
 LEAST_TOGETHER = 4
 #: The chance that any pair at all seems associated where none is.
 PAIR_CHANCE = 0.01
+#: Texts whose pairs are counted at a time.
+TOGETHER = 512
 EPOCHS = 40
 BATCH = 64
 _FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -77,30 +79,44 @@ def linear_and_pairs(text: np.ndarray, row: np.ndarray, n: int, weight: np.ndarr
     return np.bincount(text, weight[row], n) + 0.5 * ((total**2).sum(axis=1) - square), total
 
 
+def counted(hashes: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many texts have each term, and how many of them have label 1; a text's terms are distinct."""
+    all_, ones = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    for h, y in zip(hashes, labels.astype(int).tolist(), strict=True):
+        all_[h] += 1
+        ones[h] += y
+    return all_, ones
+
+
 def in_pairs(hashes: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """The terms of pairs that say more about the label than either of the two does alone.
 
     Let a share q of the texts with one term have label 1, and of the m texts with both a share r. A share so far
     from q comes about with a chance under exp(-m * KL(r, q)) (Chernoff's bound), and both terms are taken if that
-    is under `PAIR_CHANCE` over the number of pairs for the q of either; with under `LEAST_TOGETHER` texts it hardly can be. Pairs are counted term by term, so that memory
-    grows with the terms and not with their square.
+    is under `PAIR_CHANCE` over the number of pairs for the q of either; with under `LEAST_TOGETHER` texts it hardly can be. Pairs are counted term by term, and
+    for `TOGETHER` texts at a time, so that memory is that of two small integers for each term of each text.
     """
-    known = np.flatnonzero(np.bincount(np.concatenate(hashes).astype(np.int64), minlength=1 << BITS) >= LEAST_PAIRED)
+    all_, with_one = counted(hashes, labels)
+    known = np.flatnonzero(all_ >= LEAST_PAIRED)
     place, v = np.full(1 << BITS, -1, np.int32), len(known)
     place[known] = np.arange(v)
-    kept = [np.sort(place[h][place[h] >= 0]) for h in hashes]
-    starts = np.cumsum([0, *map(len, kept)])
-    flat, text = np.concatenate(kept), np.repeat(np.arange(len(kept)), [len(k) for k in kept])
-    order, ends = np.argsort(flat, kind="stable"), np.cumsum(np.bincount(flat, minlength=v))
-    coded = [k + np.int32(v * y) for k, y in zip(kept, labels.astype(int), strict=True)]
+    starts = np.cumsum([0, *(np.count_nonzero(place[h] >= 0) for h in hashes)])
+    coded = np.empty(starts[-1], np.int32)  # the terms of all texts, text by text; v more where the label is 1
+    ends = np.cumsum(all_[known])
+    order, free = np.empty(starts[-1], np.min_scalar_type(starts[-1])), ends - all_[known]  # order: each term's spots in coded
+    for h, y, a, b in zip(hashes, labels.astype(int).tolist(), starts.tolist(), starts[1:].tolist(), strict=False):
+        own = np.sort(place[h][place[h] >= 0])
+        coded[a:b] = own + np.int32(v * y)
+        order[free[own]] = np.arange(a, b)
+        free[own] += 1
     bound, taken = 2 * np.log(max(v, 2)) - np.log(PAIR_CHANCE), np.zeros(v, bool)
-    alone = np.bincount(flat, labels[text], v) / np.maximum(np.bincount(flat, minlength=v), 1)
-    alone = np.clip(alone, 1e-9, 1 - 1e-9)
+    alone = np.clip(with_one[known] / all_[known], 1e-9, 1 - 1e-9)
     log_one, log_zero = np.log(alone), np.log(1 - alone)
     for s in range(v):
-        spots = order[ends[s - 1] if s else 0 : ends[s]]
-        after = [coded[i][k:] for i, k in zip(text[spots].tolist(), (spots + 1 - starts[text[spots]]).tolist(), strict=True)]  # each pair once
-        zeros, ones = np.bincount(np.concatenate(after), minlength=2 * v).reshape(2, v)
+        spots = order[ends[s - 1] if s else 0 : ends[s]].astype(np.int64)
+        until = starts[np.searchsorted(starts, spots, "right")].tolist()
+        after = [coded[a:b] for a, b in zip((spots + 1).tolist(), until, strict=True)]  # each pair once
+        zeros, ones = sum(np.bincount(np.concatenate(after[k : k + TOGETHER]), minlength=2 * v) for k in range(0, len(after), TOGETHER)).reshape(2, v)
         often = np.flatnonzero(zeros + ones >= LEAST_TOGETHER)
         zeros, ones = zeros[often], ones[often]
         m = zeros + ones
@@ -118,9 +134,7 @@ def fit(hashes: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     if n_one in (0, n):
         p = min(max(prior, 1e-6), 1 - 1e-6)
         return Machine(float(np.log(p / (1 - p))), place, np.zeros(0), np.zeros((0, factors)))
-    sizes = np.array([len(h) for h in hashes])
-    flat, of = np.concatenate(hashes).astype(np.int64), np.repeat(labels, sizes)
-    ones, all_ = np.bincount(flat, of, 1 << BITS), np.bincount(flat, minlength=1 << BITS)
+    all_, ones = counted(hashes, labels)
     expected = all_ * (n_one / n)
     z = (ones - expected) / np.sqrt(np.maximum(expected * (1 - n_one / n) * (1 - all_ / n), 1e-9))
     alone = np.flatnonzero((all_ >= LEAST_TEXTS) & (np.abs(z) >= LEAST_Z))
@@ -155,11 +169,22 @@ def _hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([terms(t) for texts in slices(batch) for t in texts], pa.list_(pa.int32()))
 
 
+def in_order(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The hashes of each text in order: views of one array, made without an object for each hash."""
+    sizes = lists.combine_chunks().value_lengths().to_numpy()
+    flat, ends = np.concatenate([np.zeros(0, np.int32), *(c.flatten().to_numpy() for c in lists.chunks)]), np.cumsum(sizes)
+    views = [flat[b - n : b] for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    for view in views:
+        view.sort()
+    return views
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Machine:
     """A machine from the documents that `labels` (doc_id, label 0 or 1; other rows are left out) covers."""
     sample, sizes = labelled_sample(docs, labels, label, per_class, lambda text: F.arrow_udf(_hashed, "array<int>")(text))
-    n = sum(sizes.values())
-    return fit([np.array(sorted(h.as_py()), np.int64) for h in sample["x"]], sample["label"].to_numpy().astype(float), sizes.get(1, 0) / n if n else 0.0)
+    hashes, classes, n = in_order(sample["x"]), sample["label"].to_numpy().astype(float), sum(sizes.values())
+    del sample
+    return fit(hashes, classes, sizes.get(1, 0) / n if n else 0.0)
 
 
 def with_toxicity(docs: DataFrame, machine: Machine, text: str = "text", out: str = "toxicity") -> DataFrame:
