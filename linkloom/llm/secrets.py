@@ -103,14 +103,16 @@ def _short_segments(s: str, rank: dict[str, int] = _RANK) -> Iterator[tuple[int,
     """(start, end, bits) of words and dates, by their start."""
     low, n = s.lower(), len(s)
     plain = low.translate(_LEET)
+    forms = ((low, 0.0),) if plain == low else ((low, 0.0), (plain, 2.0))  # the same word is not cheaper the second time
+    place_of = rank.get
     for i in range(n):
-        for j in range(i + SHORTEST, min(n, i + LONGEST) + 1):
-            for form, more in ((low, 0.0), (plain, 2.0)):
-                if (place := rank.get(form[i:j])) is not None:
+        for form, more in forms:
+            for j in range(i + SHORTEST, min(n, i + LONGEST) + 1):
+                if (place := place_of(form[i:j])) is not None:
                     upper = sum(c.isupper() for c in s[i:j])
                     case = 0.0 if upper == 0 else 1.0 if upper == j - i or s[i].isupper() and upper == 1 else 2.0 + upper
                     yield i, j, math.log2(place) + 1 + more + case
-        if m := _DATE.match(s, i):
+        if s[i] in "0123" and (m := _DATE.match(s, i)):
             yield i, m.end(), 8.0 if m.end() - i == 4 else 15.0
 
 
