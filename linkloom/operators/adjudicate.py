@@ -45,6 +45,20 @@ class Model(Protocol):
     def answer(self, prompt: str, offered: list[int]) -> Answer: ...
 
 
+def none_id(offered: list[int]) -> int:
+    """The answer that says none: 0, or where a candidate has that id the next number below that none has."""
+    none = 0
+    while none in offered:
+        none -= 1
+    return none
+
+
+def _none_of(offered: Column) -> Column:
+    """`none_id` of a column."""
+    free = F.array_except(F.sequence(F.lit(0), -F.size(offered), F.lit(-1)).cast("array<bigint>"), offered)
+    return F.coalesce(F.array_max(free), F.lit(0))
+
+
 class Stub:
     """Declines always, or picks the first candidate."""
 
@@ -52,14 +66,14 @@ class Stub:
         self.always = always
 
     def answer(self, prompt: str, offered: list[int]) -> Answer:
-        chosen = offered[0] if self.always == "top" and offered else 0
+        chosen = offered[0] if self.always == "top" and offered else none_id(offered)
         return Answer(f'{{"matched_candidate_id": {chosen}, "confidence": "high", "reasoning": "stub"}}')
 
 
 TOOL = "record_decision"
 INSTRUCTIONS = (
     "Decide whether a source record and one of the candidates are the same business. An automated scorer has left these cases open, so weigh the postal code, the amount against the size band "
-    "and the order of dates beside the names, and give shared distinctive words more weight than common ones. Answer 0 if none is clearly the same: a wrong match costs more than none."
+    "and the order of dates beside the names, and give shared distinctive words more weight than common ones. Answer {none} if none is clearly the same: a wrong match costs more than none."
 )
 
 
@@ -72,14 +86,14 @@ class HostedModel:
     def __init__(self, send: Callable[[dict], dict], model: str, max_tokens: int = 400):
         self.send, self.model, self.max_tokens = send, model, max_tokens
 
-    def request(self, prompt: str) -> dict:
-        properties = {"matched_candidate_id": {"type": "integer", "description": "id of the matching candidate, 0 for none"}, "confidence": {"type": "string", "enum": CONFIDENCES}, "reasoning": {"type": "string"}}
+    def request(self, prompt: str, none: int = 0) -> dict:
+        properties = {"matched_candidate_id": {"type": "integer", "description": f"id of the matching candidate, {none} for none"}, "confidence": {"type": "string", "enum": CONFIDENCES}, "reasoning": {"type": "string"}}
         schema = {"type": "object", "properties": properties, "required": list(properties)}
         tool = {"name": TOOL, "description": "Records the decision.", "input_schema": schema}
-        return {"model": self.model, "max_tokens": self.max_tokens, "system": INSTRUCTIONS, "tools": [tool], "tool_choice": {"type": "tool", "name": TOOL}, "messages": [{"role": "user", "content": prompt}]}
+        return {"model": self.model, "max_tokens": self.max_tokens, "system": INSTRUCTIONS.format(none=none), "tools": [tool], "tool_choice": {"type": "tool", "name": TOOL}, "messages": [{"role": "user", "content": prompt}]}
 
     def answer(self, prompt: str, offered: list[int]) -> Answer:
-        response = self.send(self.request(prompt))
+        response = self.send(self.request(prompt, none_id(offered)))
         used = response.get("usage") or {}
         found = [b.get("input") for b in response.get("content") or [] if b.get("type") == "tool_use" and b.get("name") == TOOL]
         return Answer(json.dumps(found[0] or {}) if found else None, used.get("input_tokens") or 0, used.get("output_tokens") or 0)
@@ -176,8 +190,8 @@ def _quoted(text: Column) -> Column:
 def decided(answers: DataFrame, payload: str = "payload", offered: str = "offered") -> DataFrame:
     """`answers` with resolved, chosen, confidence, refused_reason, error and reasoning.
 
-    The tests come in this order: no answer, a missing id, one that is no integer, 0, one that was not offered, low
-    confidence. A number counts by its integer part and a string if it spells an integer; null is no integer.
+    The tests come in this order: no answer, a missing id, one that is no integer, the answer for none (`none_id`), one
+    that was not offered, low confidence. A number counts by its integer part and a string if it spells an integer; null is no integer.
     """
     value = F.try_variant_get(F.try_parse_json(payload), "$.matched_candidate_id", "variant")
     kind, raw = F.schema_of_variant(value), F.get_json_object(payload, "$.matched_candidate_id")
@@ -188,10 +202,10 @@ def decided(answers: DataFrame, payload: str = "payload", offered: str = "offere
     shown = F.when(kind == "VOID", "None").when(kind == "STRING", _quoted(raw)).otherwise(raw)
     error = F.when(F.try_parse_json(payload).isNull(), NO_ANSWER).when(value.isNull(), OMITTED).when(number.isNull(), F.concat(F.lit(NOT_INTEGER), shown))
     judged = answers.withColumns({"confidence": sure, "error": error, "chosen": number, "reasoning": F.substring(F.coalesce(F.get_json_object(payload, "$.reasoning"), F.lit("")), 1, REASONING_CHARS)})
-    chosen, strange = F.col("chosen"), ~F.array_contains(F.col(offered), F.col("chosen"))
-    refused = F.when(chosen == 0, NO_MATCH).when(strange, F.concat(F.lit("id "), chosen.cast("string"), F.lit(" was not among the candidates offered"))).when(F.col("confidence") == "low", TOO_LOW)
+    chosen, strange, none = F.col("chosen"), ~F.array_contains(F.col(offered), F.col("chosen")), _none_of(F.col(offered))
+    refused = F.when(chosen == none, NO_MATCH).when(strange, F.concat(F.lit("id "), chosen.cast("string"), F.lit(" was not among the candidates offered"))).when(F.col("confidence") == "low", TOO_LOW)
     reasoned = judged.withColumn("refused_reason", F.when(F.col("error").isNull(), refused))
-    return reasoned.withColumn("resolved", F.col("error").isNull() & F.col("refused_reason").isNull()).withColumn("chosen", F.when(F.col("error").isNull() & (chosen != 0) & ~strange, chosen))
+    return reasoned.withColumn("resolved", F.col("error").isNull() & F.col("refused_reason").isNull()).withColumn("chosen", F.when(F.col("error").isNull() & (chosen != none) & ~strange, chosen))
 
 
 def unasked(requests: DataFrame, item_key: list[str], most: int | None = MOST_ROWS) -> DataFrame:
