@@ -129,11 +129,20 @@ def pool(items: DataFrame, candidates: DataFrame, item_key: list[str]) -> DataFr
     """Candidates of an item's source and state; of its source alone where there are none."""
     side = candidates.withColumnRenamed("candidate_source", "source_code")
     blocks = side.select("source_code", F.col("candidate_state").alias("state")).distinct()
-    near = dealt_pairs(items.join(blocks, BLOCK, "left_semi"), side.withColumnRenamed("candidate_state", "state"), BLOCK, item_key)
-    alone = dealt_pairs(items.join(blocks, BLOCK, "left_anti"), side.drop("candidate_state"), ["source_code"], item_key)
+    near = dealt_pairs(items.join(blocks, BLOCK, "left_semi"), side.withColumnRenamed("candidate_state", "state"), BLOCK, item_key, deal_right_by=["application_id"])
+    alone = dealt_pairs(items.join(blocks, BLOCK, "left_anti"), side.drop("candidate_state"), ["source_code"], item_key, deal_right_by=["application_id"])
     return near.unionByName(alone, allowMissingColumns=True)
 
 
+def pool_sizes(items: DataFrame, candidates: DataFrame, item_key: list[str]) -> DataFrame:
+    """(item key, n, last_id): how many candidates an item's `pool` has and the greatest id, by counts of blocks instead of pairs."""
+    side = candidates.select(F.col("candidate_source").alias("source_code"), F.col("candidate_state").alias("state"), "application_id")
+    near = side.groupBy(*BLOCK).agg(F.count("*").alias("near_n"), F.max("application_id").alias("near_id"))
+    alone = near.groupBy("source_code").agg(F.sum("near_n").alias("alone_n"), F.max("near_id").alias("alone_id"))
+    both = items.select(*dict.fromkeys([*BLOCK, *item_key])).join(near, BLOCK, "left").join(alone, "source_code")
+    return both.select(*item_key, F.coalesce("near_n", "alone_n").alias("n"), F.when(F.col("near_n").isNotNull(), F.col("near_id")).otherwise(F.col("alone_id")).alias("last_id"))
+
+
 def offers(items: DataFrame, candidates: DataFrame, item_key: list[str], shown: int = SHOWN) -> DataFrame:
     """For each item the candidates of its pool whose business names are most alike, as an array in order.
 

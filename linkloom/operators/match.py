@@ -1,9 +1,8 @@
 """Blocking, scores, corroboration, bands and what is not surfaced.
 
 Items and candidates meet in blocks of source and state by an equi-join; cheap tests come before names are
-scored. Blocks are counted first, and the items of a large one are dealt out to as many parts as its pairs need,
-each with the block's candidates: pairs are scored where the join makes them, and only those that pass are
-shuffled. Names are scored once for each distinct pair of variant lists in a task (a bounded memo).
+scored. Blocks are counted first, and the pairs of a large one are dealt out to as many parts as they need: pairs
+are scored where the join makes them, and only those that pass are shuffled. Names are scored once for each distinct pair of variant lists in a task (a bounded memo).
 """
 
 from __future__ import annotations
@@ -43,29 +42,41 @@ def candidate_side(candidates: DataFrame) -> DataFrame:
     return candidates.withColumnRenamed("candidate_source", "source_code").withColumnRenamed("candidate_state", "state")
 
 
-def blocked(items: DataFrame, candidates: DataFrame) -> DataFrame:
+def blocked(items: DataFrame, candidates: DataFrame, item_key: list[str]) -> DataFrame:
     """Pairs of items and candidates in the same source and state."""
-    return items.join(candidate_side(candidates), BLOCK)
+    return dealt_pairs(items, candidate_side(candidates), BLOCK, item_key, deal_right_by=["application_id"])
 
 
-def dealt_pairs(left: DataFrame, right: DataFrame, on: list[str], deal_by: list[str], part_pairs: int = PART_PAIRS) -> DataFrame:
+def block_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """(key, n_left, n_right, pairs): what left JOIN right USING (on) makes of each key, by counts."""
+    sizes = left.groupBy(*on).agg(F.count("*").alias("n_left")).join(right.groupBy(*on).agg(F.count("*").alias("n_right")), on)
+    return sizes.withColumn("pairs", F.col("n_left") * F.col("n_right"))
+
+
+def dealt_pairs(left: DataFrame, right: DataFrame, on: list[str], deal_by: list[str], part_pairs: int = PART_PAIRS, deal_right_by: list[str] | None = None) -> DataFrame:
     """left JOIN right USING (on), in tasks of about `part_pairs` pairs.
 
-    A key's rows of `left` are dealt out by a hash of `deal_by` to ceil(pairs / part_pairs) parts, and its rows of
-    `right` go to each of them. The number of tasks follows from the counts, as adaptive execution, which goes by
-    bytes, would put many parts into one task.
+    A key's pairs are a grid of about pairs / part_pairs parts. Its rows of `left` are dealt out to the grid's rows by a
+    hash of `deal_by` and those of `right` to its columns by one of `deal_right_by` (all columns if not given), and each goes to all parts of its
+    row or column; the shorter side has fewer, so that the fewest copies are made. The number of tasks follows from the
+    counts, as adaptive execution, which goes by bytes, would put many parts into one task.
     """
     part = "part"
-    while part in left.columns or part in right.columns:
+    while any(c.startswith(part) for c in left.columns + right.columns):
         part += "_"
-    sizes = left.groupBy(*on).agg(F.count("*").alias("n_left")).join(right.groupBy(*on).agg(F.count("*").alias("n_right")), on)
-    parts = sizes.select(*on, F.ceil(F.col("n_left") * F.col("n_right") / F.lit(part_pairs)).cast("int").alias("parts"))
-    all_parts, pairs = sizes.join(parts, on).agg(F.sum("parts"), F.sum(F.col("n_left") * F.col("n_right"))).first()
+    row, column, rows, columns = (part + x for x in ("_row", "_column", "_rows", "_columns"))
+    sizes = block_pairs(left, right, on)
+    most = F.ceil(F.col("pairs") / F.lit(part_pairs))
+    ideal = F.ceil(F.sqrt(F.col("pairs") / F.lit(part_pairs) * F.col("n_left") / F.col("n_right")))
+    grid = sizes.select(*on, F.greatest(F.lit(1), F.least(ideal, most, F.col("n_left"))).cast("int").alias(rows), most.alias(part))
+    grid = grid.select(*on, rows, F.ceil(F.col(part) / F.col(rows)).cast("int").alias(columns))
+    all_parts, pairs = grid.join(sizes, on).agg(F.sum(F.col(rows).cast("bigint") * F.col(columns)), F.sum("pairs")).first()
     tasks = int(min(all_parts or 1, max(left.sparkSession.sparkContext.defaultParallelism, (pairs or 0) // part_pairs + 1)))
-    dealt = left.join(parts, on).withColumn(part, F.pmod(F.hash(*deal_by), F.col("parts"))).drop("parts")
-    copied = right.join(parts, on).withColumn(part, F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    keys = [*on, part]
-    return dealt.repartition(tasks, *keys).join(copied.repartition(tasks, *keys), keys).drop(part)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = left.join(grid, on).withColumn(row, F.pmod(F.hash(*deal_by), F.col(rows))).withColumn(column, every(columns)).drop(rows, columns)
+    copied = right.join(grid, on).withColumn(column, F.pmod(F.hash(*(deal_right_by or right.columns)), F.col(columns))).withColumn(row, every(rows)).drop(rows, columns)
+    keys = [*on, row, column]
+    return dealt.repartition(tasks, *keys).join(copied.repartition(tasks, *keys), keys).drop(row, column)
 
 
 def predates_lead(origination: Column, lead: Column, grace: float) -> Column:
@@ -97,7 +108,7 @@ def corroboration(pairs: DataFrame) -> DataFrame:
 
 def scored(items: DataFrame, candidates: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
     """Pairs that pass the date guard, the name's floor and guard and the candidate's floor, with their scores."""
-    pairs = dealt_pairs(items, candidate_side(candidates), BLOCK, item_key)
+    pairs = blocked(items, candidates, item_key)
     timely = pairs.where(~predates_lead(F.col("primary_origination_date"), F.col("lead_start_date"), limits.max_days_origination_before_lead))
     named = timely.withColumn("__name", name_match(F.col("live_name_variants"), F.col("candidate_name_variants"), limits.min_name_score))
     likely = named.where((F.col("__name.name_score") >= limits.min_name_score) & F.col("__name.signal"))
