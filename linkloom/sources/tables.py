@@ -185,7 +185,8 @@ def extract_candidates(lead: DataFrame, organization: DataFrame, source: DataFra
     """One row of CANDIDATE columns for each screened lead with an organization.
 
     Where there are several business locations or screenings the newest count, nulls last; ties go to the
-    smallest organization, then to the first region and names.
+    smallest organization, then to the first region and names. A lead's locations and screenings meet each with
+    each, so that the newest pair is that of the newest of either: they are chosen before they are joined.
     """
     place = location.where("location_type = 'BUSINESS'").select("organization_id", F.col("region").alias("business_state"), F.col("postal_code").alias("business_zip_code"), F.col("created_at").alias("location_created_at"))
     seen = screening.select(
@@ -197,8 +198,8 @@ def extract_candidates(lead: DataFrame, organization: DataFrame, source: DataFra
         leads.join(organization.select("organization_id", "lead_id", F.col("name").alias("crm_business_name"), "person_id"), "lead_id")
         .join(source.select(F.col("code").alias("source_code"), F.col("display_name").alias("candidate_source_name")), "source_code", "left")
         .join(person.select("person_id", F.col("first_name").alias("customer_first_name"), F.col("last_name").alias("customer_last_name")), "person_id", "left")
-        .join(place, "organization_id", "left")
-        .join(seen, "lead_id", "left")
+        .join(latest(place, ["organization_id"], ["location_created_at"], ["business_state", "business_zip_code"]), "organization_id", "left")
+        .join(latest(seen, ["lead_id"], ["prescreen_created_date"], ["prescreen_first_name", "prescreen_last_name", "prescreen_zip_code"]), "lead_id", "left")
     )
     named = joined.withColumnsRenamed({"lead_id": "application_id", "organization_id": "business_id", "person_id": "customer_id", "source_code": "candidate_source"})
     dated = named.withColumn("lead_start_date", F.coalesce("prescreen_created_date", "opened_at", "application_created_date"))
