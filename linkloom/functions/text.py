@@ -73,13 +73,14 @@ def character_class(characters: list[str]) -> str:
 
 
 def ascii_fold(x: Column) -> Column:
-    """Only texts with a character beyond ASCII pay for the table, and only the characters that a text has are replaced one by one."""
+    """Only texts with a character beyond ASCII pay for the table, and characters that fold to several are looked for only among those that it leaves beyond ASCII."""
     one, to, several = fold_table()
-    wide = character_class(list(several))
-    spelled = lambda found, s: F.aggregate(found, s, lambda out, c: F.replace(out, c, F.try_element_at(constants(several), c)))
-    single = lambda s: F.when(s.rlike(wide), spelled(F.array_distinct(F.regexp_extract_all(s, F.lit(f"({wide})"), F.lit(1))), s)).otherwise(s)
-    folded = lambda s: F.regexp_replace(F.translate(single(s), one, to), "[^\\x00-\\x7F]", "")
-    return let(x, lambda s: F.when(s.rlike("[^\\x00-\\x7F]"), folded(s)).otherwise(s))
+    beyond = "[^\\x00-\\x7F]"
+    wide = f"({character_class(list(several))})"
+    found = lambda s: F.array_distinct(F.regexp_extract_all(F.regexp_replace(s, "[\\x00-\\x7F]+", ""), F.lit(wide), F.lit(1)))
+    spelled = lambda s: F.aggregate(found(s), s, lambda out, c: F.replace(out, c, F.try_element_at(constants(several), c)))
+    rest = lambda s: F.when(s.rlike(beyond), F.regexp_replace(spelled(s), beyond + "+", "")).otherwise(s)
+    return let(x, lambda s: F.when(s.rlike(beyond), let(F.translate(s, one, to), rest)).otherwise(s))
 
 
 def strip_notes(x: Column) -> Column:
