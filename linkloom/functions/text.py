@@ -30,6 +30,7 @@ SHORTHAND = {"4": "for", "u": "you", "&": "and", "+": "and"}
 # What divides a legal name from a trading name.
 TRADING_MARKS = ["dba", "doing business as"]
 
+_PUNCTUATION = "".join(c for c in map(chr, range(0x80)) if not (c.isalnum() or c in "_&+ \t\n\x0b\f\r"))
 _INITIALS_THERE = r"\b[a-z]\.[a-z]\."
 _SHORT_THERE = r"(?:^|\s)[4u&+](?:\s|$)"
 _INITIALS = r"(?<=\b[a-z])\.(?:(?=[a-z]\.)|(?<=\b[a-z]\.[a-z]\.))"
@@ -108,11 +109,14 @@ def collapse_initials(x: Column) -> Column:
 
 
 def normalize(x: Column) -> Column:
-    """Steps that few texts need are tried only where a cheaper test finds what they look for."""
+    """Steps that few texts need are tried only where a cheaper test finds what they look for.
+
+    A folded text is ASCII, so that what is neither word, space nor & or + is a fixed set; each of it becomes a space.
+    """
     low = F.lower(ascii_fold(F.coalesce(x, F.lit(""))))
-    bare = F.translate(let(let(low, strip_notes), collapse_initials), "/", " ")
+    bare = F.translate(let(let(low, strip_notes), collapse_initials), _PUNCTUATION, " " * len(_PUNCTUATION))
     spelled = lambda s: F.when(s.rlike(_SHORT_THERE), expand_shorthand(s)).otherwise(s)
-    return squeeze(let(F.regexp_replace(bare, r"[^\w\s&+]+", " "), spelled))
+    return squeeze(let(bare, spelled))
 
 
 def without(x: Column, words: list[str]) -> Column:
