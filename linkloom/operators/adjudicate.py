@@ -125,12 +125,12 @@ def _or_raw(variants: Column, raw: Column) -> Column:
     return F.when(F.size(variants) > 0, variants).otherwise(F.array(F.translate(F.coalesce(raw, F.lit("")), "\x1f", " ")))
 
 
-def pool(items: DataFrame, candidates: DataFrame, item_key: list[str]) -> DataFrame:
+def pool(items: DataFrame, candidates: DataFrame, item_key: list[str], candidate_key: str = "application_id") -> DataFrame:
     """Candidates of an item's source and state; of its source alone where there are none."""
     side = candidates.withColumnRenamed("candidate_source", "source_code")
     blocks = side.select("source_code", F.col("candidate_state").alias("state")).distinct()
-    near = dealt_pairs(items.join(blocks, BLOCK, "left_semi"), side.withColumnRenamed("candidate_state", "state"), BLOCK, item_key, deal_right_by=["application_id"])
-    alone = dealt_pairs(items.join(blocks, BLOCK, "left_anti"), side.drop("candidate_state"), ["source_code"], item_key, deal_right_by=["application_id"])
+    near = dealt_pairs(items.join(blocks, BLOCK, "left_semi"), side.withColumnRenamed("candidate_state", "state"), BLOCK, item_key, deal_right_by=[candidate_key])
+    alone = dealt_pairs(items.join(blocks, BLOCK, "left_anti"), side.drop("candidate_state"), ["source_code"], item_key, deal_right_by=[candidate_key])
     return near.unionByName(alone, allowMissingColumns=True)
 
 
@@ -143,17 +143,33 @@ def pool_sizes(items: DataFrame, candidates: DataFrame, item_key: list[str]) ->
     return both.select(*item_key, F.coalesce("near_n", "alone_n").alias("n"), F.when(F.col("near_n").isNotNull(), F.col("near_id")).otherwise(F.col("alone_id")).alias("last_id"))
 
 
+def _named_alike(side: DataFrame, shown: int, fields: list[str]) -> DataFrame:
+    """(block, candidate_names, first_id, alike): the `shown` first candidates of each block with the same names, in order of their ids.
+
+    No others can be offered, as an item is as like to all of them.
+    """
+    alike = ["candidate_source", "candidate_state", "candidate_names"]
+    first = side.withColumn("nth", F.row_number().over(Window.partitionBy(*alike).orderBy("application_id"))).where(F.col("nth") <= shown)
+    rows = F.array_sort(F.collect_list(F.struct("nth", *fields, "offer_state")))
+    return first.groupBy(*alike).agg(F.min("application_id").alias("first_id"), rows.alias("alike"))
+
+
 def offers(items: DataFrame, candidates: DataFrame, item_key: list[str], shown: int = SHOWN) -> DataFrame:
     """For each item the candidates of its pool whose business names are most alike, as an array in order.
 
-    Pairs carry what the comparison and the offer need, and all but an item's first go before the shuffle.
+    Items meet the names of their pool rather than its candidates: those offered are among the first candidates of
+    the `shown` best names, where the smallest id decides between names that are as like.
     """
     own = items.select(*item_key, _or_raw(F.col("live_name_variants"), F.col("live_business_name")).alias("names"))
     fields = [c for c in ("application_id", "crm_business_name", "candidate_state", "business_zip_code", "loan_range", "lead_start_date") if c in candidates.columns]
     side = candidates.select("candidate_source", *fields, _or_raw(name_variants(F.col("crm_business_name")), F.col("crm_business_name")).alias("candidate_names"))
-    rated = pool(own, side.withColumn("offer_state", F.col("candidate_state")), item_key).withColumn("name_similarity", round2(best_token_set(F.col("names"), F.col("candidate_names"))))
-    order = Window.partitionBy(*item_key).orderBy(F.col("name_similarity").desc(), F.col("application_id"))
-    top = rated.drop("names", "candidate_names").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= shown)
+    fields.remove("candidate_state")
+    named = _named_alike(side.withColumn("offer_state", F.col("candidate_state")), shown, fields)
+    rated = pool(own, named, item_key, "first_id").withColumn("name_similarity", round2(best_token_set(F.col("names"), F.col("candidate_names"))))
+    place = lambda c: F.row_number().over(Window.partitionBy(*item_key).orderBy(F.col("name_similarity").desc(), F.col(c)))
+    best = rated.drop("names", "candidate_names").withColumn("nth", place("first_id")).where(F.col("nth") <= shown)
+    each = best.select(*item_key, "name_similarity", F.inline("alike")).drop("nth")
+    top = each.withColumn("nth", place("application_id")).where(F.col("nth") <= shown)
     offered = ["nth", "application_id", "crm_business_name", "name_similarity", F.col("offer_state").alias("candidate_state"), *[c for c in ("business_zip_code", "loan_range", "lead_start_date") if c in fields]]
     return top.groupBy(*item_key).agg(F.array_sort(F.collect_list(F.struct(*offered))).alias("candidates"))
 
