@@ -147,13 +147,17 @@ def tallied(items: DataFrame, candidates: DataFrame, limits: Thresholds) -> Data
     return days.join(leads, BLOCK).groupBy(*BLOCK, day).agg(F.sum("m").alias("n"), F.sum(F.when(late, F.col("m")).otherwise(0)).alias("late"))
 
 
-def not_surfaced(items: DataFrame, candidates: DataFrame, best: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
-    """(item key, reason) of the items without a surfaced match."""
+def counted(items: DataFrame, candidates: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
+    """(item key, n, late) of each item as `tallied` counts them; null where the block has no candidates."""
     day, own = "primary_origination_date", [c for c in item_key if c not in BLOCK]
     tallies = tallied(items, candidates, limits).withColumnRenamed(day, "__day").withColumnsRenamed({c: f"__{c}" for c in BLOCK})
     same = [F.col(c) == F.col(f"__{c}") for c in BLOCK] + [F.col(day).eqNullSafe(F.col("__day"))]
-    counted = items.select(*BLOCK, *own, day).join(tallies, same, "left")
-    judged = counted.select(*item_key, "n", "late").join(best.select(*item_key, "decision_band"), item_key, "left")
+    return items.select(*BLOCK, *own, day).join(tallies, same, "left").select(*item_key, "n", "late")
+
+
+def not_surfaced(items: DataFrame, candidates: DataFrame, best: DataFrame, item_key: list[str], limits: Thresholds) -> DataFrame:
+    """(item key, reason) of the items without a surfaced match."""
+    judged = counted(items, candidates, item_key, limits).join(best.select(*item_key, "decision_band"), item_key, "left")
     excluded = F.when(F.col("late") > 0, F.concat(F.lit(" ("), F.col("late").cast("string"), F.lit(" candidate(s) excluded because the record predates the lead.)"))).otherwise(F.lit(""))
     reason = F.when(F.col("n").isNull(), NO_BLOCK).when(F.col("decision_band").isNull(), F.concat(F.lit(NO_SCORE), excluded)).when(F.col("decision_band") == "discard", BELOW)
     return judged.withColumn("reason", reason).where("reason is not null").select(*item_key, "reason")
